@@ -101,4 +101,4 @@ def product_ranking(gold_product: DataFrame) -> DataFrame:
     table (one row per distinct product), bounded by the catalogue, not by the sales.
     """
     w = Window.orderBy(F.col("ingresos_totales").desc(), F.col("producto"))
-    return gold_product.withColumn("pos", F.row_number().over(w))
+    return gold_product.withColumn("pos", F.row_number().over(w).cast("bigint"))

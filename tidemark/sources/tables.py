@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType, TimestampType
@@ -39,28 +38,50 @@ def _data(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/data/v{version:020d}"
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system and path object for ``path`` (works for any configured scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions: commit directories whose write job finished (``_SUCCESS``)."""
+    fs, p = _fs(spark, _commits(path))
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.isdigit() and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            out.append(int(name))
+    return sorted(out)
+
+
 def history(spark: SparkSession, path: str) -> DataFrame:
     """Commit log, newest first (``DESCRIBE HISTORY`` projection)."""
-    return (spark.read.schema(COMMIT_SCHEMA).json(f"{_commits(path)}/*")
+    paths = [f"{_commits(path)}/{v:020d}" for v in versions(spark, path)]
+    if not paths:
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    return (spark.read.schema(COMMIT_SCHEMA).json(paths)
             .select("version", "timestamp", "operation", "operationMetrics")
             .orderBy(F.col("version").desc()))
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
     """Newest committed version, or None when the path holds no snapshot table."""
-    try:
-        row = spark.read.schema(COMMIT_SCHEMA).json(f"{_commits(path)}/*").agg(F.max("version")).first()
-    except AnalysisException:
-        return None
-    return None if row is None or row[0] is None else int(row[0])
+    vs = versions(spark, path)
+    return vs[-1] if vs else None
 
 
 def _is_plain_parquet(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+    """A streaming file sink output (``_spark_metadata``) or a finished batch write."""
+    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata") or path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
