@@ -25,7 +25,7 @@ from ..sources.tables import export_table, history, publish, read_table, save_as
 from ..spec import BRONZE_TECHNICAL, EVENT_COLUMNS, FEED_SCHEMA, SALES_SEQ
 from ..streaming.ingest import ingest_available
 from . import gold
-from .medallion import gold_frames, quality, refine, run_medallion
+from .medallion import build_gold, quality, refine, run_medallion
 from .staging import enrich, stg_bronze, stg_silver
 
 SPEC = SALES_SEQ
@@ -232,9 +232,14 @@ def q_dq_accepted_values(spark, sf):
 
 
 def q_dq_results(spark, sf):
+    """The 21 column tests over the five models, as the scheduled run tests them: on
+    materialised Silver and Gold tables (written once, then scanned per test)."""
     feed = _feed_a(spark, sf)
-    silver = _silver(feed)
-    return quality(spark, feed, silver, gold_frames(silver))
+    root = scratch_path(spark, "lake")
+    silver_path = f"{root}/silver/ventas"
+    publish(_silver(feed), silver_path, "WRITE")
+    golds = {n: read_table(spark, p) for n, p in build_gold(spark, silver_path, f"{root}/gold").items()}
+    return quality(spark, feed, read_table(spark, silver_path), golds)
 
 
 def q_medallion_end_to_end(spark, sf):

@@ -34,10 +34,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_fact(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    """Scan the driving (fact) table of a feed with at least one partition per task slot.
+
+    A large table already splits into far more partitions than there are slots, and is
+    returned as the scan.  A table stored as too few splits (one parquet row group
+    cannot be split) would run the whole feed derivation — joins, string building and
+    the partial top-1 of the dedup — in a single task; it is spread round-robin over
+    the slots first.  The rule depends only on the partition count, so it never adds a
+    shuffle to a table big enough for one to matter.
+    """
+    df = read_table(spark, sf_dir, name).select(*columns)
+    slots = spark.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def change_feed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as change events: key ``orderkey-linenumber``, op from the return flag."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    li = read_fact(spark, sf_dir, "lineitem", [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"])
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
@@ -64,7 +79,7 @@ def change_feed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def change_feed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events as change events: key ``user-bucket``, op from the event type."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = read_fact(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     k = F.from_json(F.col("props"), "k int").getField("k")
     e = ev.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
     bucket = (F.col("k") % B_BUCKETS).cast("string")
