@@ -41,17 +41,11 @@ def refine_frame(bronze: DataFrame, silver_path: str, spec: ChangeSpec = SALES)
         obs = Observation("merge")
         merged = merge_changes(read_table(spark, silver_path), latest, spec, source_is_latest=True, observation=obs)
         v = publish(merged, silver_path, "MERGE", metrics_fn=lambda: obs.get)
-        return RefineResult("merged", v, _read_metrics(spark, silver_path, v))
+        return RefineResult("merged", v, dict(obs.get))
     obs = Observation("write")
     rows = current_rows(latest, spec).observe(obs, F.count(F.lit(1)).alias("num_output_rows"))
     v = publish(rows, silver_path, "WRITE", metrics_fn=lambda: obs.get)
-    return RefineResult("created", v, _read_metrics(spark, silver_path, v))
-
-
-def _read_metrics(spark: SparkSession, path: str, version: int) -> dict:
-    from ..sources.tables import history
-    row = history(spark, path).filter(F.col("version") == version).select("operationMetrics").first()
-    return dict(row[0]) if row and row[0] else {}
+    return RefineResult("created", v, dict(obs.get))
 
 
 def refine(spark: SparkSession, bronze_path: str, silver_path: str, spec: ChangeSpec = SALES) -> RefineResult:

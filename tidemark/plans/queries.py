@@ -79,7 +79,7 @@ def _land_messages(spark, sf, parts: int = 4) -> str:
 def q_bronze_ingest(spark, sf):
     src = _land_messages(spark, sf)
     bronze, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt")
-    ingest_available(spark, bronze, ckpt, "parquet", src, options={"maxFilesPerTrigger": "1"})
+    ingest_available(spark, bronze, ckpt, "parquet", src)
     return spark.read.parquet(bronze).drop(*BRONZE_TECHNICAL)
 
 

@@ -25,13 +25,24 @@ A_OPS_BY_RETURNFLAG = {"N": "INSERT", "A": "UPDATE"}   # any other flag -> DELET
 B_OPS_BY_EVENT_TYPE = {"purchase": "INSERT", "click": "UPDATE", "error": "DELETE"}  # others kept as is
 B_BUCKETS = 10              # k % 10 picks product / sku / key suffix
 SEQ_PART_FACTOR = 100000    # seq = l_partkey * 100000 + l_suppkey
+# Columns (and their stored types) the feeds read from the warehouse tables.
+SCAN_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 # --- end of fixed values ---
 
 FEED_COLUMNS = FEED_SCHEMA.names
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan a warehouse table with the declared schema of the columns the feeds use
+    (no footer sampling on the driver; a type drift in the files fails the read)."""
+    reader = spark.read.schema(SCAN_SCHEMAS[name]) if name in SCAN_SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_fact(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:

@@ -1,10 +1,10 @@
 """Versioned table snapshots on any Hadoop file system, plus catalog helpers.
 
 A table at ``path`` is a set of immutable parquet snapshots ``path/data/v<N>`` and a
-commit log ``path/_commits/<N>`` of JSON rows ``(version, timestamp, operation,
-operationMetrics)``.  A writer first writes the new snapshot, then its commit row, so
-readers only ever see committed versions; the commit write fails if the version is
-already taken, so two racing writers cannot both publish the same version.  Writing a
+commit log ``path/_commits/<N>.json`` of one JSON row each ``(version, timestamp,
+operation, operationMetrics)``.  A writer first writes the new snapshot with Spark, then
+creates its commit file, so readers only ever see committed versions; the commit file
+is created without overwrite, so two racing writers cannot both publish one version.  Writing a
 new version never overwrites the path it was computed from, which is what lets a merge
 read version N while producing N+1.
 
@@ -14,6 +14,7 @@ are read through the sink's own metadata log by ``spark.read.parquet``.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,21 +52,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions: commit directories whose write job finished (``_SUCCESS``)."""
+    """Committed versions, from the names of the commit files."""
     fs, p = _fs(spark, _commits(path))
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.isdigit() and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name))
+        if st.isFile() and name.endswith(".json") and name[:-5].isdigit():
+            out.append(int(name[:-5]))
     return sorted(out)
 
 
+def _commit_file(path: str, version: int) -> str:
+    return f"{_commits(path)}/{version:020d}.json"
+
+
+def _write_commit(spark: SparkSession, path: str, record: dict) -> None:
+    fs, p = _fs(spark, _commit_file(path, record["version"]))
+    out = fs.create(p, False)                 # fails if this version was committed already
+    try:
+        out.write(bytearray((json.dumps(record) + "\n").encode("utf-8")))
+    finally:
+        out.close()
+
+
 def history(spark: SparkSession, path: str) -> DataFrame:
     """Commit log, newest first (``DESCRIBE HISTORY`` projection)."""
-    paths = [f"{_commits(path)}/{v:020d}" for v in versions(spark, path)]
+    paths = [_commit_file(path, v) for v in versions(spark, path)]
     if not paths:
         return spark.createDataFrame([], COMMIT_SCHEMA)
     return (spark.read.schema(COMMIT_SCHEMA).json(paths)
@@ -111,9 +125,8 @@ def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object]
     m = {k: str(v) for k, v in (metrics or {}).items()}
     if metrics_fn is not None:
         m.update({k: str(v) for k, v in metrics_fn().items()})
-    row = (version, datetime.now(timezone.utc).replace(tzinfo=None), operation, m)
-    (spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
-         .write.mode("errorifexists").json(f"{_commits(path)}/{version:020d}"))
+    now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds")
+    _write_commit(spark, path, {"version": version, "timestamp": now, "operation": operation, "operationMetrics": m})
     return version
 
 
