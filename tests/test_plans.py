@@ -46,3 +46,23 @@ def test_merge_reuses_the_dedup_shuffle(spark, tmp_lake):
     p = plan(merged)
     # one shuffle for the target, one for the changes (shared by dedup and join)
     assert p.count("Exchange hashpartitioning(tx_id") + p.count("Exchange hashpartitioning(_t_tx_id") <= 2
+
+
+def test_gold_on_unique_key_silver_has_no_expand(spark):
+    import __spark_entry__ as e
+
+    for name in ("gold_daily", "gold_hourly", "gold_product"):
+        p = e.queries()[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in p, name
+
+
+def test_unique_key_count_equals_distinct_count(spark):
+    from tidemark.plans import gold
+    from tidemark.plans.queries import _feed_b, _silver
+    from tidemark.plans.staging import stg_silver
+
+    stg = stg_silver(_silver(_feed_b(spark, SF0001)))
+    for fn in (gold.daily, gold.hourly, gold.by_product):
+        a = sorted(map(tuple, fn(stg, ordered=False, key_unique=True).collect()), key=str)
+        b = sorted(map(tuple, fn(stg, ordered=False, key_unique=False).collect()), key=str)
+        assert a == b

@@ -56,12 +56,13 @@ def refine(spark: SparkSession, bronze_path: str, silver_path: str, spec: Change
     return refine_frame(read_table(spark, bronze_path), silver_path, spec)
 
 
-def gold_frames(silver: DataFrame) -> dict[str, DataFrame]:
+def gold_frames(silver: DataFrame, key_unique: bool = True) -> dict[str, DataFrame]:
+    """The three Gold tables of a Silver table (built by ``refine``: one row per key)."""
     stg = stg_silver(silver)
     return {
-        "gold_kpi_ventas": gold.daily(stg, ordered=False),
-        "gold_kpi_ventas_hora": gold.hourly(stg, ordered=False),
-        "gold_kpi_producto": gold.by_product(stg, ordered=False),
+        "gold_kpi_ventas": gold.daily(stg, ordered=False, key_unique=key_unique),
+        "gold_kpi_ventas_hora": gold.hourly(stg, ordered=False, key_unique=key_unique),
+        "gold_kpi_producto": gold.by_product(stg, ordered=False, key_unique=key_unique),
     }
 
 

@@ -159,36 +159,36 @@ def q_enriched_sales(spark, sf):
 
 
 def q_gold_daily(spark, sf):
-    return gold.daily(_stg_a(spark, sf))
+    return gold.daily(_stg_a(spark, sf), key_unique=True)
 
 
 def q_gold_hourly(spark, sf):
-    return _ntz(gold.hourly(stg_silver(_silver(_feed_b(spark, sf)))), "hora")
+    return _ntz(gold.hourly(stg_silver(_silver(_feed_b(spark, sf))), key_unique=True), "hora")
 
 
 def q_gold_product(spark, sf):
-    return gold.by_product(_stg_a(spark, sf))
+    return gold.by_product(_stg_a(spark, sf), key_unique=True)
 
 
 def q_gold_catalog_read(spark, sf):
     name = "gold_kpi_ventas_" + scratch_path(spark, "t").rsplit("-", 1)[1]
-    save_as_table(gold.daily(_stg_a(spark, sf), ordered=False), name, path=scratch_path(spark, "warehouse"))
+    save_as_table(gold.daily(_stg_a(spark, sf), ordered=False, key_unique=True), name, path=scratch_path(spark, "warehouse"))
     return spark.table(name).orderBy("fecha")
 
 
 def q_gold_export(spark, sf):
     warehouse = scratch_path(spark, "warehouse")
     src = f"{warehouse}/gold_kpi_producto"
-    publish(gold.by_product(_stg_a(spark, sf), ordered=False), src, "CREATE OR REPLACE TABLE AS SELECT")
+    publish(gold.by_product(_stg_a(spark, sf), ordered=False, key_unique=True), src, "CREATE OR REPLACE TABLE AS SELECT")
     return export_table(spark, src, f"{scratch_path(spark, 'export')}/gold/gold_kpi_producto")
 
 
 def q_product_ranking(spark, sf):
-    return gold.product_ranking(gold.by_product(_stg_a(spark, sf), ordered=False))
+    return gold.product_ranking(gold.by_product(_stg_a(spark, sf), ordered=False, key_unique=True))
 
 
 def q_headline_kpis(spark, sf):
-    return gold.headline(gold.daily(_stg_a(spark, sf), ordered=False))
+    return gold.headline(gold.daily(_stg_a(spark, sf), ordered=False, key_unique=True))
 
 
 def q_units_by_product(spark, sf):
@@ -206,7 +206,7 @@ def q_silver_preview(spark, sf):
 def q_layer_counts(spark, sf):
     feed = _feed_a(spark, sf)
     silver = _silver(feed)
-    daily = gold.daily(stg_silver(silver), ordered=False)
+    daily = gold.daily(stg_silver(silver), ordered=False, key_unique=True)
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("layer"), "row_count")
              for n, df in (("bronze", feed), ("silver", silver), ("gold_daily", daily))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
