@@ -7,6 +7,7 @@ and either creates Silver (first load) or merges into it as a new version.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -67,14 +68,20 @@ def gold_frames(silver: DataFrame, key_unique: bool = True) -> dict[str, DataFra
 
 
 def build_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str, str]:
-    """Rebuild the three Gold tables from current Silver (full rebuild, new versions)."""
+    """Rebuild the three Gold tables from current Silver (full rebuild, new versions).
+
+    The three tables are independent, so their jobs are submitted together and share the
+    cluster instead of running back to back; each one is a separate, retryable job.
+    """
     ensure_session(spark)
     silver = read_table(spark, silver_path)
-    paths = {}
-    for name, df in gold_frames(silver).items():
-        path = f"{gold_root.rstrip('/')}/{name}"
-        publish(df, path, "CREATE OR REPLACE TABLE AS SELECT")
-        paths[name] = path
+    paths = {name: f"{gold_root.rstrip('/')}/{name}" for name in GOLD_TABLES}
+    frames = gold_frames(silver)
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        futures = [pool.submit(publish, df, paths[name], "CREATE OR REPLACE TABLE AS SELECT")
+                   for name, df in frames.items()]
+        for f in futures:
+            f.result()
     return paths
 
 
