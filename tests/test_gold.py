@@ -51,3 +51,15 @@ def test_malformed_event_time_gives_null_day_not_error(spark):
     d = gold.daily(stg_silver(frame(spark, rows).drop("seq"))).collect()
     assert d[0].fecha is None
     assert frame(spark, rows).select(F.col("timestamp").try_cast("timestamp")).first()[0] is None
+
+
+def test_with_position_matches_row_number(spark):
+    from pyspark.sql import Window
+
+    from tidemark.functions.ranking import with_position
+
+    df = spark.range(0, 500).select((F.col("id") * 7919 % 101).alias("v"), F.col("id"))
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = {(r.id, r.pos) for r in with_position(df, order, partitions=7).collect()}
+    want = {(r.id, r.pos) for r in df.withColumn("pos", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert got == want

@@ -14,10 +14,11 @@ hot day, hour or product is pre-aggregated per task before it is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import cents_to_amount, half_up_ratio_amount, to_cents
+from ..functions.ranking import with_position
 from .staging import line_cents
 
 TIME_KPIS = ["cantidad_transacciones", "clientes_unicos", "unidades_vendidas", "ingresos_totales", "ticket_promedio"]
@@ -104,10 +105,9 @@ def preview(df: DataFrame, n: int = 20, order_by: tuple[str, ...] = ()) -> DataF
 
 
 def product_ranking(gold_product: DataFrame) -> DataFrame:
-    """Product KPIs with their position by revenue (desc, then name).
+    """Product KPIs with their position by revenue (desc, then name; names are unique).
 
-    The window has no partition key, so it runs in one task; its input is the product
-    table (one row per distinct product), bounded by the catalogue, not by the sales.
+    Positions are computed distributed (range partitioning + per-partition offsets), so
+    a large product catalogue never has to fit in one task.
     """
-    w = Window.orderBy(F.col("ingresos_totales").desc(), F.col("producto"))
-    return gold_product.withColumn("pos", F.row_number().over(w).cast("bigint"))
+    return with_position(gold_product, [F.col("ingresos_totales").desc(), F.col("producto").asc()], "pos")
