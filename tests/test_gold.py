@@ -63,3 +63,13 @@ def test_with_position_matches_row_number(spark):
     got = {(r.id, r.pos) for r in with_position(df, order, partitions=7).collect()}
     want = {(r.id, r.pos) for r in df.withColumn("pos", F.row_number().over(Window.orderBy(*order))).collect()}
     assert got == want
+
+
+def test_bounded_pandas_read(spark):
+    import pytest
+
+    from tidemark.sources.tables import ResultTooLarge, to_pandas_bounded
+
+    assert len(to_pandas_bounded(spark.range(10), max_rows=10)) == 10
+    with pytest.raises(ResultTooLarge):
+        to_pandas_bounded(spark.range(11), max_rows=10)

@@ -70,7 +70,12 @@ def peek(messages: DataFrame, n: int = 10, order_by: list[Column] | None = None,
     return events.limit(n)
 
 
-def write_messages(messages: DataFrame, path: str, files: int | None = None) -> None:
-    """Land messages as parquet files (the file stand-in for a topic)."""
+def write_messages(messages: DataFrame, path: str | None = None, files: int | None = None, fmt: str = "parquet",
+                   options: dict[str, str] | None = None) -> None:
+    """Publish messages: to a broker (``fmt='kafka'``, ``options`` with servers and
+    ``topic``; only ``key`` and ``value`` are sent) or as files (the topic stand-in)."""
+    if fmt == "kafka":
+        messages.select("key", "value").write.format("kafka").options(**(options or {})).save()
+        return
     out = messages.repartition(files) if files else messages
-    out.write.mode("errorifexists").parquet(path)
+    out.write.mode("errorifexists").format(fmt).options(**(options or {})).save(path)

@@ -147,3 +147,18 @@ def save_as_table(df: DataFrame, name: str, path: str | None = None) -> None:
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
+
+
+class ResultTooLarge(ValueError):
+    pass
+
+
+def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
+    """Collect a report-sized result (a Gold table, a top-N) to pandas.
+
+    The row count is checked on the cluster first (``limit(max_rows + 1).count()`` stops
+    early), so a mistaken call on a Silver-sized table fails instead of flooding the driver.
+    """
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ResultTooLarge(f"more than {max_rows} rows; aggregate or limit before collecting")
+    return df.toPandas()
