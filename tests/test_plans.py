@@ -66,3 +66,26 @@ def test_unique_key_count_equals_distinct_count(spark):
         a = sorted(map(tuple, fn(stg, ordered=False, key_unique=True).collect()), key=str)
         b = sorted(map(tuple, fn(stg, ordered=False, key_unique=False).collect()), key=str)
         assert a == b
+
+
+def test_merge_reads_bucketed_silver_without_shuffling_it(spark, tmp_lake):
+    from tidemark.operators.refine import clean, latest_per_key, merge_changes
+    from tidemark.plans.medallion import refine_frame
+    from tidemark.plans.queries import _feed_a, _split
+    from tidemark.session import shuffle_width
+    from tidemark.sources.tables import bucketing, read_table
+    from tidemark.spec import SALES_SEQ as S
+
+    first, second = _split(_feed_a(spark, SF0001))
+    path = f"{tmp_lake}/silver"
+    refine_frame(first, path, S, buckets=6)
+    assert bucketing(spark, path) == (6, "tx_id")
+    with shuffle_width(spark, 6):
+        merged = merge_changes(read_table(spark, path), latest_per_key(clean(second, S), S), S, source_is_latest=True)
+        merged.write.format("noop").mode("overwrite").save()
+        p = plan(merged)
+    assert p.count("Exchange hashpartitioning") == 1          # the changes' dedup shuffle only
+    assert "Exchange hashpartitioning(_t_tx_id" not in p
+    res = refine_frame(second, path, S)
+    assert res.status == "merged" and bucketing(spark, path) == (6, "tx_id")
+    assert read_table(spark, path).count() == read_table(spark, path).select("tx_id").distinct().count()

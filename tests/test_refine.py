@@ -95,3 +95,14 @@ def test_missing_bronze_is_a_noop(spark, tmp_lake):
 
     res = refine(spark, f"{tmp_lake}/nope", f"{tmp_lake}/silver", S)
     assert res.status == "no_bronze"
+
+
+def test_zero_clean_events_leaves_existing_silver_unchanged(spark, tmp_lake):
+    from tidemark.plans.medallion import refine_frame
+    from tidemark.sources.tables import current_version, read_table
+
+    path = f"{tmp_lake}/silver"
+    assert refine_frame(frame(spark, [ev("a", "INSERT", day(1))]), path, S).status == "created"
+    res = refine_frame(frame(spark, [ev("a", "DELETE", day(2), precio=None)]), path, S)
+    assert res.status == "no_events" and current_version(spark, path) == 0
+    assert [r.tx_id for r in read_table(spark, path).collect()] == ["a"]

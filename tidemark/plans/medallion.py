@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import gate, medallion_checks, run_suite
 from ..operators.refine import clean, current_rows, latest_per_key, merge_changes
-from ..session import ensure_session
-from ..sources.tables import publish, read_table, table_exists
+from ..session import ensure_session, shuffle_width
+from ..sources.tables import bucketing, publish, read_table, table_exists
 from ..spec import SALES, ChangeSpec
 from . import gold
 from .staging import stg_bronze, stg_silver
@@ -31,30 +31,50 @@ class RefineResult:
     metrics: dict = field(default_factory=dict)
 
 
-def refine_frame(bronze: DataFrame, silver_path: str, spec: ChangeSpec = SALES) -> RefineResult:
-    """Apply a Bronze DataFrame to the Silver table at ``silver_path``."""
-    spark = bronze.sparkSession
-    cleaned = clean(bronze, spec)
-    if cleaned.isEmpty():            # stops at the first valid row; no full pass
-        return RefineResult("no_events")
-    latest = latest_per_key(cleaned, spec)
-    if table_exists(spark, silver_path):
-        obs = Observation("merge")
-        merged = merge_changes(read_table(spark, silver_path), latest, spec, source_is_latest=True, observation=obs)
-        v = publish(merged, silver_path, "MERGE", metrics_fn=lambda: obs.get)
-        return RefineResult("merged", v, dict(obs.get))
-    obs = Observation("write")
-    rows = current_rows(latest, spec).observe(obs, F.count(F.lit(1)).alias("num_output_rows"))
-    v = publish(rows, silver_path, "WRITE", metrics_fn=lambda: obs.get)
-    return RefineResult("created", v, dict(obs.get))
+def refine_frame(bronze: DataFrame, silver_path: str, spec: ChangeSpec = SALES,
+                 buckets: int | None = None) -> RefineResult:
+    """Apply a Bronze DataFrame to the Silver table at ``silver_path``.
 
+    One job per run: clean → latest per key → (merge with current Silver) → write the new
+    version.  The number of clean events is observed by that same job; when it is zero
+    the new version is discarded and Silver stays as it was (or is not created).
 
-def refine(spark: SparkSession, bronze_path: str, silver_path: str, spec: ChangeSpec = SALES) -> RefineResult:
+    Silver is stored bucketed by the key (``buckets`` files, default: the session's
+    shuffle width when Silver is created; later versions keep the bucket count of the
+    current one; 0 = unbucketed).  The job runs with its shuffle width equal to the
+    bucket count, so the dedup shuffle of the changes lines up with the stored buckets:
+    the merge join reads Silver in place and every task writes one bucket.
+    """
+    spark = bronze.sparkSession
+    seen = Observation("clean_events")
+    cleaned = clean(bronze, spec).observe(seen, F.count(F.lit(1)).alias("clean_events"))
+    has_events = lambda: seen.get["clean_events"] > 0
+    if table_exists(spark, silver_path):
+        spec_b = bucketing(spark, silver_path)
+        n = spec_b[0] if spec_b else None
+        with shuffle_width(spark, n):
+            obs = Observation("merge")
+            latest = latest_per_key(cleaned, spec)
+            merged = merge_changes(read_table(spark, silver_path), latest, spec, source_is_latest=True, observation=obs)
+            v = publish(merged, silver_path, "MERGE", metrics_fn=lambda: obs.get,
+                        bucket_by=(n, spec.key) if n else None, commit_if=has_events)
+        return RefineResult("merged", v, dict(obs.get)) if v is not None else RefineResult("no_events")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
+    with shuffle_width(spark, n or None):
+        obs = Observation("write")
+        rows = current_rows(latest_per_key(cleaned, spec), spec).observe(obs, F.count(F.lit(1)).alias("num_output_rows"))
+        v = publish(rows, silver_path, "WRITE", metrics_fn=lambda: obs.get, bucket_by=(n, spec.key) if n else None,
+                    commit_if=has_events)
+    return RefineResult("created", v, dict(obs.get)) if v is not None else RefineResult("no_events")
+
+
+def refine(spark: SparkSession, bronze_path: str, silver_path: str, spec: ChangeSpec = SALES,
+           buckets: int | None = None) -> RefineResult:
     """Bronze path → Silver path; a missing Bronze is a no-op."""
     ensure_session(spark)
     if not table_exists(spark, bronze_path):
         return RefineResult("no_bronze")
-    return refine_frame(read_table(spark, bronze_path), silver_path, spec)
+    return refine_frame(read_table(spark, bronze_path), silver_path, spec, buckets)
 
 
 def gold_frames(silver: DataFrame, key_unique: bool = True) -> dict[str, DataFrame]:

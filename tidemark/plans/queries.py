@@ -25,7 +25,7 @@ from ..sources.tables import export_table, history, publish, read_table, save_as
 from ..spec import BRONZE_TECHNICAL, EVENT_COLUMNS, FEED_SCHEMA, SALES_SEQ
 from ..streaming.ingest import ingest_available
 from . import gold
-from .medallion import build_gold, quality, refine, run_medallion
+from .medallion import build_gold, quality, refine, refine_frame, run_medallion
 from .staging import enrich, stg_bronze, stg_silver
 
 SPEC = SALES_SEQ
@@ -119,12 +119,12 @@ def _split(feed: DataFrame):
 
 
 def q_silver_merge(spark, sf):
-    """Silver from the early events, then the late ones merged in as version 1."""
+    """Silver (bucketed by key) from the early events, then the late ones merged in as
+    version 1 — the refine job run on two time-ordered batches."""
     first, second = _split(_feed_a(spark, sf))
     path = scratch_path(spark, "silver")
-    publish(_silver(first), path, "WRITE")
-    latest = latest_per_key(clean(second, SPEC), SPEC)
-    publish(merge_changes(read_table(spark, path), latest, SPEC, source_is_latest=True), path, "MERGE")
+    refine_frame(first, path, SPEC)
+    refine_frame(second, path, SPEC)
     return read_table(spark, path)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +44,21 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffle_width(spark: SparkSession, partitions: int | None):
+    """Run the enclosed job with ``spark.sql.shuffle.partitions`` set to ``partitions``
+    (e.g. the bucket count of a table it joins with), then restore the session value."""
+    if not partitions:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 

@@ -8,12 +8,19 @@ is created without overwrite, so two racing writers cannot both publish one vers
 new version never overwrites the path it was computed from, which is what lets a merge
 read version N while producing N+1.
 
+A snapshot can be written *bucketed* by a key (Spark's own hash bucketing, one sorted
+file per bucket).  The commit then records the bucket spec and schema, and readers
+register the snapshot as an external bucketed catalog table, so a later join or
+aggregation on that key reads it already partitioned: the keyed merge then shuffles only
+the incoming changes, never the whole current state.
+
 Directories written by a streaming file sink (Bronze) are plain parquet tables; they
 are read through the sink's own metadata log by ``spark.read.parquet``.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from datetime import datetime, timezone
 
@@ -103,30 +110,95 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return current_version(spark, path) is not None or _is_plain_parquet(spark, path)
 
 
+SNAPSHOT_DB = "tidemark_snapshots"
+
+
+def read_commit(spark: SparkSession, path: str, version: int) -> dict:
+    """The commit record of one version."""
+    fs, p = _fs(spark, _commit_file(path, version))
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def bucketing(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, str] | None:
+    """``(buckets, key)`` of a bucketed snapshot, else None."""
+    v = current_version(spark, path) if version is None else version
+    if v is None:
+        return None
+    b = read_commit(spark, path, v).get("bucketing")
+    return (int(b["buckets"]), b["key"]) if b else None
+
+
+def _snapshot_table(path: str, version: int) -> str:
+    digest = hashlib.sha1(path.rstrip("/").encode("utf-8")).hexdigest()[:16]
+    return f"{SNAPSHOT_DB}.s_{digest}_v{version}"
+
+
+def _register_bucketed(spark: SparkSession, path: str, version: int, rec: dict) -> str:
+    from pyspark.sql.types import StructType
+
+    name = _snapshot_table(path, version)
+    schema = StructType.fromJson(json.loads(rec["schema"]))
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    key, n = rec["bucketing"]["key"], int(rec["bucketing"]["buckets"])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SNAPSHOT_DB}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) "
+              f"SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{_data(path, version)}'")
+    return name
+
+
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """Current (or a given) snapshot; plain parquet directories are read as they are."""
     v = current_version(spark, path) if version is None else version
     if v is None:
         return spark.read.parquet(path)
+    rec = read_commit(spark, path, v)
+    if rec.get("bucketing"):
+        return spark.table(_register_bucketed(spark, path, v, rec))
     return spark.read.parquet(_data(path, v))
 
 
 def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object] | None = None,
-            metrics_fn=None) -> int:
+            metrics_fn=None, bucket_by: tuple[int, str] | None = None, commit_if=None) -> int | None:
     """Write ``df`` as the next version of the table at ``path`` and commit it.
 
-    ``metrics_fn`` is called after the data write (e.g. to read an ``Observation``
-    filled by that same write) and its result is merged into the commit metrics.
+    ``bucket_by=(n, key)`` writes the snapshot hash-bucketed and sorted by ``key``.  When
+    ``df`` is already hash-partitioned by ``key`` into ``n`` partitions (the output of a
+    keyed shuffle of that width), every task writes exactly one bucket file, without an
+    extra shuffle.  ``metrics_fn`` is called after the data write (e.g. to read an
+    ``Observation`` filled by that same write) and is merged into the commit metrics.
+    ``commit_if`` (called after the write) can veto the commit: the written files are
+    then removed and None is returned, so the table is unchanged.
     """
     spark = df.sparkSession
     cur = current_version(spark, path)
     version = 0 if cur is None else cur + 1
-    df.write.mode("errorifexists").parquet(_data(path, version))
+    record: dict = {"version": version, "operation": operation}
+    if bucket_by:
+        n, key = bucket_by
+        record["bucketing"] = {"buckets": int(n), "key": key}
+        record["schema"] = df.schema.json()
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {SNAPSHOT_DB}")
+        (df.write.mode("errorifexists").format("parquet").bucketBy(int(n), key).sortBy(key)
+           .option("path", _data(path, version)).saveAsTable(_snapshot_table(path, version)))
+    else:
+        df.write.mode("errorifexists").parquet(_data(path, version))
+    if commit_if is not None and not commit_if():
+        if bucket_by:
+            spark.sql(f"DROP TABLE IF EXISTS {_snapshot_table(path, version)}")
+        fs, p = _fs(spark, _data(path, version))
+        fs.delete(p, True)
+        return None
     m = {k: str(v) for k, v in (metrics or {}).items()}
     if metrics_fn is not None:
         m.update({k: str(v) for k, v in metrics_fn().items()})
-    now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds")
-    _write_commit(spark, path, {"version": version, "timestamp": now, "operation": operation, "operationMetrics": m})
+    record["timestamp"] = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds")
+    record["operationMetrics"] = m
+    _write_commit(spark, path, record)
     return version
 
 
