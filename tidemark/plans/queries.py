@@ -237,7 +237,7 @@ def q_dq_results(spark, sf):
     feed = _feed_a(spark, sf)
     root = scratch_path(spark, "lake")
     silver_path = f"{root}/silver/ventas"
-    publish(_silver(feed), silver_path, "WRITE")
+    refine_frame(feed, silver_path, SPEC)
     golds = {n: read_table(spark, p) for n, p in build_gold(spark, silver_path, f"{root}/gold").items()}
     return quality(spark, feed, read_table(spark, silver_path), golds)
 
