@@ -17,3 +17,15 @@ def describe(df: DataFrame) -> DataFrame:
                               F.col(f"_n{i}").cast("bigint").alias("null_count"))
                      for i, f in enumerate(fields)])
     return counts.select(F.inline(rows))
+
+
+def inspect_table(spark, path: str, n: int = 20) -> dict:
+    """Schema (with row / null counts), a sample of ``n`` rows and the version history of
+    the table at ``path`` — all as DataFrames, nothing collected."""
+    from ..sources.tables import current_version, history, read_table
+
+    df = read_table(spark, path)
+    out = {"schema": describe(df), "sample": df.limit(n)}
+    if current_version(spark, path) is not None:
+        out["history"] = history(spark, path)
+    return out

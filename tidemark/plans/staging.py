@@ -38,3 +38,19 @@ def enrich(stg: DataFrame) -> DataFrame:
         "hora": F.date_trunc("hour", F.col("venta_timestamp")),
         "monto_total": cents_to_amount(line_cents()),
     })
+
+
+def register_views(spark, bronze=None, silver=None) -> list[str]:
+    """Publish the staging projections as temporary views (``stg_bronze_ventas``,
+    ``stg_silver_ventas``) so SQL can be written against them.  ``bronze`` / ``silver``
+    are DataFrames, catalog names or paths."""
+    from ..sources.tables import resolve_relation
+
+    names = []
+    if bronze is not None:
+        stg_bronze(resolve_relation(spark, bronze)).createOrReplaceTempView("stg_bronze_ventas")
+        names.append("stg_bronze_ventas")
+    if silver is not None:
+        stg_silver(resolve_relation(spark, silver)).createOrReplaceTempView("stg_silver_ventas")
+        names.append("stg_silver_ventas")
+    return names

@@ -213,6 +213,43 @@ def export_table(spark: SparkSession, source: str, dest: str) -> DataFrame:
     return spark.read.parquet(dest)
 
 
+# --- fixed values: the Gold tables that can be exported ---
+GOLD_TABLES = ("gold_kpi_ventas", "gold_kpi_ventas_hora", "gold_kpi_producto")
+# --- end of fixed values ---
+
+
+def export_gold(spark: SparkSession, gold_root: str, dest_root: str, which: str = "all") -> dict[str, str]:
+    """Copy one named Gold table, or ``all``, to ``<dest_root>/gold/<table>`` (replacing it).
+
+    An unknown name or a missing table raises before anything is copied.
+    """
+    names = GOLD_TABLES if which == "all" else (which,)
+    unknown = [n for n in names if n not in GOLD_TABLES]
+    if unknown:
+        raise ValueError(f"unknown Gold table {unknown[0]!r}; expected one of {GOLD_TABLES + ('all',)}")
+    missing = [n for n in names if not table_exists(spark, f"{gold_root.rstrip('/')}/{n}")]
+    if missing:
+        raise FileNotFoundError(f"no table {missing[0]!r} under {gold_root}; build Gold first")
+    out = {}
+    for n in names:
+        dest = f"{dest_root.rstrip('/')}/gold/{n}"
+        export_table(spark, f"{gold_root.rstrip('/')}/{n}", dest)
+        out[n] = dest
+    return out
+
+
+def resolve_relation(spark: SparkSession, relation) -> DataFrame:
+    """A relation given as a DataFrame, a catalog table name or a storage path."""
+    if isinstance(relation, DataFrame):
+        return relation
+    rel = str(relation)
+    if "/" in rel or ":" in rel:
+        return read_table(spark, rel)
+    if not spark.catalog.tableExists(rel):
+        raise ValueError(f"no table or view named {rel!r}")
+    return spark.table(rel)
+
+
 def save_as_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Full-rebuild materialisation into the catalog (external when a path is given)."""
     w = df.write.mode("overwrite").format("parquet")
