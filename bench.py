@@ -33,7 +33,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(
-        f"local[{cpus}]", app="tidemark-bench", shuffle_partitions=max(8, 2 * cpus),
+        f"local[{cpus}]", app="tidemark-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)),
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     names = sys.argv[1:] or HEADLINE
     times = {}

@@ -61,3 +61,13 @@ def test_relations_views_and_inspection(spark, lake):
     sch = {r.column_name: (r.data_type, r.row_count) for r in info["schema"].collect()}
     assert sch["precio"] == ("double", 2) and sch["cantidad"] == ("int", 2)
     assert info["history"].count() == 2
+
+
+def test_failed_attempt_leaves_no_trace(spark, lake):
+    """An attempt that wrote data but never committed does not block or leak into the next."""
+    silver = f"{lake}/silver"
+    orphan = T._data(silver, 2, "deadbeef0000")
+    T.read_table(spark, silver).write.parquet(orphan)          # crashed writer: data, no commit
+    assert T.current_version(spark, silver) == 1
+    v = T.publish(T.read_table(spark, silver).limit(1), silver, "WRITE")
+    assert v == 2 and T.read_table(spark, silver).count() == 1

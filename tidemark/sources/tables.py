@@ -1,10 +1,13 @@
 """Versioned table snapshots on any Hadoop file system, plus catalog helpers.
 
-A table at ``path`` is a set of immutable parquet snapshots ``path/data/v<N>`` and a
-commit log ``path/_commits/<N>.json`` of one JSON row each ``(version, timestamp,
-operation, operationMetrics)``.  A writer first writes the new snapshot with Spark, then
-creates its commit file, so readers only ever see committed versions; the commit file
-is created without overwrite, so two racing writers cannot both publish one version.  Writing a
+A table at ``path`` is a set of immutable parquet snapshots ``path/data/v<N>-<attempt>``
+and a commit log ``path/_commits/<N>.json`` of one JSON row each ``(version, timestamp,
+operation, operationMetrics, data)``.  A writer first writes the new snapshot with
+Spark into a directory of its own attempt, then creates the commit file naming that
+directory, so readers only ever see committed versions.  The commit file is created
+without overwrite, so two racing writers cannot both publish one version, and since
+every attempt writes its own directory, a retry after a failure (or a racing writer)
+never touches files of a committed version; an uncommitted attempt is simply unused.  Writing a
 new version never overwrites the path it was computed from, which is what lets a merge
 read version N while producing N+1.
 
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +46,13 @@ def _commits(path: str) -> str:
     return f"{path.rstrip('/')}/_commits"
 
 
-def _data(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/data/v{version:020d}"
+def _data(path: str, version: int, attempt: str | None = None) -> str:
+    base = f"{path.rstrip('/')}/data/v{version:020d}"
+    return f"{base}-{attempt}" if attempt else base
+
+
+def _data_of(path: str, rec: dict) -> str:
+    return f"{path.rstrip('/')}/data/{rec['data']}" if rec.get("data") else _data(path, int(rec["version"]))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -133,21 +142,22 @@ def bucketing(spark: SparkSession, path: str, version: int | None = None) -> tup
     return (int(b["buckets"]), b["key"]) if b else None
 
 
-def _snapshot_table(path: str, version: int) -> str:
-    digest = hashlib.sha1(path.rstrip("/").encode("utf-8")).hexdigest()[:16]
-    return f"{SNAPSHOT_DB}.s_{digest}_v{version}"
+def _snapshot_table(data_dir: str) -> str:
+    digest = hashlib.sha1(data_dir.rstrip("/").encode("utf-8")).hexdigest()[:24]
+    return f"{SNAPSHOT_DB}.s_{digest}"
 
 
-def _register_bucketed(spark: SparkSession, path: str, version: int, rec: dict) -> str:
+def _register_bucketed(spark: SparkSession, path: str, rec: dict) -> str:
     from pyspark.sql.types import StructType
 
-    name = _snapshot_table(path, version)
+    data_dir = _data_of(path, rec)
+    name = _snapshot_table(data_dir)
     schema = StructType.fromJson(json.loads(rec["schema"]))
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     key, n = rec["bucketing"]["key"], int(rec["bucketing"]["buckets"])
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {SNAPSHOT_DB}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) "
-              f"SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{_data(path, version)}'")
+              f"SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{data_dir}'")
     return name
 
 
@@ -158,8 +168,8 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
         return spark.read.parquet(path)
     rec = read_commit(spark, path, v)
     if rec.get("bucketing"):
-        return spark.table(_register_bucketed(spark, path, v, rec))
-    return spark.read.parquet(_data(path, v))
+        return spark.table(_register_bucketed(spark, path, rec))
+    return spark.read.parquet(_data_of(path, rec))
 
 
 def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object] | None = None,
@@ -177,20 +187,22 @@ def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object]
     spark = df.sparkSession
     cur = current_version(spark, path)
     version = 0 if cur is None else cur + 1
-    record: dict = {"version": version, "operation": operation}
+    attempt = uuid.uuid4().hex[:12]
+    data_dir = _data(path, version, attempt)
+    record: dict = {"version": version, "operation": operation, "data": data_dir.rsplit("/", 1)[1]}
     if bucket_by:
         n, key = bucket_by
         record["bucketing"] = {"buckets": int(n), "key": key}
         record["schema"] = df.schema.json()
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {SNAPSHOT_DB}")
         (df.write.mode("errorifexists").format("parquet").bucketBy(int(n), key).sortBy(key)
-           .option("path", _data(path, version)).saveAsTable(_snapshot_table(path, version)))
+           .option("path", data_dir).saveAsTable(_snapshot_table(data_dir)))
     else:
-        df.write.mode("errorifexists").parquet(_data(path, version))
+        df.write.mode("errorifexists").parquet(data_dir)
     if commit_if is not None and not commit_if():
         if bucket_by:
-            spark.sql(f"DROP TABLE IF EXISTS {_snapshot_table(path, version)}")
-        fs, p = _fs(spark, _data(path, version))
+            spark.sql(f"DROP TABLE IF EXISTS {_snapshot_table(data_dir)}")
+        fs, p = _fs(spark, data_dir)
         fs.delete(p, True)
         return None
     m = {k: str(v) for k, v in (metrics or {}).items()}
