@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as dq
 from ..operators.inspect import describe
-from ..operators.refine import clean, current_rows, latest_per_key, merge_action_counts, merge_changes
+from ..operators.refine import clean, current_rows, latest_per_key, merge_action_counts
 from ..session import ensure_session, scratch_path
 from ..sources import feeds
 from ..sources.messages import decode_messages, peek, to_messages, write_messages

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -81,12 +80,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few helpers that need a plain local path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import iso_utc
-from ..spec import FEED_SCHEMA
 
 # --- fixed values: dirt injected into feed A (key moduli) and the op-code mappings ---
 A_NULL_PRICE_MOD = 97       # l_orderkey % 97 = 0  -> precio null
@@ -35,7 +34,6 @@ SCAN_SCHEMAS = {
 }
 # --- end of fixed values ---
 
-FEED_COLUMNS = FEED_SCHEMA.names
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
