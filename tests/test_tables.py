@@ -71,3 +71,13 @@ def test_failed_attempt_leaves_no_trace(spark, lake):
     assert T.current_version(spark, silver) == 1
     v = T.publish(T.read_table(spark, silver).limit(1), silver, "WRITE")
     assert v == 2 and T.read_table(spark, silver).count() == 1
+
+
+def test_bucket_count_grows_with_bronze_size(spark, lake):
+    from tidemark.plans.sizing import partitions_for, path_bytes, silver_buckets
+
+    assert partitions_for(10 * 2**30, 512 * 2**20, floor=8) == 20
+    assert partitions_for(10, 512 * 2**20, floor=8) == 8
+    size = path_bytes(spark, f"{lake}/silver")
+    assert size > 0 and path_bytes(spark, f"{lake}/nope") == 0
+    assert silver_buckets(spark, f"{lake}/silver", target_bytes=max(1, size // 40)) >= 40

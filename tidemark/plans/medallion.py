@@ -19,6 +19,7 @@ from ..session import ensure_session, shuffle_width
 from ..sources.tables import bucketing, publish, read_table, table_exists
 from ..spec import SALES, ChangeSpec
 from . import gold
+from .sizing import silver_buckets
 from .staging import stg_bronze, stg_silver
 
 GOLD_TABLES = ("gold_kpi_ventas", "gold_kpi_ventas_hora", "gold_kpi_producto")
@@ -74,6 +75,8 @@ def refine(spark: SparkSession, bronze_path: str, silver_path: str, spec: Change
     ensure_session(spark)
     if not table_exists(spark, bronze_path):
         return RefineResult("no_bronze")
+    if buckets is None and not table_exists(spark, silver_path):
+        buckets = silver_buckets(spark, bronze_path)
     return refine_frame(read_table(spark, bronze_path), silver_path, spec, buckets)
 
 
