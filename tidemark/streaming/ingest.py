@@ -35,8 +35,17 @@ DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
 def message_stream(spark: SparkSession, fmt: str = "kafka", options: dict[str, str] | None = None,
                    path: str | None = None) -> DataFrame:
-    """Unbounded message stream; ``fmt='kafka'`` takes broker options, file formats a path."""
+    """Unbounded message stream; ``fmt='kafka'`` takes broker options, file formats a path.
+
+    For Kafka, ``minPartitions`` defaults to the cluster's task slots: the source then
+    splits the offset range of a large topic partition over several tasks, so one hot
+    partition (say a third of the feed) does not become one long task.  On a large
+    backlog, pass ``maxOffsetsPerTrigger`` so the first micro-batches commit progress
+    in bounded steps.
+    """
     opts = dict(KAFKA_DEFAULTS if fmt == "kafka" else {})
+    if fmt == "kafka":
+        opts["minPartitions"] = str(spark.sparkContext.defaultParallelism)
     opts.update(options or {})
     reader = spark.readStream.format(fmt).options(**opts)
     if fmt != "kafka":
