@@ -89,3 +89,21 @@ def test_merge_reads_bucketed_silver_without_shuffling_it(spark, tmp_lake):
     res = refine_frame(second, path, S)
     assert res.status == "merged" and bucketing(spark, path) == (6, "tx_id")
     assert read_table(spark, path).count() == read_table(spark, path).select("tx_id").distinct().count()
+
+
+def test_incremental_merge_reads_state_in_place(spark, tmp_lake):
+    from tidemark.operators.refine import clean, latest_per_key, upsert_newest
+    from tidemark.plans.queries import _feed_a, _split
+    from tidemark.session import shuffle_width
+    from tidemark.sources.tables import read_table
+    from tidemark.spec import SALES_SEQ as S
+    from tidemark.streaming.refine_stream import merge_batch
+
+    first, second = _split(_feed_a(spark, SF0001))
+    state = f"{tmp_lake}/state"
+    merge_batch(first, state, S, buckets=5)
+    with shuffle_width(spark, 5):
+        new = upsert_newest(read_table(spark, state), latest_per_key(clean(second, S), S), S)
+        new.write.format("noop").mode("overwrite").save()
+        p = plan(new)
+    assert p.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in p

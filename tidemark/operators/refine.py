@@ -25,6 +25,7 @@ from ..spec import BRONZE_TECHNICAL, SALES, ChangeSpec
 # --- fixed values: merge outcome labels ---
 KEEP, UPDATE, INSERT, DELETE, IGNORE = "keep", "update", "insert", "delete", "ignore"
 SURVIVING_ACTIONS = (KEEP, UPDATE, INSERT)
+REPLACE, STALE = "replace", "stale"
 # --- end of fixed values ---
 
 
@@ -111,3 +112,41 @@ def merge_action_counts(target: DataFrame, source: DataFrame, spec: ChangeSpec =
     """``(action, rows)`` — how many keys each merge clause touched."""
     plan = merge_plan(target, source, spec, source_is_latest)
     return plan.groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def state_columns(spec: ChangeSpec) -> list[str]:
+    """Columns of the latest-event state: business columns plus any order tie-breakers."""
+    return list(spec.columns) + [c for c in spec.order_by if c not in spec.columns]
+
+
+def upsert_newest(state: DataFrame, latest: DataFrame, spec: ChangeSpec = SALES,
+                  observation: Observation | None = None) -> DataFrame:
+    """Latest-event state after a batch: per key, the newer of the stored and the incoming
+    latest event (deletes included, as tombstones).
+
+    "Newer" compares the spec's order columns as one tuple, so merging batches one by one
+    gives the latest event over all batches — the same as deduplicating everything at
+    once, whatever order the batches arrive in, and re-merging a batch changes nothing.
+    Both sides have at most one row per key; the join cannot fan out or skew.
+    """
+    cols = state_columns(spec)
+    order = list(spec.order_by)
+    t = state.select(*[F.col(c).alias(f"_t_{c}") for c in cols]).withColumn("_in_t", F.lit(True))
+    s = latest.select(*cols).withColumn("_in_s", F.lit(True))
+    j = t.join(s, t[f"_t_{spec.key}"] == s[spec.key], "full_outer")
+    newer = F.struct(*[F.col(c) for c in order]) > F.struct(*[F.col(f"_t_{c}") for c in order])
+    act = (F.when(F.col("_in_s").isNull(), F.lit(KEEP))
+            .when(F.col("_in_t").isNull(), F.lit(INSERT))
+            .when(newer, F.lit(REPLACE))
+            .otherwise(F.lit(STALE)))
+    j = j.withColumn("_action", act)
+    if observation is not None:
+        j = j.observe(observation, *[F.count_if(F.col("_action") == a).alias(f"num_{a}")
+                                     for a in (KEEP, INSERT, REPLACE, STALE)])
+    take_source = F.col("_action").isin(INSERT, REPLACE)
+    return j.select(*[F.when(take_source, F.col(c)).otherwise(F.col(f"_t_{c}")).alias(c) for c in cols])
+
+
+def current_from_state(state: DataFrame, spec: ChangeSpec = SALES) -> DataFrame:
+    """Current-state rows of a latest-event state: tombstones dropped, business columns only."""
+    return state.filter(~spec.is_delete()).select(*spec.columns)

@@ -159,6 +159,7 @@ ORACLE: dict[str, str] = {
     "dedup_latest": f"{WITH_A} select * from a_dedup",
     "silver_initial": f"{WITH_A} select * from a_silver",
     "silver_merge": f"{WITH_A} select * from a_silver",
+    "silver_incremental": f"{WITH_A} select * from a_silver",
     "merge_action_counts": f"""{WITH_SPLIT}
 select {MERGE_ACTION} as action, count(*) as key_count
 from e_silver t full outer join l_dedup s on t.tx_id = s.tx_id group by 1""",

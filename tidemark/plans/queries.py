@@ -24,6 +24,7 @@ from ..sources.messages import decode_messages, peek, to_messages, write_message
 from ..sources.tables import export_table, history, publish, read_table, save_as_table
 from ..spec import BRONZE_TECHNICAL, EVENT_COLUMNS, FEED_SCHEMA, SALES_SEQ
 from ..streaming.ingest import ingest_available
+from ..streaming.refine_stream import refine_incremental, silver_view
 from . import gold
 from .medallion import build_gold, quality, refine, refine_frame, run_medallion
 from .staging import enrich, stg_bronze, stg_silver
@@ -128,6 +129,19 @@ def q_silver_merge(spark, sf):
     return read_table(spark, path)
 
 
+def q_silver_incremental(spark, sf):
+    """Bronze landed in two batches of files; the incremental refine (a file stream over
+    Bronze merging each micro-batch into the latest-event state) runs after each."""
+    first, second = _split(_feed_a(spark, sf))
+    root = scratch_path(spark, "lake")
+    bronze, state, ckpt = f"{root}/bronze", f"{root}/state", f"{root}/checkpoints/refine"
+    first.write.parquet(bronze)
+    refine_incremental(spark, bronze, state, ckpt, SPEC)
+    second.write.mode("append").parquet(bronze)
+    refine_incremental(spark, bronze, state, ckpt, SPEC)
+    return silver_view(spark, state, SPEC)
+
+
 def q_merge_action_counts(spark, sf):
     first, second = _split(_feed_a(spark, sf))
     return merge_action_counts(_silver(first), second, SPEC).withColumnRenamed("rows", "key_count")
@@ -262,6 +276,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "silver_initial": q_silver_initial,
     "silver_merge": q_silver_merge,
+    "silver_incremental": q_silver_incremental,
     "merge_action_counts": q_merge_action_counts,
     "table_history": q_table_history,
     "stg_bronze": q_stg_bronze,
