@@ -23,3 +23,17 @@ def test_jobs_end_to_end(spark, tmp_lake, capsys):
     assert "rows: 1" in capsys.readouterr().out
     assert main(["export", "--gold", g, "--dest", f"{tmp_lake}/out", "gold_kpi_producto"], spark) == 0
     assert spark.read.parquet(f"{tmp_lake}/out/gold/gold_kpi_producto").count() == 1
+
+
+def test_incremental_run_matches_batch_run(spark, tmp_lake):
+    rows = [ev("a", "INSERT", day(1)), ev("b", "INSERT", day(1, 5), precio=2.5), ev("b", "DELETE", day(2)),
+            ev("c", "UPDATE", day(2, 7))]
+    b = f"{tmp_lake}/bronze"
+    frame(spark, rows).write.parquet(b)
+    assert main(["run", "--bronze", b, "--silver", f"{tmp_lake}/s1", "--gold", f"{tmp_lake}/g1"], spark) == 0
+    assert main(["run", "--bronze", b, "--silver", f"{tmp_lake}/s2", "--gold", f"{tmp_lake}/g2", "--incremental"],
+                spark) == 0
+    for t in ("gold_kpi_ventas", "gold_kpi_ventas_hora", "gold_kpi_producto"):
+        a = sorted(map(tuple, read_table(spark, f"{tmp_lake}/g1/{t}").collect()))
+        c = sorted(map(tuple, read_table(spark, f"{tmp_lake}/g2/{t}").collect()))
+        assert a == c and a

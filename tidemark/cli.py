@@ -41,6 +41,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             p.add_argument("--gold", required=True)
         if name in ("refine", "run"):
             p.add_argument("--buckets", type=int)
+            p.add_argument("--incremental", action="store_true",
+                           help="read only new Bronze files; --silver then holds the latest-event state")
+            p.add_argument("--checkpoint")
     i = sub.add_parser("inspect")
     i.add_argument("path")
     i.add_argument("n", nargs="?", type=int, default=20)
@@ -63,8 +66,16 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             start_bronze_ingest(spark, args.bronze, args.checkpoint, args.format, _opts(args.option),
                                 args.source).awaitTermination()
     elif args.cmd == "refine":
-        res = M.refine(spark, args.bronze, args.silver, buckets=args.buckets)
-        print(json.dumps({"status": res.status, "version": res.version, "metrics": res.metrics}))
+        if args.incremental:
+            from .streaming.refine_stream import refine_incremental
+
+            status = refine_incremental(spark, args.bronze, args.silver,
+                                        args.checkpoint or f"{args.silver.rstrip('/')}/_checkpoint",
+                                        buckets=args.buckets)
+            print(json.dumps({"status": status}))
+        else:
+            res = M.refine(spark, args.bronze, args.silver, buckets=args.buckets)
+            print(json.dumps({"status": res.status, "version": res.version, "metrics": res.metrics}))
     elif args.cmd == "gold":
         print(json.dumps(M.build_gold(spark, args.silver, args.gold)))
     elif args.cmd == "test":
@@ -75,7 +86,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         for row in gate(res):
             print(json.dumps(row, default=str))
     elif args.cmd == "run":
-        out = M.run_medallion(spark, args.bronze, args.silver, args.gold)
+        out = M.run_medallion(spark, args.bronze, args.silver, args.gold, incremental=args.incremental,
+                              checkpoint=args.checkpoint)
         print(json.dumps({"refine": out["refine"].status, "gold": out["gold"],
                           "failed": [r for r in out["quality"] if r["status"] != "pass"]}, default=str))
     elif args.cmd == "inspect":

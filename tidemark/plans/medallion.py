@@ -90,14 +90,15 @@ def gold_frames(silver: DataFrame, key_unique: bool = True) -> dict[str, DataFra
     }
 
 
-def build_gold(spark: SparkSession, silver_path: str, gold_root: str) -> dict[str, str]:
-    """Rebuild the three Gold tables from current Silver (full rebuild, new versions).
+def build_gold(spark: SparkSession, silver, gold_root: str) -> dict[str, str]:
+    """Rebuild the three Gold tables from current Silver (a path or a DataFrame; full
+    rebuild, new versions).
 
     The three tables are independent, so their jobs are submitted together and share the
     cluster instead of running back to back; each one is a separate, retryable job.
     """
     ensure_session(spark)
-    silver = read_table(spark, silver_path)
+    silver = read_table(spark, silver) if isinstance(silver, str) else silver
     paths = {name: f"{gold_root.rstrip('/')}/{name}" for name in GOLD_TABLES}
     frames = gold_frames(silver)
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
@@ -114,18 +115,32 @@ def quality(spark: SparkSession, bronze: DataFrame, silver: DataFrame, golds: di
 
 
 def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_root: str,
-                  spec: ChangeSpec = SALES, enforce: bool = True) -> dict:
+                  spec: ChangeSpec = SALES, enforce: bool = True, incremental: bool = False,
+                  checkpoint: str | None = None) -> dict:
     """Refine, then build Gold, then test every layer; stop at the first failing step.
 
     As in the scheduled run, the tests come after Gold is built; an error-severity
-    failure raises (``enforce``), a warn-severity one is only reported.
+    failure raises (``enforce``), a warn-severity one is only reported.  With
+    ``incremental`` the refine reads only Bronze files not processed yet (``checkpoint``
+    tracks them) and ``silver_path`` holds the latest-event state; Silver is its view.
     """
     ensure_session(spark)
-    res = refine(spark, bronze_path, silver_path, spec)
-    if res.status in ("no_bronze", "no_events") and not table_exists(spark, silver_path):
-        return {"refine": res, "gold": {}, "quality": []}
-    paths = build_gold(spark, silver_path, gold_root)
+    if incremental:
+        from ..streaming.refine_stream import refine_incremental, silver_view
+
+        status = refine_incremental(spark, bronze_path, silver_path,
+                                    checkpoint or f"{silver_path.rstrip('/')}/_checkpoint", spec)
+        res = RefineResult(status)
+        if not table_exists(spark, silver_path):
+            return {"refine": res, "gold": {}, "quality": []}
+        silver = silver_view(spark, silver_path, spec)
+    else:
+        res = refine(spark, bronze_path, silver_path, spec)
+        if res.status in ("no_bronze", "no_events") and not table_exists(spark, silver_path):
+            return {"refine": res, "gold": {}, "quality": []}
+        silver = read_table(spark, silver_path)
+    paths = build_gold(spark, silver, gold_root)
     golds = {n: read_table(spark, p) for n, p in paths.items()}
-    results = quality(spark, read_table(spark, bronze_path), read_table(spark, silver_path), golds)
+    results = quality(spark, read_table(spark, bronze_path), silver, golds)
     rows = gate(results) if enforce else [r.asDict() for r in results.collect()]
     return {"refine": res, "gold": paths, "quality": rows}
