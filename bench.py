@@ -1,9 +1,10 @@
 """Bench: time the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is built from the raw tables and run to completion into Spark's ``noop``
-sink (every row produced, nothing collected).  Each query runs once untimed (JIT and
-code-generation warm-up of its own code paths), then $BENCH_RUNS (3) timed runs; the
-reported time is the median (steady state).  Prints one JSON line.
+sink (every row produced, nothing collected).  $BENCH_WARMUP (2) untimed passes over
+all queries warm the JVM (JIT, code generation), then $BENCH_RUNS (3) timed passes
+run the queries interleaved; the reported time per query is its median (steady
+state).  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from tidemark.session import build_session  # noqa: E402
 
 HEADLINE = ["dedup_latest", "silver_merge", "gold_daily", "gold_hourly", "gold_product", "dq_results", "bronze_ingest"]
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+WARMUP = int(os.environ.get("BENCH_WARMUP", "2"))
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:
@@ -36,15 +38,18 @@ def main() -> None:
         f"local[{cpus}]", app="tidemark-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)),
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     names = sys.argv[1:] or HEADLINE
-    times = {}
-    for name in names:
-        run_once(spark, name, sf_dir)              # warm-up, not timed
-        runs = [run_once(spark, name, sf_dir) for _ in range(RUNS)]
-        times[name] = round(statistics.median(runs), 3)
+    for _ in range(WARMUP):                        # untimed
+        for name in names:
+            run_once(spark, name, sf_dir)
+    runs: dict[str, list[float]] = {name: [] for name in names}
+    for _ in range(RUNS):
+        for name in names:
+            runs[name].append(run_once(spark, name, sf_dir))
+    times = {name: round(statistics.median(r), 3) for name, r in runs.items()}
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                      "cpus": cpus, "runs": RUNS}))
+                      "cpus": cpus, "runs": RUNS, "warmup": WARMUP}))
     spark.stop()
 
 
