@@ -46,3 +46,8 @@ def test_medallion_suite_has_21_tests(spark):
     checks = dq.medallion_checks()
     assert len(checks) == 21
     assert sum(c.severity == dq.WARN for c in checks) == 2
+
+
+def test_empty_suite(spark):
+    df = frame(spark, [ev("a", "INSERT", day(1))])
+    assert dq.run_suite({"m": df}, []).count() == 0

@@ -81,3 +81,18 @@ def test_bucket_count_grows_with_bronze_size(spark, lake):
     size = path_bytes(spark, f"{lake}/silver")
     assert size > 0 and path_bytes(spark, f"{lake}/nope") == 0
     assert silver_buckets(spark, f"{lake}/silver", target_bytes=max(1, size // 40)) >= 40
+
+
+def test_empty_inputs(spark, tmp_lake):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.ranking import with_position
+    from tidemark.plans import gold
+
+    empty = frame(spark, [])
+    T.publish(empty, f"{tmp_lake}/e", "WRITE")
+    assert T.read_table(spark, f"{tmp_lake}/e").count() == 0
+    assert T.export_table(spark, f"{tmp_lake}/e", f"{tmp_lake}/x").count() == 0
+    assert with_position(empty, [F.col("tx_id")]).count() == 0
+    assert gold.product_ranking(gold.by_product(
+        T.read_table(spark, f"{tmp_lake}/e").drop("seq").withColumnRenamed("timestamp", "venta_timestamp"))).count() == 0

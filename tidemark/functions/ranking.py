@@ -30,8 +30,9 @@ def with_position(df: DataFrame, order: list[Column], name: str = "pos", partiti
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "ranked")
-    df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).write.parquet(path)
-    tagged = spark.read.parquet(path)
+    staged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    staged.write.parquet(path)
+    tagged = spark.read.schema(staged.schema).parquet(path)
     local = tagged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: the running total over it is a bounded, tiny computation.

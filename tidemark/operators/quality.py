@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ERROR, WARN = "error", "warn"
+RESULT_SCHEMA = "model string, column_name string, test string, severity string, failures bigint, status string"
 
 
 @dataclass(frozen=True)
@@ -82,6 +83,11 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
                 raise ValueError(f"unknown test {c.test!r}")
             parts.append(f.select(F.lit(model).alias("model"), F.lit(c.column).alias("column_name"),
                                   F.lit(c.test).alias("test"), F.lit(c.severity).alias("severity"), "failures"))
+    if not parts:
+        spark = next(iter(models.values())).sparkSession if models else None
+        if spark is None:
+            raise ValueError("no models and no checks")
+        return spark.createDataFrame([], RESULT_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

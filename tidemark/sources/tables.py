@@ -169,7 +169,12 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     rec = read_commit(spark, path, v)
     if rec.get("bucketing"):
         return spark.table(_register_bucketed(spark, path, rec))
-    return spark.read.parquet(_data_of(path, rec))
+    reader = spark.read
+    if rec.get("schema"):                    # committed schema: no footer sampling, empty snapshots read fine
+        from pyspark.sql.types import StructType
+
+        reader = reader.schema(StructType.fromJson(json.loads(rec["schema"])))
+    return reader.parquet(_data_of(path, rec))
 
 
 def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object] | None = None,
@@ -189,11 +194,11 @@ def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object]
     version = 0 if cur is None else cur + 1
     attempt = uuid.uuid4().hex[:12]
     data_dir = _data(path, version, attempt)
-    record: dict = {"version": version, "operation": operation, "data": data_dir.rsplit("/", 1)[1]}
+    record: dict = {"version": version, "operation": operation, "data": data_dir.rsplit("/", 1)[1],
+                    "schema": df.schema.json()}
     if bucket_by:
         n, key = bucket_by
         record["bucketing"] = {"buckets": int(n), "key": key}
-        record["schema"] = df.schema.json()
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {SNAPSHOT_DB}")
         (df.write.mode("errorifexists").format("parquet").bucketBy(int(n), key).sortBy(key)
            .option("path", data_dir).saveAsTable(_snapshot_table(data_dir)))
@@ -221,8 +226,9 @@ def export_table(spark: SparkSession, source: str, dest: str) -> DataFrame:
     """
     if not table_exists(spark, source):
         raise FileNotFoundError(f"no table at {source}")
-    read_table(spark, source).write.mode("overwrite").parquet(dest)
-    return spark.read.parquet(dest)
+    df = read_table(spark, source)
+    df.write.mode("overwrite").parquet(dest)
+    return spark.read.schema(df.schema).parquet(dest)
 
 
 # --- fixed values: the Gold tables that can be exported ---
