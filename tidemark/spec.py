@@ -7,7 +7,7 @@ retail sales feed (eight event fields) that the rest of the package defaults to.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,29 +68,12 @@ class ChangeSpec:
 
     def with_tiebreak(self, *cols: str) -> ChangeSpec:
         """Same spec with extra descending tie-breaker columns (e.g. ``seq``)."""
-        return ChangeSpec(
-            key=self.key,
-            order_by=tuple(self.order_by) + tuple(cols),
-            op_col=self.op_col,
-            operations=self.operations,
-            delete_ops=self.delete_ops,
-            required=self.required,
-            positive=self.positive,
-            columns=self.columns,
-            schema=StructType(
-                self.schema.fields
-                + [f for f in FEED_SCHEMA.fields if f.name in cols and f.name not in self.schema.names]
-            ),
-        )
+        extra = [f for f in FEED_SCHEMA.fields if f.name in cols and f.name not in self.schema.names]
+        return replace(self, order_by=tuple(self.order_by) + tuple(cols), schema=StructType(self.schema.fields + extra))
 
     def is_delete(self) -> Column:
         return F.col(self.op_col).isin(*self.delete_ops)
 
-    def is_upsert(self) -> Column:
-        """Operation is a known non-delete code (null or unknown codes are neither)."""
-        upserts = [op for op in self.operations if op not in self.delete_ops]
-        return F.col(self.op_col).isin(*upserts)
-
 
 SALES = ChangeSpec()
 # Sales preset with the deterministic ``seq`` tie-breaker used by the derived feeds.
