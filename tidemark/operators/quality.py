@@ -58,12 +58,25 @@ def _label(check: Check) -> DataFrame:
                     F.lit(check.test).alias("test"), F.lit(check.severity).alias("severity"))
 
 
-def run_suite(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Evaluate ``checks`` against ``models`` (name → DataFrame) into one result frame."""
+def run_suite(models: dict[str, DataFrame], checks: list[Check], precomputed: dict | None = None) -> DataFrame:
+    """Evaluate ``checks`` against ``models`` (name → DataFrame) into one result frame.
+
+    ``precomputed`` maps ``(model, column, test)`` to a failure count already measured by
+    an earlier job over the same data (e.g. null counts observed while refining); those
+    checks are reported from it instead of scanning the model again.
+    """
     parts: list[DataFrame] = []
+    pre = precomputed or {}
     by_model: dict[str, list[Check]] = {}
+    known = [c for c in checks if (c.model, c.column, c.test) in pre]
+    if known:
+        spark = next(iter(models.values())).sparkSession
+        rows = [(c.model, c.column, c.test, c.severity, int(pre[(c.model, c.column, c.test)])) for c in known]
+        parts.append(spark.createDataFrame(rows, "model string, column_name string, test string, severity string, "
+                                                 "failures bigint"))
     for c in checks:
-        by_model.setdefault(c.model, []).append(c)
+        if (c.model, c.column, c.test) not in pre:
+            by_model.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
         df = models[model]
         nn = [c for c in cs if c.test == "not_null"]

@@ -33,7 +33,7 @@ class RefineResult:
 
 
 def refine_frame(bronze: DataFrame, silver_path: str, spec: ChangeSpec = SALES,
-                 buckets: int | None = None) -> RefineResult:
+                 buckets: int | None = None, profile: tuple[str, ...] = ()) -> RefineResult:
     """Apply a Bronze DataFrame to the Silver table at ``silver_path``.
 
     One job per run: clean → latest per key → (merge with current Silver) → write the new
@@ -45,8 +45,20 @@ def refine_frame(bronze: DataFrame, silver_path: str, spec: ChangeSpec = SALES,
     current one; 0 = unbucketed).  The job runs with its shuffle width equal to the
     bucket count, so the dedup shuffle of the changes lines up with the stored buckets:
     the merge join reads Silver in place and every task writes one bucket.
+
+    ``profile`` columns get their Bronze null counts observed by the same scan
+    (``metrics['bronze_rows']``, ``metrics['bronze_nulls:<col>']``), so the Bronze
+    ``not_null`` tests need no second pass over Bronze.  The observation sits above the
+    scan, so the cleaning predicates are evaluated after it instead of inside it; they
+    cannot skip row groups of a change feed anyway (nulls and non-positive values are
+    scattered), and every row is read for the dedup regardless.
     """
     spark = bronze.sparkSession
+    prof = None
+    if profile:
+        prof = Observation("bronze_profile")
+        bronze = bronze.observe(prof, F.count(F.lit(1)).alias("bronze_rows"),
+                                *[F.count_if(F.col(c).isNull()).alias(f"bronze_nulls:{c}") for c in profile])
     seen = Observation("clean_events")
     cleaned = clean(bronze, spec).observe(seen, F.count(F.lit(1)).alias("clean_events"))
     has_events = lambda: seen.get["clean_events"] > 0
@@ -59,25 +71,29 @@ def refine_frame(bronze: DataFrame, silver_path: str, spec: ChangeSpec = SALES,
             merged = merge_changes(read_table(spark, silver_path), latest, spec, source_is_latest=True, observation=obs)
             v = publish(merged, silver_path, "MERGE", metrics_fn=lambda: obs.get,
                         bucket_by=(n, spec.key) if n else None, commit_if=has_events)
-        return RefineResult("merged", v, dict(obs.get)) if v is not None else RefineResult("no_events")
+        out = RefineResult("merged", v, dict(obs.get)) if v is not None else RefineResult("no_events")
+        out.metrics.update(prof.get if prof else {})
+        return out
     n = int(spark.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
     with shuffle_width(spark, n or None):
         obs = Observation("write")
         rows = current_rows(latest_per_key(cleaned, spec), spec).observe(obs, F.count(F.lit(1)).alias("num_output_rows"))
         v = publish(rows, silver_path, "WRITE", metrics_fn=lambda: obs.get, bucket_by=(n, spec.key) if n else None,
                     commit_if=has_events)
-    return RefineResult("created", v, dict(obs.get)) if v is not None else RefineResult("no_events")
+    out = RefineResult("created", v, dict(obs.get)) if v is not None else RefineResult("no_events")
+    out.metrics.update(prof.get if prof else {})
+    return out
 
 
 def refine(spark: SparkSession, bronze_path: str, silver_path: str, spec: ChangeSpec = SALES,
-           buckets: int | None = None) -> RefineResult:
+           buckets: int | None = None, profile: tuple[str, ...] = ()) -> RefineResult:
     """Bronze path → Silver path; a missing Bronze is a no-op."""
     ensure_session(spark)
     if not table_exists(spark, bronze_path):
         return RefineResult("no_bronze")
     if buckets is None and not table_exists(spark, silver_path):
         buckets = silver_buckets(spark, bronze_path)
-    return refine_frame(read_table(spark, bronze_path), silver_path, spec, buckets)
+    return refine_frame(read_table(spark, bronze_path), silver_path, spec, buckets, profile)
 
 
 def gold_frames(silver: DataFrame, key_unique: bool = True) -> dict[str, DataFrame]:
@@ -109,9 +125,24 @@ def build_gold(spark: SparkSession, silver, gold_root: str) -> dict[str, str]:
     return paths
 
 
-def quality(spark: SparkSession, bronze: DataFrame, silver: DataFrame, golds: dict[str, DataFrame]) -> DataFrame:
-    models = {"stg_silver_ventas": stg_silver(silver), "stg_bronze_ventas": stg_bronze(bronze), **golds}
-    return run_suite(models, medallion_checks())
+BRONZE_MODEL = "stg_bronze_ventas"
+
+
+def bronze_profile_columns() -> tuple[str, ...]:
+    """Columns whose Bronze null counts the refine job can observe for the suite."""
+    return tuple(c.column for c in medallion_checks() if c.model == BRONZE_MODEL and c.test == "not_null")
+
+
+def profiled_failures(metrics: dict) -> dict:
+    """Bronze ``not_null`` failure counts taken from a refine job's observed profile."""
+    return {(BRONZE_MODEL, c, "not_null"): int(metrics[f"bronze_nulls:{c}"])
+            for c in bronze_profile_columns() if f"bronze_nulls:{c}" in metrics}
+
+
+def quality(spark: SparkSession, bronze: DataFrame, silver: DataFrame, golds: dict[str, DataFrame],
+            precomputed: dict | None = None) -> DataFrame:
+    models = {"stg_silver_ventas": stg_silver(silver), BRONZE_MODEL: stg_bronze(bronze), **golds}
+    return run_suite(models, medallion_checks(), precomputed)
 
 
 def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_root: str,
@@ -135,12 +166,12 @@ def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_
             return {"refine": res, "gold": {}, "quality": []}
         silver = silver_view(spark, silver_path, spec)
     else:
-        res = refine(spark, bronze_path, silver_path, spec)
+        res = refine(spark, bronze_path, silver_path, spec, profile=bronze_profile_columns())
         if res.status in ("no_bronze", "no_events") and not table_exists(spark, silver_path):
             return {"refine": res, "gold": {}, "quality": []}
         silver = read_table(spark, silver_path)
     paths = build_gold(spark, silver, gold_root)
     golds = {n: read_table(spark, p) for n, p in paths.items()}
-    results = quality(spark, read_table(spark, bronze_path), silver, golds)
+    results = quality(spark, read_table(spark, bronze_path), silver, golds, profiled_failures(res.metrics))
     rows = gate(results) if enforce else [r.asDict() for r in results.collect()]
     return {"refine": res, "gold": paths, "quality": rows}
