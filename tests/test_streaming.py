@@ -43,3 +43,20 @@ def test_bronze_refines_to_silver(spark, tmp_lake):
     res = refine(spark, bronze, f"{tmp_lake}/silver", SALES_SEQ)       # rescan: idempotent merge
     assert res.status == "merged" and res.version == 1
     assert [r.tx_id for r in read_table(spark, f"{tmp_lake}/silver").collect()] == ["b"]
+
+
+def test_continuous_capture_with_processing_time_trigger(spark, tmp_lake):
+    from tidemark.streaming.ingest import start_bronze_ingest
+
+    src, bronze, ckpt = f"{tmp_lake}/topic", f"{tmp_lake}/bronze", f"{tmp_lake}/ckpt"
+    write_messages(to_messages(frame(spark, [ev("a", "INSERT", day(1))])), f"{src}/a", files=1)
+    q = start_bronze_ingest(spark, bronze, ckpt, fmt="parquet", source_path=f"{src}/*",
+                            trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        write_messages(to_messages(frame(spark, [ev("b", "INSERT", day(2))])), f"{src}/b", files=1)
+        q.processAllAvailable()
+        assert q.isActive and q.exception() is None
+    finally:
+        q.stop()
+    assert sorted(r.tx_id for r in spark.read.parquet(bronze).collect()) == ["a", "b"]
