@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
@@ -219,12 +219,14 @@ def q_silver_preview(spark, sf):
 
 
 def q_layer_counts(spark, sf):
-    feed = _feed_a(spark, sf)
-    silver = _silver(feed)
-    daily = gold.daily(stg_silver(silver), ordered=False, key_unique=True)
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("layer"), "row_count")
-             for n, df in (("bronze", feed), ("silver", silver), ("gold_daily", daily))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Rows per layer, counted in one job: Bronze and Silver rows are observed on their
+    way into the daily Gold aggregation, whose rows are counted at the end."""
+    bronze_seen, silver_seen = Observation("bronze_rows"), Observation("silver_rows")
+    feed = _feed_a(spark, sf).observe(bronze_seen, F.count(F.lit(1)).alias("n"))
+    silver = _silver(feed).observe(silver_seen, F.count(F.lit(1)).alias("n"))
+    gold_rows = gold.daily(stg_silver(silver), ordered=False, key_unique=True).count()
+    rows = [("bronze", bronze_seen.get["n"]), ("silver", silver_seen.get["n"]), ("gold_daily", gold_rows)]
+    return spark.createDataFrame(rows, "layer string, row_count bigint")
 
 
 def q_inspect_schema(spark, sf):
