@@ -20,7 +20,7 @@ from ..operators.inspect import describe
 from ..operators.refine import clean, current_rows, latest_per_key, merge_action_counts
 from ..session import ensure_session, scratch_path
 from ..sources import feeds
-from ..sources.messages import decode_messages, peek, to_messages, write_messages
+from ..sources.messages import decode_messages, peek, read_messages, to_messages, write_messages
 from ..sources.tables import export_table, history, publish, read_table, save_as_table
 from ..spec import BRONZE_TECHNICAL, EVENT_COLUMNS, FEED_SCHEMA, SALES_SEQ
 from ..streaming.ingest import ingest_available
@@ -67,7 +67,9 @@ def q_feed_json_roundtrip(spark, sf):
 
 
 def q_feed_peek(spark, sf):
-    msgs = to_messages(_feed_b(spark, sf))
+    """Bounded read of the landed topic (``kafka`` with start / end offsets in production),
+    decoded, first 10 events in feed order."""
+    msgs = read_messages(spark, "parquet", path=_land_messages(spark, sf))
     return peek(msgs, 10, order_by=[F.col("seq")]).drop("kafka_timestamp")
 
 
