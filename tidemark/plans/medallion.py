@@ -17,12 +17,11 @@ from ..operators.quality import gate, medallion_checks, run_suite
 from ..operators.refine import clean, current_rows, latest_per_key, merge_changes
 from ..session import ensure_session, shuffle_width
 from ..sources.tables import bucketing, publish, read_table, table_exists
-from ..spec import SALES, ChangeSpec
+from ..spec import GOLD_TABLES, SALES, ChangeSpec
 from . import gold
 from .sizing import silver_buckets
 from .staging import stg_bronze, stg_silver
 
-GOLD_TABLES = ("gold_kpi_ventas", "gold_kpi_ventas_hora", "gold_kpi_producto")
 
 
 @dataclass

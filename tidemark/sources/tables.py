@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType, TimestampType
 
+from ..spec import GOLD_TABLES
+
 COMMIT_SCHEMA = StructType(
     [
         StructField("version", LongType(), False),
@@ -231,11 +233,6 @@ def export_table(spark: SparkSession, source: str, dest: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(dest)
 
 
-# --- fixed values: the Gold tables that can be exported ---
-GOLD_TABLES = ("gold_kpi_ventas", "gold_kpi_ventas_hora", "gold_kpi_producto")
-# --- end of fixed values ---
-
-
 def export_gold(spark: SparkSession, gold_root: str, dest_root: str, which: str = "all") -> dict[str, str]:
     """Copy one named Gold table, or ``all``, to ``<dest_root>/gold/<table>`` (replacing it).
 

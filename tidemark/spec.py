@@ -40,6 +40,8 @@ OPERATIONS = ["INSERT", "UPDATE", "DELETE"]
 DELETE_OPERATIONS = ["DELETE"]
 # Technical columns added by the Bronze capture.
 BRONZE_TECHNICAL = ["kafka_timestamp", "ingestion_timestamp"]
+# Gold tables: daily, hourly and per-product KPIs.
+GOLD_TABLES = ("gold_kpi_ventas", "gold_kpi_ventas_hora", "gold_kpi_producto")
 # --- end of fixed values ---
 
 # The derived test feeds carry a deterministic tie-breaker next to the event fields.
