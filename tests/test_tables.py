@@ -96,3 +96,19 @@ def test_empty_inputs(spark, tmp_lake):
     assert with_position(empty, [F.col("tx_id")]).count() == 0
     assert gold.product_ranking(gold.by_product(
         T.read_table(spark, f"{tmp_lake}/e").drop("seq").withColumnRenamed("timestamp", "venta_timestamp"))).count() == 0
+
+
+def test_vacuum_keeps_newest_versions_and_history(spark, tmp_lake):
+    path = f"{tmp_lake}/t"
+    for i in range(4):
+        T.publish(frame(spark, [ev(f"k{i}", "INSERT", day(1))]), path, "WRITE", bucket_by=(2, "tx_id") if i % 2 else None)
+    orphan = T._data(path, 1, "0rphan000000")
+    frame(spark, []).write.parquet(orphan)                 # never committed
+    in_flight = T._data(path, 4, "inflight0000")
+    frame(spark, []).write.parquet(in_flight)              # a writer still at work
+    removed = T.vacuum(spark, path, retain_versions=2)
+    assert len(removed) == 3 and all(r.startswith(("v00000000000000000000", "v00000000000000000001")) for r in removed)
+    assert T.path_exists(spark, in_flight)
+    assert [r.tx_id for r in T.read_table(spark, path).collect()] == ["k3"]
+    assert [r.tx_id for r in T.read_table(spark, path, version=2).collect()] == ["k2"]
+    assert T.history(spark, path).count() == 4

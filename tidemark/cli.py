@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             p.add_argument("--incremental", action="store_true",
                            help="read only new Bronze files; --silver then holds the latest-event state")
             p.add_argument("--checkpoint")
+        if name == "run":
+            p.add_argument("--retain", type=int, default=3, help="versions of each table kept (0 = all)")
     i = sub.add_parser("inspect")
     i.add_argument("path")
     i.add_argument("n", nargs="?", type=int, default=20)
@@ -87,7 +89,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             print(json.dumps(row, default=str))
     elif args.cmd == "run":
         out = M.run_medallion(spark, args.bronze, args.silver, args.gold, incremental=args.incremental,
-                              checkpoint=args.checkpoint)
+                              checkpoint=args.checkpoint, retain_versions=args.retain or None)
         print(json.dumps({"refine": out["refine"].status, "gold": out["gold"],
                           "failed": [r for r in out["quality"] if r["status"] != "pass"]}, default=str))
     elif args.cmd == "inspect":

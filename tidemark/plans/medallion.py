@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.quality import gate, medallion_checks, run_suite
 from ..operators.refine import clean, current_rows, latest_per_key, merge_changes
 from ..session import ensure_session, shuffle_width
-from ..sources.tables import bucketing, publish, read_table, table_exists
+from ..sources.tables import bucketing, publish, read_table, table_exists, vacuum
 from ..spec import GOLD_TABLES, SALES, ChangeSpec
 from . import gold
 from .sizing import silver_buckets
@@ -146,13 +146,15 @@ def quality(spark: SparkSession, bronze: DataFrame, silver: DataFrame, golds: di
 
 def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_root: str,
                   spec: ChangeSpec = SALES, enforce: bool = True, incremental: bool = False,
-                  checkpoint: str | None = None) -> dict:
+                  checkpoint: str | None = None, retain_versions: int | None = 3) -> dict:
     """Refine, then build Gold, then test every layer; stop at the first failing step.
 
     As in the scheduled run, the tests come after Gold is built; an error-severity
     failure raises (``enforce``), a warn-severity one is only reported.  With
     ``incremental`` the refine reads only Bronze files not processed yet (``checkpoint``
     tracks them) and ``silver_path`` holds the latest-event state; Silver is its view.
+    Every run writes full new versions of Silver and Gold; after the tests, data of all
+    but the newest ``retain_versions`` versions is removed (None keeps everything).
     """
     ensure_session(spark)
     if incremental:
@@ -173,4 +175,7 @@ def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_
     golds = {n: read_table(spark, p) for n, p in paths.items()}
     results = quality(spark, read_table(spark, bronze_path), silver, golds, profiled_failures(res.metrics))
     rows = gate(results) if enforce else [r.asDict() for r in results.collect()]
+    if retain_versions:
+        for p in [silver_path, *paths.values()]:
+            vacuum(spark, p, retain_versions)
     return {"refine": res, "gold": paths, "quality": rows}

@@ -221,6 +221,38 @@ def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object]
     return version
 
 
+def vacuum(spark: SparkSession, path: str, retain_versions: int = 3) -> list[str]:
+    """Delete the data of all but the newest ``retain_versions`` committed versions, and
+    attempts that were never committed, of a snapshot table.  Returns the removed dirs.
+
+    Commit files are kept, so the history still lists every version.  Directories of
+    versions newer than the current one (a writer still at work) are never touched.
+    Readers still scanning a removed version fail, as with any retention window.
+    """
+    if retain_versions < 1:
+        raise ValueError("retain_versions must be at least 1")
+    vs = versions(spark, path)
+    if not vs:
+        return []
+    keep = {read_commit(spark, path, v).get("data") for v in vs[-retain_versions:]}
+    newest = vs[-1]
+    fs, root = _fs(spark, f"{path.rstrip('/')}/data")
+    if not fs.exists(root):
+        return []
+    removed = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith("v") and name[1:21].isdigit()):
+            continue
+        if int(name[1:21]) > newest or name in keep:
+            continue
+        data_dir = f"{path.rstrip('/')}/data/{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {_snapshot_table(data_dir)}")
+        fs.delete(st.getPath(), True)
+        removed.append(name)
+    return sorted(removed)
+
+
 def export_table(spark: SparkSession, source: str, dest: str) -> DataFrame:
     """Copy the current snapshot of a table to ``dest`` (any Hadoop URI), replacing it.
 
