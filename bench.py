@@ -46,6 +46,8 @@ def main() -> None:
         for name in names:
             runs[name].append(run_once(spark, name, sf_dir))
     times = {name: round(statistics.median(r), 3) for name, r in runs.items()}
+    if os.environ.get("BENCH_VERBOSE"):
+        print(json.dumps({n: [round(x, 2) for x in r] for n, r in runs.items()}), file=sys.stderr)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
