@@ -112,3 +112,15 @@ def test_vacuum_keeps_newest_versions_and_history(spark, tmp_lake):
     assert [r.tx_id for r in T.read_table(spark, path).collect()] == ["k3"]
     assert [r.tx_id for r in T.read_table(spark, path, version=2).collect()] == ["k2"]
     assert T.history(spark, path).count() == 4
+
+
+def test_tune_shuffle_partitions_only_raises(spark, lake):
+    from tidemark.plans.sizing import tune_shuffle_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert tune_shuffle_partitions(spark, [f"{lake}/silver"]) == int(before)
+        n = tune_shuffle_partitions(spark, [f"{lake}/silver"], target_bytes=64)
+        assert n > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

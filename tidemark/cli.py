@@ -57,8 +57,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     spark = spark or build_session(app=f"tidemark-{args.cmd}")
 
     from .plans import medallion as M
+    from .plans.sizing import tune_shuffle_partitions
     from .sources import tables as T
 
+    if args.cmd in ("refine", "test", "run"):
+        tune_shuffle_partitions(spark, [args.bronze])    # shuffles sized from the Bronze bytes
+
     if args.cmd == "ingest":
         from .streaming.ingest import ingest_available, start_bronze_ingest
 

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 # --- fixed values: size targets ---
 TARGET_BUCKET_BYTES = 512 * 1024 * 1024      # one Silver bucket file (compressed parquet)
+TARGET_SHUFFLE_BYTES = 256 * 1024 * 1024     # input bytes per initial shuffle partition
 # --- end of fixed values ---
 
 
@@ -32,3 +33,14 @@ def silver_buckets(spark: SparkSession, bronze_path: str, target_bytes: int = TA
     Bronze feed (an upper bound of Silver's size) would make buckets larger than the target."""
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return partitions_for(path_bytes(spark, bronze_path), target_bytes, floor)
+
+
+def tune_shuffle_partitions(spark: SparkSession, paths: list[str], target_bytes: int = TARGET_SHUFFLE_BYTES) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so a job over ``paths`` starts with at most
+    ``target_bytes`` of input per shuffle partition (never lowers the session value; AQE
+    coalesces partitions that turn out small).  Returns the value in effect."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions_for(sum(path_bytes(spark, p) for p in paths), target_bytes, current)
+    if n > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
