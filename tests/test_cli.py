@@ -37,3 +37,19 @@ def test_incremental_run_matches_batch_run(spark, tmp_lake):
         a = sorted(map(tuple, read_table(spark, f"{tmp_lake}/g1/{t}").collect()))
         c = sorted(map(tuple, read_table(spark, f"{tmp_lake}/g2/{t}").collect()))
         assert a == c and a
+
+
+def test_gold_and_test_commands(spark, tmp_lake, capsys):
+    import json
+
+    rows = [ev("a", "INSERT", day(1)), ev("b", "INSERT", day(2), precio=None)]
+    b, s, g = f"{tmp_lake}/bronze", f"{tmp_lake}/silver", f"{tmp_lake}/gold"
+    frame(spark, rows).write.parquet(b)
+    assert main(["refine", "--bronze", b, "--silver", s, "--buckets", "2"], spark) == 0
+    assert main(["gold", "--silver", s, "--gold", g], spark) == 0
+    assert set(json.loads(capsys.readouterr().out.strip().splitlines()[-1])) == {
+        "gold_kpi_ventas", "gold_kpi_ventas_hora", "gold_kpi_producto"}
+    assert main(["test", "--bronze", b, "--silver", s, "--gold", g], spark) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert len(lines) == 21
+    assert [r["status"] for r in lines if r["column_name"] == "precio" and r["model"] == "stg_bronze_ventas"] == ["warn"]
