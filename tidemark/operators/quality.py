@@ -15,6 +15,7 @@ error-severity test fails.  Nothing is collected except the one-row-per-test res
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -53,59 +54,80 @@ def accepted_values_failures(df: DataFrame, column: str, values: list[str]) -> D
     return bad.agg(F.count_distinct(column).cast("bigint").alias("failures"))
 
 
-def _label(check: Check) -> DataFrame:
-    return F.struct(F.lit(check.model).alias("model"), F.lit(check.column).alias("column_name"),
-                    F.lit(check.test).alias("test"), F.lit(check.severity).alias("severity"))
+def _lit(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _suite_sql(view: str, model: str, checks: list[Check]) -> list[str]:
+    """SQL branches ``(model, column_name, test, severity, failures)`` for one model."""
+    parts = []
+    nn = [c for c in checks if c.test == "not_null"]
+    if nn:
+        counts = ", ".join(f"count_if({_ident(c.column)} IS NULL) AS f{i}" for i, c in enumerate(nn))
+        rows = ", ".join(f"{_lit(c.column)}, {_lit(c.severity)}, f{i}" for i, c in enumerate(nn))
+        parts.append(f"SELECT {_lit(model)} AS model, column_name, 'not_null' AS test, severity, "
+                     f"CAST(failures AS BIGINT) AS failures FROM (SELECT stack({len(nn)}, {rows}) "
+                     f"AS (column_name, severity, failures) FROM (SELECT {counts} FROM {view}))")
+    for c in checks:
+        col = _ident(c.column)
+        head = (f"SELECT {_lit(model)} AS model, {_lit(c.column)} AS column_name, {_lit(c.test)} AS test, "
+                f"{_lit(c.severity)} AS severity, ")
+        if c.test == "unique":
+            parts.append(head + f"count(*) AS failures FROM (SELECT {col} FROM {view} WHERE {col} IS NOT NULL "
+                                f"GROUP BY {col} HAVING count(*) > 1)")
+        elif c.test == "accepted_values":
+            values = ", ".join(_lit(v) for v in c.values)
+            parts.append(head + f"count(DISTINCT {col}) AS failures FROM {view} "
+                                f"WHERE {col} IS NOT NULL AND {col} NOT IN ({values})")
+        elif c.test != "not_null":
+            raise ValueError(f"unknown test {c.test!r}")
+    return parts
 
 
 def run_suite(models: dict[str, DataFrame], checks: list[Check], precomputed: dict | None = None) -> DataFrame:
     """Evaluate ``checks`` against ``models`` (name → DataFrame) into one result frame.
 
-    ``precomputed`` maps ``(model, column, test)`` to a failure count already measured by
-    an earlier job over the same data (e.g. null counts observed while refining); those
-    checks are reported from it instead of scanning the model again.
+    The tests are composed into one SQL statement over temporary views of the models
+    (one ``spark.sql`` call; Catalyst plans it exactly like the DataFrame form, without
+    thousands of Python→JVM calls).  ``precomputed`` maps ``(model, column, test)`` to a
+    failure count already measured by an earlier job over the same data (e.g. null
+    counts observed while refining); those checks are reported from it instead of
+    scanning the model again.
     """
-    parts: list[DataFrame] = []
     pre = precomputed or {}
-    by_model: dict[str, list[Check]] = {}
+    spark = next(iter(models.values())).sparkSession if models else None
+    if spark is None:
+        raise ValueError("no models to test")
+    tag = uuid.uuid4().hex[:10]
+    views, parts = [], []
     known = [c for c in checks if (c.model, c.column, c.test) in pre]
     if known:
-        spark = next(iter(models.values())).sparkSession
-        rows = [(c.model, c.column, c.test, c.severity, int(pre[(c.model, c.column, c.test)])) for c in known]
-        parts.append(spark.createDataFrame(rows, "model string, column_name string, test string, severity string, "
-                                                 "failures bigint"))
+        parts.append("SELECT * FROM VALUES " + ", ".join(
+            f"({_lit(c.model)}, {_lit(c.column)}, {_lit(c.test)}, {_lit(c.severity)}, "
+            f"CAST({int(pre[(c.model, c.column, c.test)])} AS BIGINT))" for c in known)
+            + " AS t(model, column_name, test, severity, failures)")
+    by_model: dict[str, list[Check]] = {}
     for c in checks:
         if (c.model, c.column, c.test) not in pre:
             by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        df = models[model]
-        nn = [c for c in cs if c.test == "not_null"]
-        if nn:
-            sev = F.create_map(*[x for c in nn for x in (F.lit(c.column), F.lit(c.severity))])
-            parts.append(not_null_failures(df, [c.column for c in nn]).select(
-                F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
-                sev[F.col("column_name")].alias("severity"), "failures"))
-        for c in cs:
-            if c.test == "unique":
-                f = unique_failures(df, c.column)
-            elif c.test == "accepted_values":
-                f = accepted_values_failures(df, c.column, list(c.values))
-            elif c.test == "not_null":
-                continue
-            else:
-                raise ValueError(f"unknown test {c.test!r}")
-            parts.append(f.select(F.lit(model).alias("model"), F.lit(c.column).alias("column_name"),
-                                  F.lit(c.test).alias("test"), F.lit(c.severity).alias("severity"), "failures"))
-    if not parts:
-        spark = next(iter(models.values())).sparkSession if models else None
-        if spark is None:
-            raise ValueError("no models and no checks")
-        return spark.createDataFrame([], RESULT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.col("severity"))
-    return out.withColumn("status", status)
+    try:
+        for i, (model, cs) in enumerate(by_model.items()):
+            view = f"_dq_{tag}_{i}"
+            models[model].createOrReplaceTempView(view)
+            views.append(view)
+            parts.extend(_suite_sql(view, model, cs))
+        if not parts:
+            return spark.createDataFrame([], RESULT_SCHEMA)
+        union = "\nUNION ALL\n".join(parts)
+        return spark.sql(f"SELECT model, column_name, test, severity, failures, "
+                         f"CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM ({union})")
+    finally:
+        for v in views:                  # the statement is analysed already; the views can go
+            spark.catalog.dropTempView(v)
 
 
 class QualityGateError(RuntimeError):
