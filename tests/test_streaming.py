@@ -60,3 +60,16 @@ def test_continuous_capture_with_processing_time_trigger(spark, tmp_lake):
     finally:
         q.stop()
     assert sorted(r.tx_id for r in spark.read.parquet(bronze).collect()) == ["a", "b"]
+
+
+def test_ingest_from_json_lines_text_files(spark, tmp_lake):
+    """A directory of text files with one JSON message per line (no key, no broker time)."""
+    from pyspark.sql import functions as F
+
+    src, bronze, ckpt = f"{tmp_lake}/lines", f"{tmp_lake}/bronze", f"{tmp_lake}/ckpt"
+    msgs = to_messages(frame(spark, [ev("a", "INSERT", day(1)), ev("b", "DELETE", day(2))]))
+    msgs.select(F.col("value").cast("string").alias("value")).write.text(src)
+    assert ingest_available(spark, bronze, ckpt, "text", src) == 1
+    b = spark.read.parquet(bronze)
+    assert sorted(r.tx_id for r in b.collect()) == ["a", "b"]
+    assert b.filter(F.col("kafka_timestamp").isNull()).count() == 2

@@ -48,7 +48,7 @@ def message_stream(spark: SparkSession, fmt: str = "kafka", options: dict[str, s
         opts["minPartitions"] = str(spark.sparkContext.defaultParallelism)
     opts.update(options or {})
     reader = spark.readStream.format(fmt).options(**opts)
-    if fmt != "kafka":
+    if fmt not in ("kafka", "text"):          # text: one JSON message per line, column ``value``
         reader = reader.schema(MESSAGE_SCHEMA)
     return reader.load(path) if path else reader.load()
 
