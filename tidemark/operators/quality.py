@@ -134,9 +134,14 @@ class QualityGateError(RuntimeError):
     pass
 
 
+def collect_results(results: DataFrame) -> list[dict]:
+    """The suite result — one row per test, so bounded by the number of tests — as dicts."""
+    return [r.asDict() for r in results.collect()]
+
+
 def gate(results: DataFrame) -> list[dict]:
     """Collect the (one row per test) results; raise if an error-severity test failed."""
-    rows = [r.asDict() for r in results.collect()]
+    rows = collect_results(results)
     failed = [r for r in rows if r["status"] == ERROR]
     if failed:
         raise QualityGateError(f"{len(failed)} quality test(s) failed: " + ", ".join(

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import gate, medallion_checks, run_suite
+from ..operators.quality import collect_results, gate, medallion_checks, run_suite
 from ..operators.refine import clean, current_rows, latest_per_key, merge_changes
 from ..session import ensure_session, shuffle_width
 from ..sources.tables import bucketing, publish, read_table, table_exists, vacuum
@@ -174,7 +174,7 @@ def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_
     paths = build_gold(spark, silver, gold_root)
     golds = {n: read_table(spark, p) for n, p in paths.items()}
     results = quality(spark, read_table(spark, bronze_path), silver, golds, profiled_failures(res.metrics))
-    rows = gate(results) if enforce else [r.asDict() for r in results.collect()]
+    rows = gate(results) if enforce else collect_results(results)
     if retain_versions:
         for p in [silver_path, *paths.values()]:
             vacuum(spark, p, retain_versions)
