@@ -38,20 +38,36 @@ def main() -> None:
         f"local[{cpus}]", app="tidemark-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)),
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     names = sys.argv[1:] or HEADLINE
+    errors: dict[str, str] = {}
+
+    def attempt(name: str) -> float | None:
+        if name in errors:
+            return None
+        try:
+            return run_once(spark, name, sf_dir)
+        except Exception as ex:  # noqa: BLE001 - report the failure, keep timing the others
+            errors[name] = f"{type(ex).__name__}: {str(ex)[:300]}"
+            return None
+
     for _ in range(WARMUP):                        # untimed
         for name in names:
-            run_once(spark, name, sf_dir)
+            attempt(name)
     runs: dict[str, list[float]] = {name: [] for name in names}
     for _ in range(RUNS):
         for name in names:
-            runs[name].append(run_once(spark, name, sf_dir))
-    times = {name: round(statistics.median(r), 3) for name, r in runs.items()}
+            t = attempt(name)
+            if t is not None:
+                runs[name].append(t)
+    times = {name: round(statistics.median(r), 3) for name, r in runs.items() if r and name not in errors}
     if os.environ.get("BENCH_VERBOSE"):
         print(json.dumps({n: [round(x, 2) for x in r] for n, r in runs.items()}), file=sys.stderr)
     sf = sf_dir.rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                      "cpus": cpus, "runs": RUNS, "warmup": WARMUP}))
+    out = {"metric": "headline_total_median_sec", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+           "cpus": cpus, "runs": RUNS, "warmup": WARMUP}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
