@@ -21,7 +21,7 @@ from ..operators.refine import clean, current_rows, latest_per_key, merge_action
 from ..session import ensure_session, scratch_path
 from ..sources import feeds
 from ..sources.messages import decode_messages, peek, read_messages, to_messages, write_messages
-from ..sources.tables import export_table, history, publish, read_table, save_as_table
+from ..sources.tables import export_table, history, publish, read_table, save_as_table, table_exists
 from ..spec import BRONZE_TECHNICAL, EVENT_COLUMNS, FEED_SCHEMA, SALES_SEQ
 from ..streaming.ingest import ingest_available
 from ..streaming.refine_stream import refine_incremental, silver_view
@@ -150,6 +150,20 @@ def q_merge_action_counts(spark, sf):
     return merge_action_counts(_silver(first), second, SPEC).withColumnRenamed("rows", "key_count")
 
 
+def q_missing_table_noop(spark, sf):
+    """Existence probe around the refine job: with no Bronze yet the run is a no-op and no
+    Silver appears; once feed A has landed as Bronze the same call creates Silver."""
+    root = scratch_path(spark, "lake")
+    bronze, silver = f"{root}/bronze", f"{root}/silver"
+    rows = []
+    for case in ("bronze_missing", "bronze_landed"):
+        if case == "bronze_landed":
+            _feed_a(spark, sf).write.parquet(bronze)
+        res = refine(spark, bronze, silver, SPEC)
+        rows.append((case, res.status, table_exists(spark, silver)))
+    return spark.createDataFrame(rows, "case string, status string, silver_exists boolean")
+
+
 def q_table_history(spark, sf):
     first, second = _split(_feed_a(spark, sf))
     bronze = scratch_path(spark, "bronze")
@@ -284,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_merge": q_silver_merge,
     "silver_incremental": q_silver_incremental,
     "merge_action_counts": q_merge_action_counts,
+    "missing_table_noop": q_missing_table_noop,
     "table_history": q_table_history,
     "stg_bronze": q_stg_bronze,
     "stg_silver": q_stg_silver,
