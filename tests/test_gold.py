@@ -73,3 +73,14 @@ def test_bounded_pandas_read(spark):
     assert len(to_pandas_bounded(spark.range(10), max_rows=10)) == 10
     with pytest.raises(ResultTooLarge):
         to_pandas_bounded(spark.range(11), max_rows=10)
+
+
+def test_gold_columns_are_the_fixed_schema(spark):
+    from tidemark.plans.queries import _stg_a
+
+    from conftest import SF0001
+
+    stg = _stg_a(spark, SF0001)
+    assert gold.daily(stg).columns == gold.DAILY_COLUMNS
+    assert gold.hourly(stg).columns == gold.HOURLY_COLUMNS
+    assert gold.by_product(stg).columns == gold.PRODUCT_COLUMNS

@@ -21,8 +21,13 @@ from ..functions.money import cents_to_amount, half_up_ratio_amount, to_cents
 from ..functions.ranking import with_position
 from .staging import line_cents
 
-TIME_KPIS = ["cantidad_transacciones", "clientes_unicos", "unidades_vendidas", "ingresos_totales", "ticket_promedio"]
-PRODUCT_KPIS = ["cantidad_transacciones", "unidades_vendidas", "ingresos_totales", "precio_promedio"]
+# --- fixed values: Gold table columns (grain column first) ---
+DAILY_COLUMNS = ["fecha", "cantidad_transacciones", "clientes_unicos", "unidades_vendidas", "ingresos_totales",
+                 "ticket_promedio"]
+HOURLY_COLUMNS = ["hora", "cantidad_transacciones", "clientes_unicos", "unidades_vendidas", "ingresos_totales",
+                  "ticket_promedio"]
+PRODUCT_COLUMNS = ["producto", "cantidad_transacciones", "unidades_vendidas", "ingresos_totales", "precio_promedio"]
+# --- end of fixed values ---
 
 
 def _tx_count(key_unique: bool) -> Column:
