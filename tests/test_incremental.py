@@ -105,3 +105,18 @@ def test_incremental_over_a_streaming_sink_bronze(spark, tmp_lake):
     got = {tuple(r) for r in silver_view(spark, f"{tmp_lake}/state", S).collect()}
     assert got == {tuple(r) for r in read_table(spark, f"{tmp_lake}/silver").collect()} == full_rescan(spark, rows)
     assert {r[0] for r in got} == {"a"}
+
+
+def test_backlog_in_bounded_micro_batches(spark, tmp_lake):
+    bronze, state, ckpt = f"{tmp_lake}/bronze", f"{tmp_lake}/state", f"{tmp_lake}/ckpt"
+    rows = [ev(f"k{i % 4}", "INSERT" if i % 3 else "DELETE", day(1 + i % 9), seq=i) for i in range(24)]
+    frame(spark, rows).repartition(4).write.parquet(bronze)
+    refine_incremental(spark, bronze, state, ckpt, S, options={"maxFilesPerTrigger": "1"})
+    assert len(_versions(spark, state)) >= 2                # several commits, one per micro-batch
+    assert {tuple(r) for r in silver_view(spark, state, S).collect()} == full_rescan(spark, rows)
+
+
+def _versions(spark, path):
+    from tidemark.sources.tables import versions
+
+    return versions(spark, path)

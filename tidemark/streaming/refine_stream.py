@@ -50,9 +50,12 @@ def merge_batch(batch: DataFrame, state_path: str, spec: ChangeSpec = SALES, buc
 
 
 def refine_incremental(spark: SparkSession, bronze_path: str, state_path: str, checkpoint: str,
-                       spec: ChangeSpec = SALES, buckets: int | None = None, timeout_s: float = 3600) -> str:
+                       spec: ChangeSpec = SALES, buckets: int | None = None, timeout_s: float = 3600,
+                       options: dict[str, str] | None = None) -> str:
     """Process the Bronze files not seen yet (``availableNow``), then stop.
 
+    ``options`` go to the Bronze file stream, e.g. ``{"maxFilesPerTrigger": "1000"}`` to
+    work through a large backlog in bounded micro-batches (each one committed on its own).
     Returns ``no_bronze`` when there is no Bronze yet, else ``done``.
     """
     ensure_session(spark)
@@ -61,7 +64,7 @@ def refine_incremental(spark: SparkSession, bronze_path: str, state_path: str, c
     if buckets is None and not table_exists(spark, state_path):
         buckets = silver_buckets(spark, bronze_path)
     schema = spark.read.parquet(bronze_path).schema
-    stream = spark.readStream.schema(schema).parquet(bronze_path)
+    stream = spark.readStream.schema(schema).options(**(options or {})).parquet(bronze_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         merge_batch(batch, state_path, spec, buckets, batch_id)
