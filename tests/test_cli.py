@@ -31,7 +31,8 @@ def test_incremental_run_matches_batch_run(spark, tmp_lake):
     b = f"{tmp_lake}/bronze"
     frame(spark, rows).write.parquet(b)
     assert main(["run", "--bronze", b, "--silver", f"{tmp_lake}/s1", "--gold", f"{tmp_lake}/g1"], spark) == 0
-    assert main(["run", "--bronze", b, "--silver", f"{tmp_lake}/s2", "--gold", f"{tmp_lake}/g2", "--incremental"],
+    assert main(["run", "--bronze", b, "--silver", f"{tmp_lake}/s2", "--gold", f"{tmp_lake}/g2", "--incremental",
+                 "--option", "maxFilesPerTrigger=1"],
                 spark) == 0
     for t in ("gold_kpi_ventas", "gold_kpi_ventas_hora", "gold_kpi_producto"):
         a = sorted(map(tuple, read_table(spark, f"{tmp_lake}/g1/{t}").collect()))

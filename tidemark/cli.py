@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             p.add_argument("--incremental", action="store_true",
                            help="read only new Bronze files; --silver then holds the latest-event state")
             p.add_argument("--checkpoint")
+            p.add_argument("--option", action="append", help="file-stream option for --incremental, k=v")
         if name == "run":
             p.add_argument("--retain", type=int, default=3, help="versions of each table kept (0 = all)")
     i = sub.add_parser("inspect")
@@ -77,7 +78,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
             status = refine_incremental(spark, args.bronze, args.silver,
                                         args.checkpoint or f"{args.silver.rstrip('/')}/_checkpoint",
-                                        buckets=args.buckets)
+                                        buckets=args.buckets, options=_opts(args.option))
             print(json.dumps({"status": status}))
         else:
             res = M.refine(spark, args.bronze, args.silver, buckets=args.buckets)
@@ -93,7 +94,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             print(json.dumps(row, default=str))
     elif args.cmd == "run":
         out = M.run_medallion(spark, args.bronze, args.silver, args.gold, incremental=args.incremental,
-                              checkpoint=args.checkpoint, retain_versions=args.retain or None)
+                              checkpoint=args.checkpoint, retain_versions=args.retain or None,
+                              stream_options=_opts(args.option))
         print(json.dumps({"refine": out["refine"].status, "gold": out["gold"],
                           "failed": [r for r in out["quality"] if r["status"] != "pass"]}, default=str))
     elif args.cmd == "inspect":

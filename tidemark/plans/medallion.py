@@ -146,7 +146,8 @@ def quality(spark: SparkSession, bronze: DataFrame, silver: DataFrame, golds: di
 
 def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_root: str,
                   spec: ChangeSpec = SALES, enforce: bool = True, incremental: bool = False,
-                  checkpoint: str | None = None, retain_versions: int | None = 3) -> dict:
+                  checkpoint: str | None = None, retain_versions: int | None = 3,
+                  stream_options: dict[str, str] | None = None) -> dict:
     """Refine, then build Gold, then test every layer; stop at the first failing step.
 
     As in the scheduled run, the tests come after Gold is built; an error-severity
@@ -161,7 +162,8 @@ def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_
         from ..streaming.refine_stream import refine_incremental, silver_view
 
         status = refine_incremental(spark, bronze_path, silver_path,
-                                    checkpoint or f"{silver_path.rstrip('/')}/_checkpoint", spec)
+                                    checkpoint or f"{silver_path.rstrip('/')}/_checkpoint", spec,
+                                    options=stream_options)
         res = RefineResult(status)
         if not table_exists(spark, silver_path):
             return {"refine": res, "gold": {}, "quality": []}
