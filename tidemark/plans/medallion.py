@@ -19,7 +19,7 @@ from ..session import ensure_session, shuffle_width
 from ..sources.tables import bucketing, publish, read_table, table_exists, vacuum
 from ..spec import GOLD_TABLES, SALES, ChangeSpec
 from . import gold
-from .sizing import silver_buckets
+from .sizing import silver_buckets, tune_shuffle_partitions
 from .staging import stg_bronze, stg_silver
 
 
@@ -156,8 +156,10 @@ def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_
     tracks them) and ``silver_path`` holds the latest-event state; Silver is its view.
     Every run writes full new versions of Silver and Gold; after the tests, data of all
     but the newest ``retain_versions`` versions is removed (None keeps everything).
+    The session's shuffle width is first raised to fit the Bronze size, if needed.
     """
     ensure_session(spark)
+    tune_shuffle_partitions(spark, [bronze_path])
     if incremental:
         from ..streaming.refine_stream import refine_incremental, silver_view
 
