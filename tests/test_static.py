@@ -33,3 +33,12 @@ def test_no_python_udfs():
 
 def test_no_local_checkpoint():
     assert not _functions_with(r"localCheckpoint")
+
+
+def test_driver_contract_keys():
+    import __spark_entry__ as e
+
+    q, o = e.queries(), e.oracle_sql()
+    assert set(o) <= set(q)
+    assert set(q) - set(o) == {"table_history", "missing_table_noop"}      # rows-only by nature
+    assert all(callable(f) for f in q.values()) and all(isinstance(s, str) and s.strip() for s in o.values())
