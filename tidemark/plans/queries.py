@@ -59,10 +59,12 @@ def _stg_a(spark, sf):
 # ---- feed, messages, capture ------------------------------------------------------
 
 def q_change_feed(spark, sf):
+    """Feed A: every order line as a sales change event (with injected dirt)."""
     return _feed_a(spark, sf)
 
 
 def q_feed_json_roundtrip(spark, sf):
+    """Feed A encoded as keyed JSON messages and decoded back (permissive parse)."""
     return decode_messages(to_messages(_feed_a(spark, sf)), FEED_SCHEMA).drop("kafka_timestamp")
 
 
@@ -81,6 +83,7 @@ def _land_messages(spark, sf, parts: int = 4) -> str:
 
 
 def q_bronze_ingest(spark, sf):
+    """Feed B messages landed as files, captured by the streaming Bronze job (availableNow)."""
     src = _land_messages(spark, sf)
     bronze, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt")
     ingest_available(spark, bronze, ckpt, "parquet", src)
@@ -106,14 +109,17 @@ def q_bronze_restart(spark, sf):
 # ---- refine ------------------------------------------------------------------------
 
 def q_clean_events(spark, sf):
+    """Feed A without events missing a required field, non-positive, or with an unknown op."""
     return clean(_feed_a(spark, sf), SPEC)
 
 
 def q_dedup_latest(spark, sf):
+    """Latest valid event per key of feed A (time desc, seq desc)."""
     return latest_per_key(clean(_feed_a(spark, sf), SPEC), SPEC)
 
 
 def q_silver_initial(spark, sf):
+    """First-load Silver of feed A: latest events that are not deletes."""
     return _silver(_feed_a(spark, sf))
 
 
@@ -146,6 +152,7 @@ def q_silver_incremental(spark, sf):
 
 
 def q_merge_action_counts(spark, sf):
+    """Keys per merge outcome when the late half of feed A is merged into the early Silver."""
     first, second = _split(_feed_a(spark, sf))
     return merge_action_counts(_silver(first), second, SPEC).withColumnRenamed("rows", "key_count")
 
@@ -165,6 +172,7 @@ def q_missing_table_noop(spark, sf):
 
 
 def q_table_history(spark, sf):
+    """Commit history of Silver after a first load and one merge."""
     first, second = _split(_feed_a(spark, sf))
     bronze = scratch_path(spark, "bronze")
     silver = scratch_path(spark, "silver")
@@ -178,36 +186,44 @@ def q_table_history(spark, sf):
 # ---- staging and Gold --------------------------------------------------------------
 
 def q_stg_bronze(spark, sf):
+    """Untyped staging projection of Bronze (feed A)."""
     return stg_bronze(_feed_a(spark, sf))
 
 
 def q_stg_silver(spark, sf):
+    """Typed staging projection of Silver (feed A)."""
     return _ntz(_stg_a(spark, sf), "venta_timestamp")
 
 
 def q_enriched_sales(spark, sf):
+    """Typed Silver plus day, hour and line amount."""
     return _ntz(enrich(_stg_a(spark, sf)), "venta_timestamp", "hora")
 
 
 def q_gold_daily(spark, sf):
+    """Daily KPIs of Silver (feed A), sorted by day."""
     return gold.daily(_stg_a(spark, sf), key_unique=True)
 
 
 def q_gold_hourly(spark, sf):
+    """Hourly KPIs of Silver (feed B), sorted by hour."""
     return _ntz(gold.hourly(stg_silver(_silver(_feed_b(spark, sf))), key_unique=True), "hora")
 
 
 def q_gold_product(spark, sf):
+    """Per-product KPIs of Silver (feed A), by revenue."""
     return gold.by_product(_stg_a(spark, sf), key_unique=True)
 
 
 def q_gold_catalog_read(spark, sf):
+    """Daily KPIs saved as a catalog table and read back by name."""
     name = "gold_kpi_ventas_" + scratch_path(spark, "t").rsplit("-", 1)[1]
     save_as_table(gold.daily(_stg_a(spark, sf), ordered=False, key_unique=True), name, path=scratch_path(spark, "warehouse"))
     return spark.table(name).orderBy("fecha")
 
 
 def q_gold_export(spark, sf):
+    """Product KPIs published as a Gold table, exported to another location, read back."""
     warehouse = scratch_path(spark, "warehouse")
     src = f"{warehouse}/gold_kpi_producto"
     publish(gold.by_product(_stg_a(spark, sf), ordered=False, key_unique=True), src, "CREATE OR REPLACE TABLE AS SELECT")
@@ -215,22 +231,27 @@ def q_gold_export(spark, sf):
 
 
 def q_product_ranking(spark, sf):
+    """Product KPIs with their position by revenue."""
     return gold.product_ranking(gold.by_product(_stg_a(spark, sf), ordered=False, key_unique=True))
 
 
 def q_headline_kpis(spark, sf):
+    """Totals over the daily table, with the guarded average ticket."""
     return gold.headline(gold.daily(_stg_a(spark, sf), ordered=False, key_unique=True))
 
 
 def q_units_by_product(spark, sf):
+    """Units sold per product, straight from Silver."""
     return gold.units_by_product(_silver(_feed_a(spark, sf)))
 
 
 def q_latest_events(spark, sf):
+    """The 20 newest Bronze events of feed B."""
     return gold.latest_events(_feed_b(spark, sf), 20, tiebreak=("seq",))
 
 
 def q_silver_preview(spark, sf):
+    """The first 20 Silver rows by key."""
     return gold.preview(_silver(_feed_a(spark, sf)), 20, order_by=("tx_id",))
 
 
@@ -246,20 +267,24 @@ def q_layer_counts(spark, sf):
 
 
 def q_inspect_schema(spark, sf):
+    """Silver schema with row and null counts per column."""
     return describe(_silver(_feed_a(spark, sf)))
 
 
 # ---- quality -----------------------------------------------------------------------
 
 def q_dq_not_null(spark, sf):
+    """Null counts of every event field of the dirty Bronze (feed A)."""
     return dq.not_null_failures(_feed_a(spark, sf), EVENT_COLUMNS)
 
 
 def q_dq_unique(spark, sf):
+    """Keys occurring more than once in the dirty Bronze (feed A)."""
     return dq.unique_failures(_feed_a(spark, sf), "tx_id").select(F.lit("tx_id").alias("column_name"), "failures")
 
 
 def q_dq_accepted_values(spark, sf):
+    """Operation codes outside INSERT / UPDATE in the dirty Bronze (feed A)."""
     f = dq.accepted_values_failures(_feed_a(spark, sf), "tipo_operacion", ["INSERT", "UPDATE"])
     return f.select(F.lit("tipo_operacion").alias("column_name"), "failures")
 
