@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, quality_rules
+from tidemark.llm import bag_minhash, bpe, quality_rules
 from tidemark.llm.common import materialise, read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -22,5 +22,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                store=lambda df: materialise(df, "quality-counts"))
 
 
-QUERIES = {f.__name__: f for f in (op6_bpe, op7_quality_rules)}
+def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return bag_minhash.classes(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op6_bpe, op7_quality_rules, op10_bag_minhash)}
 ORACLE: dict[str, str] = {}
