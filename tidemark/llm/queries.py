@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bag_minhash, bpe, quality_rules
+from tidemark.llm import bag_minhash, bpe, decontaminate, quality_rules
 from tidemark.llm.common import materialise, read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -27,5 +27,25 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.classes(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_bpe, op7_quality_rules, op10_bag_minhash)}
-ORACLE: dict[str, str] = {}
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in an occurrence of a benchmark window."""
+    return decontaminate.digest(decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
+
+
+OP2_SQL = r"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+p as (select distinct item_id, least(len(w), 10) as n, array_to_string(w[i : i + 9], ' ') as phrase
+      from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)),
+k as (select distinct n, phrase from p),
+s as (select distinct n from k),
+o as (select doc_id, i, n, phrase from (
+        select doc_id, i, s.n, array_to_string(w[i : i + s.n - 1], ' ') as phrase
+        from (select doc_id, w, unnest(range(1, len(w) + 1)) as i from d) cross join s where i + s.n - 1 <= len(w)) join k using (n, phrase)),
+h as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from o) group by 1),
+t as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct doc_id, item_id::varchar as id from o join p using (n, phrase)) group by 1)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join h using (doc_id) left join t using (doc_id)"""
+
+QUERIES = {f.__name__: f for f in (op6_bpe, op7_quality_rules, op10_bag_minhash, op2_decontaminate)}
+ORACLE: dict[str, str] = {"op2_decontaminate": OP2_SQL}
