@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bag_minhash, bpe, decontaminate, quality_rules
+from tidemark.llm import bag_minhash, bpe, decontaminate, pii, quality_rules
 from tidemark.llm.common import materialise, read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -47,5 +47,10 @@ t as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join h using (doc_id) left join t using (doc_id)"""
 
-QUERIES = {f.__name__: f for f in (op6_bpe, op7_quality_rules, op10_bag_minhash, op2_decontaminate)}
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced, and the number of mentions."""
+    return pii.replace_mentions(read_table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_mentions")
+
+
+QUERIES = {f.__name__: f for f in (op6_bpe, op7_quality_rules, op10_bag_minhash, op2_decontaminate, op3_pii)}
 ORACLE: dict[str, str] = {"op2_decontaminate": OP2_SQL}
