@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bag_minhash, bpe, decontaminate, pii, quality_rules
+from tidemark.llm import bag_minhash, bpe, decontaminate, pii, quality_rules, substring_dedup
 from tidemark.llm.common import materialise, read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -52,5 +52,18 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_mentions(read_table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_mentions")
 
 
-QUERIES = {f.__name__: f for f in (op6_bpe, op7_quality_rules, op10_bag_minhash, op2_decontaminate, op3_pii)}
-ORACLE: dict[str, str] = {"op2_decontaminate": OP2_SQL}
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 13-word passages that an earlier document has."""
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), full=False)
+
+
+OP1_SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+x as (select doc_id, i, array_to_string(w[i : i + 12], ' ') as words from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from d)),
+m as (select words, min(doc_id) as least from x group by 1),
+r as (select distinct doc_id, unnest(range(i, i + 13)) as j from x join m using (words) where least < doc_id),
+k as (select doc_id, string_agg(word, ' ' order by j) as kept, count(*) as n from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as j from d) anti join r using (doc_id, j) group by 1)
+select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join k using (doc_id)"""
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op6_bpe, op7_quality_rules, op10_bag_minhash, op2_decontaminate, op3_pii)}
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL}
