@@ -25,11 +25,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Regex
 from tokenizers.normalizers import Lowercase
 from tokenizers.pre_tokenizers import Split
 
-from tidemark.llm.common import TwoGenerations, file_bytes, per_worker, slices
+from tidemark.llm.common import TwoGenerations, added, file_bytes, per_worker, slices
 
 _POSITION = (1 << 32) - 1
 
@@ -154,34 +155,26 @@ def _concat(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
     return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
 
 
-def _columns(keep: list[str], *more: str) -> list[str]:
-    clash = [c for c in more if c in keep]
-    if clash:
-        raise ValueError(f"columns {clash} are made here and must not be among the kept ones")
-    return [*keep, *more]
-
-
 def encode_texts(docs: DataFrame, tokenizer_path: str, keep: list[str], text: str = "text", full: bool = True) -> DataFrame:
     """Encode every whole text.  Returns the ``keep`` columns, then n_tokens and either the ids
     (array<int>) and the decoded text (``full``), or the SHA-256 digests of their decimal and
     UTF-8 forms.  ``keep`` may not hold the names of the made columns."""
     data = docs.sparkSession.sparkContext.broadcast(file_bytes(tokenizer_path))
     src = docs.select(*keep, F.col(text).alias("_text"))
-    made = "n_tokens long, ids array<int>, decoded string" if full else "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    _columns(keep, *([c.split()[0] for c in made.split(", ")]))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]] + [made])
+    text_type = T.StringType()
+    schema = added(src, n_tokens=T.LongType(), **({"ids": T.ArrayType(T.IntegerType()), "decoded": text_type} if full else {"ids_sha256": text_type, "decoded_sha256": text_type}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = per_worker("bpe", data.value, Bpe)
-        for b in slices(batches, "_text"):
+        for b in slices(batches, len(keep)):
             n, x, y = [], [], []
-            for t in b.column(b.num_columns - 1):
+            for t in b.column(len(keep)):
                 count, ids, decoded = bpe.encode(t.as_py() or "")
                 n.append(count)
                 x.append(list(map(int, ids.split())) if full else hashlib.sha256(ids.encode()).hexdigest())
                 y.append(decoded if full else hashlib.sha256(decoded.encode()).hexdigest())
             kinds = (pa.int64(), pa.list_(pa.int32()) if full else pa.string(), pa.string())
             cols = [*b.columns[:-1], *(pa.array(v, k) for v, k in zip((n, x, y), kinds))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-1], *(c.split()[0] for c in made.split(", "))])
+            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return src.mapInArrow(run, schema)

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import scratch_path
 
@@ -68,12 +69,21 @@ def per_worker(name: str, payload: bytes, build: Callable[[bytes], object]) -> o
     return _PER_WORKER[key]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+def added(kept: DataFrame, **made: T.DataType) -> T.StructType:
+    """The schema of all columns of ``kept`` but the last (the text), then the ``made`` ones."""
+    fields = kept.schema.fields[:-1]
+    clash = sorted({f.name for f in fields} & set(made))
+    if clash:
+        raise ValueError(f"columns {clash} are made here and must not be among the kept ones")
+    return T.StructType([*fields, *(T.StructField(n, t) for n, t in made.items())])
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str | int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the text of one slice stays near ``most`` bytes (one row at least)."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        col = batch.column(batch.schema.get_field_index(column))
+        col = batch.column(column if isinstance(column, int) else batch.schema.get_field_index(column))
         sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         group = np.cumsum(sizes) // most
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]

@@ -56,9 +56,9 @@ _BEFORE, _AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 PERSON = rf"{_BEFORE}(?:{_TITLE})\.? {_NAME}(?: {_NAME})?"
 #: Kind and pattern, in the order in which they are tried at a place.
 PATTERNS = [
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=\.[A-Za-z]{2,24})"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,10}+(?<=\.[A-Za-z]{2,24})"),
     ("access_key", rf"{_BEFORE}AKIA[0-9A-Z]{{16}}{_AFTER}"),
-    ("secret", r"(?<=(?:password|passwd|pwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{6,}+"),
+    ("secret", r"(?<=[=:\"'\s])(?=[A-Za-z0-9_/+-]{6})(?<=(?:password|passwd|pwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})[A-Za-z0-9_/+-]++"),
     ("secret", rf"{_BEFORE}[0-9a-f]{{32,}}+{_AFTER}"),
     ("iban", rf"{_BEFORE}[A-Z]{{2}}[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{3,7}}(?: ?[0-9A-Z]{{1,3}})?{_AFTER}"),
     ("card", rf"{_BEFORE}[0-9]{{4}}([ -]?)[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}{_AFTER}"),

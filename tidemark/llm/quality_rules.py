@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import slices, utf8_rows, window_hashes, word_hashes, words_of
+from tidemark.llm.common import added, slices, utf8_rows, window_hashes, word_hashes, words_of
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 COUNTS = [*BASE, "n_lines", "n_capitals"]
@@ -97,17 +98,14 @@ def _repeat_words(data: bytes, raw: np.ndarray, a: np.ndarray, b: np.ndarray, ro
 
 def with_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The ``keep`` columns and the counts (``COUNTS``) of every whole text."""
-    clash = sorted(set(keep) & set(COUNTS))
-    if clash:
-        raise ValueError(f"columns {clash} are made here and must not be among the kept ones")
     src = docs.select(*keep, F.col(text).alias("_text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]] + [f"{c} long" for c in COUNTS])
+    schema = added(src, **{c: T.LongType() for c in COUNTS})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "_text"):
-            counts = count_batch(b.column(b.num_columns - 1))
+        for b in slices(batches, len(keep)):
+            counts = count_batch(b.column(len(keep)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *(pa.array(counts[c], pa.int64()) for c in COUNTS)],
-                                             names=[*b.schema.names[:-1], *COUNTS])
+                                             names=schema.names)
 
     return src.mapInArrow(run, schema)
 

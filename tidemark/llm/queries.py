@@ -5,9 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bag_minhash, bpe, decontaminate, pii, quality_rules, substring_dedup
+from tidemark.llm import bag_minhash, bpe, chat, decontaminate, pii, quality_rules, substring_dedup, token_files, unigram_counts, warc
 from tidemark.llm.common import materialise, read_table
+from tidemark.session import scratch_path
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -65,5 +68,49 @@ r as (select distinct doc_id, unnest(range(i, i + 13)) as j from x join m using
 k as (select doc_id, string_agg(word, ' ' order by j) as kept, count(*) as n from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as j from d) anti join r using (doc_id, j) group by 1)
 select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join k using (doc_id)"""
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op6_bpe, op7_quality_rules, op10_bag_minhash, op2_decontaminate, op3_pii)}
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL}
+def op4_token_counts(spark: SparkSession, sf_dir: str, model_path: str = PIECES) -> DataFrame:
+    """Number of unigram tokens of every document."""
+    return unigram_counts.count_tokens(read_table(spark, sf_dir, "documents"), model_path, ["doc_id"])
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, as read back from the archives that it was written to."""
+    manifest = warc.write_archives(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+d as (select page_id, octet_length(b) as payload_bytes, sha1(b) as hex from p),
+f as (select payload_bytes, hex, min(page_id) as first from d group by all),
+x as (select *, list_transform(range(8), lambda i: ('0x' || substr(hex, (5 * i + 1)::int, 5))::bigint) as v from d)
+select page_id, payload_bytes,
+  array_to_string(list_transform(v, lambda n: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((n >> 15) & 31)::int + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((n >> 10) & 31)::int + 1, 1)
+    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((n >> 5) & 31)::int + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n & 31)::int + 1, 1)), '') as payload_digest,
+  case when first = page_id then 'response' else 'revisit' end as record_type, case when first != page_id then first end as refers_to
+from x join f using (payload_bytes, hex)"""
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, as read back from its formatted segments."""
+    segments = chat.format_conversations(chat.with_probe(read_table(spark, sf_dir, "conversations")))
+    return chat.digests(chat.read_turns(segments))
+
+
+OP8_SQL = r"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars, sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10)))::bigint as formatted_chars
+from c group by 1"""
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer_path: str = BYTE_BPE) -> DataFrame:
+    """Place, length and checksum of every document's ids, as read back from the files."""
+    manifest = token_files.write_files(read_table(spark, sf_dir, "documents"), tokenizer_path, scratch_path(spark, "token-ids"))
+    return token_files.read_documents(manifest)
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_pii, op4_token_counts, op5_warc, op6_bpe, op7_quality_rules, op8_chat, op9_token_files, op10_bag_minhash)}
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op5_warc": OP5_SQL, "op8_chat": OP8_SQL}
