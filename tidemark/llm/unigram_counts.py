@@ -5,7 +5,7 @@ dynamic programming over the places carries the best score and the number of pie
 path.  The rules are those of the tokenizers library's Unigram model: a path replaces
 another only if its score is larger, starts being tried from left to right (so the longest of
 equally good last pieces stays); a character that is no piece of its own scores the smallest
-score less ten; neighbouring unknown characters are one unknown, which counts as a piece if
+score less ten; neighbouring unknowns (the unknown piece's own string among them) are one, which counts as a piece if
 the vocabulary has it, else as its UTF-8 bytes if the vocabulary has all byte pieces, else as
 one.
 
@@ -44,7 +44,8 @@ def read_model(data: bytes) -> list[tuple[str, float]]:
 class Counter:
     """Counts the pieces of the best path of a text."""
 
-    def __init__(self, vocab: list[tuple[str, float]], entries: int = 300_000):
+    def __init__(self, vocab: list[tuple[str, float]], entries: int = 300_000, unk_id: int = 0):
+        self.unk = vocab[unk_id][0]
         self.pieces = {p for p, _ in vocab}
         self.bytes = all(f"<0x{b:02X}>" in self.pieces for b in range(256))
         self.unknown = min(s for _, s in vocab) - UNKNOWN_PENALTY
@@ -81,6 +82,10 @@ class Counter:
                 opened[e] = opened[e - 1] if opened[e - 1] >= 0 else e - 1
                 continue
             score[e] = best
+            if word[at:e] == self.unk:           # the unknown piece itself joins unknowns beside it
+                count[e] = count[at]
+                opened[e] = opened[at] if opened[at] >= 0 else at
+                continue
             count[e] = count[at] + 1 + (self._unknowns(word[opened[at]: at]) if opened[at] >= 0 else 0)
         return count[n] + (self._unknowns(word[opened[n]:]) if opened[n] >= 0 else 0)
 
