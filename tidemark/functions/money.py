@@ -1,9 +1,8 @@
 """Exact money arithmetic as JVM-side column expressions.
 
-Prices carry two decimals, so every amount is handled as whole cents (bigint) inside
-aggregates and only turned back into a double at the very end.  This keeps sums
-order-independent (no floating-point summation drift) and makes the two-decimal
-rounding of ratios an exact half-up integer division.
+A price is taken at six decimals, as whole millionths (bigint); amounts are summed as
+whole numbers and rounded once, half-up, at the end.  Sums are thus independent of the
+order of rows, and a ratio's rounding is an exact integer division.
 """
 
 from __future__ import annotations
@@ -11,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MICROS = 1_000_000
+_WHOLE = "decimal(38,0)"
+
 
 def to_cents(amount: Column | str) -> Column:
     """Two-decimal amount → whole cents (bigint)."""
@@ -22,10 +24,39 @@ def cents_to_amount(cents: Column | str) -> Column:
     return _col(cents).cast("double") / 100
 
 
+def to_micros(amount: Column | str) -> Column:
+    """Amount → whole millionths (bigint); more than six decimals are rounded half-up."""
+    return F.round(_col(amount) * MICROS).cast("bigint")
+
+
+def micros_to_amount(micros: Column | str) -> Column:
+    """Whole millionths → double amount."""
+    return _col(micros).cast("double") / MICROS
+
+
+def exact_sum(micros: Column | str) -> Column:
+    """Sum of bigints as ``decimal(38,0)``: whole units and the rest are summed as bigints on
+    their own, so neither a large table nor a slow decimal buffer is a concern."""
+    m, unit = _col(micros), F.lit(MICROS).cast("bigint")
+    return F.sum(F.call_function("div", m, unit)).cast(_WHOLE) * F.lit(MICROS).cast(_WHOLE) + F.sum(m % unit).cast(_WHOLE)
+
+
+def rounded_amount(micros: Column | str) -> Column:
+    """Summed millionths → amount rounded half-up to cents, as a double."""
+    return rounded_ratio(micros, F.lit(1))
+
+
+def rounded_ratio(micros: Column | str, count: Column | str) -> Column:
+    """Summed millionths / count, rounded half-up to cents, as a double."""
+    return cents_to_amount(half_up_div(_col(micros).cast(_WHOLE), _col(count).cast(_WHOLE) * (MICROS // 100)))
+
+
 def half_up_div(num: Column | str, den: Column | str) -> Column:
-    """``round(num / den)`` half-up for non-negative bigints, exactly: (2n + d) div 2d."""
-    n, d = _col(num).cast("bigint"), _col(den).cast("bigint")
-    return _int_div(2 * n + d, 2 * d)
+    """``round(num / den)`` half-up for non-negative whole numbers, exactly: (2n + d) div 2d.
+
+    SQL ``div`` is exact at any size; a decimal quotient would be rounded to a few digits."""
+    n, d = _col(num).cast(_WHOLE), _col(den).cast(_WHOLE)
+    return F.call_function("div", 2 * n + d, 2 * d).cast("bigint")
 
 
 def half_up_ratio_amount(cents: Column | str, count: Column | str) -> Column:
@@ -33,11 +64,5 @@ def half_up_ratio_amount(cents: Column | str, count: Column | str) -> Column:
     return cents_to_amount(half_up_div(cents, count))
 
 
-def _int_div(num: Column, den: Column) -> Column:
-    # Exact integer division (SQL ``div``) without a detour through double: decimal
-    # division keeps every integer digit of a bigint, floor drops the fraction.
-    return F.floor(num.cast("decimal(38,0)") / den.cast("decimal(38,0)")).cast("bigint")
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -1,7 +1,7 @@
 """Gold KPI tables and the read-side reports built on them.
 
-Amounts are summed as whole cents (bigint) and converted once at the end; averages
-are exact half-up integer divisions.
+Amounts are summed as whole numbers at the price's scale and rounded half-up to cents
+once, at the end; averages are exact half-up integer divisions.
 
 Transactions are counted as ``count(distinct tx_id)``.  When the input is a Silver
 table built by this engine (``key_unique=True``), every key appears exactly once and is
@@ -17,9 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import cents_to_amount, half_up_ratio_amount, to_cents
+from ..functions.money import cents_to_amount, exact_sum, half_up_ratio_amount, rounded_amount, rounded_ratio, to_cents, to_micros
 from ..functions.ranking import with_position
-from .staging import line_cents
+from .staging import line_micros
 
 # --- fixed values: Gold table columns (grain column first) ---
 DAILY_COLUMNS = ["fecha", "cantidad_transacciones", "clientes_unicos", "unidades_vendidas", "ingresos_totales",
@@ -39,11 +39,11 @@ def _time_kpis(stg: DataFrame, grain: Column, name: str, ordered: bool, key_uniq
               .agg(_tx_count(key_unique),
                    F.count_distinct("cliente_id").alias("clientes_unicos"),
                    F.sum("cantidad").cast("bigint").alias("unidades_vendidas"),
-                   F.sum(line_cents()).cast("bigint").alias("_cents")))
+                   exact_sum(line_micros()).alias("_micros")))
     out = agg.select(
         name, "cantidad_transacciones", "clientes_unicos", "unidades_vendidas",
-        cents_to_amount("_cents").alias("ingresos_totales"),
-        half_up_ratio_amount("_cents", "cantidad_transacciones").alias("ticket_promedio"),
+        rounded_amount("_micros").alias("ingresos_totales"),
+        rounded_ratio("_micros", "cantidad_transacciones").alias("ticket_promedio"),
     )
     return out.orderBy(name) if ordered else out
 
@@ -63,13 +63,13 @@ def by_product(stg: DataFrame, ordered: bool = True, key_unique: bool = False) -
     agg = (stg.groupBy("producto")
               .agg(_tx_count(key_unique),
                    F.sum("cantidad").cast("bigint").alias("unidades_vendidas"),
-                   F.sum(line_cents()).cast("bigint").alias("_cents"),
-                   F.sum(to_cents("precio")).cast("bigint").alias("_price_cents"),
+                   exact_sum(line_micros()).alias("_micros"),
+                   exact_sum(to_micros("precio")).alias("_price"),
                    F.count(F.lit(1)).alias("_rows")))
     out = agg.select(
         "producto", "cantidad_transacciones", "unidades_vendidas",
-        cents_to_amount("_cents").alias("ingresos_totales"),
-        half_up_ratio_amount("_price_cents", "_rows").alias("precio_promedio"),
+        rounded_amount("_micros").alias("ingresos_totales"),
+        rounded_ratio("_price", "_rows").alias("precio_promedio"),
     )
     return out.orderBy(F.col("ingresos_totales").desc(), "producto") if ordered else out
 

@@ -62,7 +62,9 @@ WITH_A = f"with feed_a as ({FEED_A}),{_refine('feed_a', 'a')}"
 WITH_B = f"with feed_b as ({FEED_B}),{_refine('feed_b', 'b')}"
 WITH_AB = f"with feed_a as ({FEED_A}), feed_b as ({FEED_B}),{_refine('feed_a', 'a')},{_refine('feed_b', 'b')}"
 
-CENTS = "cast(sum(cast(round(precio * 100) as bigint) * cantidad) as bigint)"
+REVENUE = "sum(cast(precio as decimal(18, 6)) * cantidad)"
+MICROS = f"cast({REVENUE} * 1000000 as hugeint)"
+PRICE_MICROS = "cast(sum(cast(precio as decimal(18, 6))) * 1000000 as hugeint)"
 
 
 def _time_kpis(grain: str, name: str, stg: str) -> str:
@@ -70,8 +72,8 @@ def _time_kpis(grain: str, name: str, stg: str) -> str:
        count(distinct tx_id) as cantidad_transacciones,
        count(distinct cliente_id) as clientes_unicos,
        cast(sum(cantidad) as bigint) as unidades_vendidas,
-       cast({CENTS} as double) / 100 as ingresos_totales,
-       cast((2 * {CENTS} + count(distinct tx_id)) // (2 * count(distinct tx_id)) as double) / 100 as ticket_promedio
+       cast(round({REVENUE}, 2) as double) as ingresos_totales,
+       cast((2 * {MICROS} + 10000 * count(distinct tx_id)) // (20000 * count(distinct tx_id)) as double) / 100 as ticket_promedio
 from {stg} group by 1"""
 
 
@@ -79,9 +81,8 @@ def _product_kpis(stg: str) -> str:
     return f"""select producto,
        count(distinct tx_id) as cantidad_transacciones,
        cast(sum(cantidad) as bigint) as unidades_vendidas,
-       cast({CENTS} as double) / 100 as ingresos_totales,
-       cast((2 * cast(sum(cast(round(precio * 100) as bigint)) as bigint) + count(*)) // (2 * count(*)) as double) / 100
-         as precio_promedio
+       cast(round({REVENUE}, 2) as double) as ingresos_totales,
+       cast((2 * {PRICE_MICROS} + 10000 * count(*)) // (20000 * count(*)) as double) / 100 as precio_promedio
 from {stg} group by 1"""
 
 
@@ -167,9 +168,15 @@ from e_silver t full outer join l_dedup s on t.tx_id = s.tx_id group by 1""",
     "stg_silver": f"{WITH_A} select * from a_stg",
     "enriched_sales": f"""{WITH_A}
 select *, cast(venta_timestamp as date) as fecha, date_trunc('hour', venta_timestamp) as hora,
-       cast(cast(round(precio * 100) as bigint) * cantidad as double) / 100 as monto_total
+       cast(cast(precio as decimal(18, 6)) * cantidad as double) as monto_total
 from a_stg""",
     "gold_daily": f"{WITH_A} {GOLD_DAILY_A}",
+    "gold_daily_distinct": f"""{WITH_A}, x as (select *, try_cast("timestamp" as timestamp) as venta_timestamp from a_clean)
+{_time_kpis("cast(venta_timestamp as date)", "fecha", "x")}""",
+    "gold_incremental": f"{WITH_A} {GOLD_DAILY_A}",
+    "staging_views": f"{WITH_A} select * from a_stg",
+    "missing_table_noop": """select 'bronze_missing' as "case", 'no_bronze' as status, false as silver_exists
+union all select 'bronze_landed', 'created', true""",
     "gold_hourly": f"{WITH_B} {GOLD_HOURLY_B}",
     "gold_product": f"{WITH_A} {GOLD_PRODUCT_A}",
     "gold_catalog_read": f"{WITH_A} {GOLD_DAILY_A}",

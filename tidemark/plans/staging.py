@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import cents_to_amount, to_cents
+from ..functions.money import micros_to_amount, to_micros
 from ..functions.timefmt import parse_event_time
 from ..spec import EVENT_COLUMNS
 
@@ -26,9 +26,9 @@ def stg_silver(silver: DataFrame) -> DataFrame:
     )
 
 
-def line_cents(price: str = "precio", qty: str = "cantidad"):
-    """Line amount in whole cents: price to cents first, then times quantity (exact)."""
-    return to_cents(price) * F.col(qty).cast("bigint")
+def line_micros(price: str = "precio", qty: str = "cantidad"):
+    """Line amount in whole millionths: price times quantity, not rounded to cents."""
+    return to_micros(price) * F.col(qty).cast("bigint")
 
 
 def enrich(stg: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def enrich(stg: DataFrame) -> DataFrame:
     return stg.withColumns({
         "fecha": F.to_date("venta_timestamp"),
         "hora": F.date_trunc("hour", F.col("venta_timestamp")),
-        "monto_total": cents_to_amount(line_cents()),
+        "monto_total": micros_to_amount(line_micros()),
     })
 
 
