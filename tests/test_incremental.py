@@ -7,6 +7,7 @@ from helpers import day, ev, frame
 
 from tidemark.operators.refine import clean, current_rows, latest_per_key
 from tidemark.sources.tables import current_version, read_table
+from tidemark.spec import FEED_SCHEMA
 from tidemark.spec import SALES_SEQ as S
 from tidemark.streaming.refine_stream import merge_batch, refine_incremental, silver_view
 
@@ -96,10 +97,10 @@ def test_incremental_over_a_streaming_sink_bronze(spark, tmp_lake):
     rows = [ev("a", "INSERT", day(1)), ev("a", "UPDATE", day(2), precio=4.0), ev("b", "INSERT", day(1)),
             ev("b", "DELETE", day(3)), ev("c", "INSERT", day(2), cantidad=0)]
     write_messages(to_messages(frame(spark, rows[:3])), f"{src}/1", files=1)
-    ingest_available(spark, bronze, f"{tmp_lake}/ckpt-in", "parquet", f"{src}/*")
+    ingest_available(spark, bronze, f"{tmp_lake}/ckpt-in", "parquet", f"{src}/*", schema=FEED_SCHEMA)
     refine_incremental(spark, bronze, f"{tmp_lake}/state", f"{tmp_lake}/ckpt-ref", S)
     write_messages(to_messages(frame(spark, rows[3:])), f"{src}/2", files=1)
-    ingest_available(spark, bronze, f"{tmp_lake}/ckpt-in", "parquet", f"{src}/*")
+    ingest_available(spark, bronze, f"{tmp_lake}/ckpt-in", "parquet", f"{src}/*", schema=FEED_SCHEMA)
     refine_incremental(spark, bronze, f"{tmp_lake}/state", f"{tmp_lake}/ckpt-ref", S)
     refine(spark, bronze, f"{tmp_lake}/silver", S)
     got = {tuple(r) for r in silver_view(spark, f"{tmp_lake}/state", S).collect()}

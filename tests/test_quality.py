@@ -59,14 +59,3 @@ def test_precomputed_counts_replace_a_scan(spark):
     res = {(r.column_name, r.test): (r.failures, r.status)
            for r in dq.run_suite({"m": df}, checks, {("m", "precio", "not_null"): 7}).collect()}
     assert res == {("precio", "not_null"): (7, "warn"), ("tx_id", "unique"): (0, "pass")}
-
-
-def test_refine_profile_equals_scanned_bronze_counts(spark, tmp_lake):
-    from tidemark.plans.medallion import bronze_profile_columns, profiled_failures, refine_frame
-    from tidemark.spec import SALES_SEQ
-
-    rows = [ev("a", "INSERT", day(1), precio=None), ev(None, "INSERT", day(1)), ev("b", "INSERT", day(2))]
-    res = refine_frame(frame(spark, rows), f"{tmp_lake}/s", SALES_SEQ, profile=bronze_profile_columns())
-    assert profiled_failures(res.metrics) == {("stg_bronze_ventas", "tx_id", "not_null"): 1,
-                                              ("stg_bronze_ventas", "precio", "not_null"): 1}
-    assert res.metrics["bronze_rows"] == 3

@@ -14,8 +14,12 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import replace
+
+from pyspark.sql.types import StructType
 
 from .session import build_session
+from .spec import EVENT_SCHEMA, SALES
 
 
 def _opts(pairs: list[str] | None) -> dict[str, str]:
@@ -32,6 +36,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a.add_argument("--source")
     a.add_argument("--option", action="append")
     a.add_argument("--available-now", action="store_true")
+    a.add_argument("--schema", help="DDL of the message fields (default: the eight event fields)")
     for name in ("refine", "gold", "test", "run"):
         p = sub.add_parser(name)
         if name != "gold":
@@ -45,8 +50,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                            help="read only new Bronze files; --silver then holds the latest-event state")
             p.add_argument("--checkpoint")
             p.add_argument("--option", action="append", help="file-stream option for --incremental, k=v")
+        p.add_argument("--order-by", action="append", help="column that defines newest (repeat: tie-breakers)")
         if name == "run":
-            p.add_argument("--retain", type=int, default=3, help="versions of each table kept (0 = all)")
+            p.add_argument("--retain", type=int, default=0, help="versions of each table kept (0 = all)")
     i = sub.add_parser("inspect")
     i.add_argument("path")
     i.add_argument("n", nargs="?", type=int, default=20)
@@ -64,37 +70,40 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if args.cmd in ("refine", "test", "run"):
         tune_shuffle_partitions(spark, [args.bronze])    # shuffles sized from the Bronze bytes
 
+    spec = replace(SALES, order_by=tuple(args.order_by)) if getattr(args, "order_by", None) else SALES
     if args.cmd == "ingest":
         from .streaming.ingest import ingest_available, start_bronze_ingest
 
+        schema = StructType.fromDDL(args.schema) if args.schema else EVENT_SCHEMA
+
         if args.available_now:
-            ingest_available(spark, args.bronze, args.checkpoint, args.format, args.source, _opts(args.option))
+            ingest_available(spark, args.bronze, args.checkpoint, args.format, args.source, _opts(args.option), schema)
         else:
             start_bronze_ingest(spark, args.bronze, args.checkpoint, args.format, _opts(args.option),
-                                args.source).awaitTermination()
+                                args.source, schema).awaitTermination()
     elif args.cmd == "refine":
         if args.incremental:
             from .streaming.refine_stream import refine_incremental
 
             status = refine_incremental(spark, args.bronze, args.silver,
                                         args.checkpoint or f"{args.silver.rstrip('/')}/_checkpoint",
-                                        buckets=args.buckets, options=_opts(args.option))
+                                        spec, buckets=args.buckets, options=_opts(args.option))
             print(json.dumps({"status": status}))
         else:
-            res = M.refine(spark, args.bronze, args.silver, buckets=args.buckets)
+            res = M.refine(spark, args.bronze, args.silver, spec, buckets=args.buckets)
             print(json.dumps({"status": res.status, "version": res.version, "metrics": res.metrics}))
     elif args.cmd == "gold":
-        print(json.dumps(M.build_gold(spark, args.silver, args.gold)))
+        print(json.dumps(M.build_gold(spark, args.silver, args.gold, spec=spec)))
     elif args.cmd == "test":
         golds = {n: T.read_table(spark, f"{args.gold.rstrip('/')}/{n}") for n in M.GOLD_TABLES}
-        res = M.quality(spark, T.read_table(spark, args.bronze), T.read_table(spark, args.silver), golds)
+        res = M.quality(spark, T.read_table(spark, args.bronze), M.current_silver(spark, args.silver, spec)[0], golds)
         from .operators.quality import gate
 
         for row in gate(res):
             print(json.dumps(row, default=str))
     elif args.cmd == "run":
-        out = M.run_medallion(spark, args.bronze, args.silver, args.gold, incremental=args.incremental,
-                              checkpoint=args.checkpoint, retain_versions=args.retain or None,
+        out = M.run_medallion(spark, args.bronze, args.silver, args.gold, spec, incremental=args.incremental,
+                              checkpoint=args.checkpoint, buckets=args.buckets, retain_versions=args.retain or None,
                               stream_options=_opts(args.option))
         print(json.dumps({"refine": out["refine"].status, "gold": out["gold"],
                           "failed": [r for r in out["quality"] if r["status"] != "pass"]}, default=str))
@@ -102,8 +111,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from .operators.inspect import inspect_table
 
         info = inspect_table(spark, args.path, args.n)
-        info["schema"].show(truncate=False)
-        print(f"rows: {info['schema'].first()['row_count'] if info['schema'].first() else 0}")
+        columns = info["schema"].collect()              # a row per column, from one pass
+        for c in columns:
+            print(f"{c['position']} {c['column_name']} {c['data_type']} nulls={c['null_count']}")
+        print(f"rows: {columns[0]['row_count'] if columns else 0}")
         info["sample"].show(args.n, truncate=False)
         if "history" in info:
             info["history"].show(truncate=False)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
@@ -26,14 +26,11 @@ from ..spec import BRONZE_TECHNICAL, EVENT_COLUMNS, FEED_SCHEMA, SALES_SEQ
 from ..streaming.ingest import ingest_available
 from ..streaming.refine_stream import refine_incremental, silver_view
 from . import gold
-from .medallion import (bronze_profile_columns, build_gold, profiled_failures, quality, refine, refine_frame,
-                        run_medallion)
-from .staging import enrich, stg_bronze, stg_silver
+from .medallion import build_gold, quality, refine, refine_frame, run_medallion
+from .staging import enrich, register_views, stg_bronze, stg_silver
 
 SPEC = SALES_SEQ
-# --- fixed values: split point of the two-batch merge fixture ---
-MERGE_SPLIT = "1998-06-01"
-# --- end of fixed values ---
+MERGE_SPLIT = "1998-06-01"      # split point of the two-batch merge queries
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -75,10 +72,10 @@ def q_feed_peek(spark, sf):
     return peek(msgs, 10, order_by=[F.col("seq")]).drop("kafka_timestamp")
 
 
-def _land_messages(spark, sf, parts: int = 4) -> str:
-    """Feed B as message files in a fresh 'topic' directory, one file per split."""
+def _land_messages(spark, sf) -> str:
+    """Feed B as message files in a fresh 'topic' directory, one file per partition."""
     src = scratch_path(spark, "topic")
-    write_messages(to_messages(_feed_b(spark, sf)), src, files=parts)
+    write_messages(to_messages(_feed_b(spark, sf)), src)
     return src
 
 
@@ -86,7 +83,7 @@ def q_bronze_ingest(spark, sf):
     """Feed B messages landed as files, captured by the streaming Bronze job (availableNow)."""
     src = _land_messages(spark, sf)
     bronze, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt")
-    ingest_available(spark, bronze, ckpt, "parquet", src)
+    ingest_available(spark, bronze, ckpt, "parquet", src, schema=FEED_SCHEMA)
     return spark.read.parquet(bronze).drop(*BRONZE_TECHNICAL)
 
 
@@ -98,11 +95,11 @@ def q_bronze_restart(spark, sf):
     bronze, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt")
     early = feed.filter(F.col("timestamp") < F.lit("2024-01-16"))
     late = feed.filter(~(F.col("timestamp") < F.lit("2024-01-16")) | F.col("timestamp").isNull())
-    write_messages(to_messages(early), f"{src}/part=0", files=2)
-    ingest_available(spark, bronze, ckpt, "parquet", f"{src}/*", options={"maxFilesPerTrigger": "1"})
-    write_messages(to_messages(late), f"{src}/part=1", files=1)
-    ingest_available(spark, bronze, ckpt, "parquet", f"{src}/*", options={"maxFilesPerTrigger": "1"})
-    ingest_available(spark, bronze, ckpt, "parquet", f"{src}/*", options={"maxFilesPerTrigger": "1"})
+    write_messages(to_messages(early), f"{src}/part=0")
+    ingest_available(spark, bronze, ckpt, "parquet", f"{src}/*", schema=FEED_SCHEMA)
+    write_messages(to_messages(late), f"{src}/part=1")
+    ingest_available(spark, bronze, ckpt, "parquet", f"{src}/*", schema=FEED_SCHEMA)
+    ingest_available(spark, bronze, ckpt, "parquet", f"{src}/*", schema=FEED_SCHEMA)
     return spark.read.parquet(bronze).drop(*BRONZE_TECHNICAL)
 
 
@@ -124,8 +121,9 @@ def q_silver_initial(spark, sf):
 
 
 def _split(feed: DataFrame):
+    """Events before the split time, and all others (those without a time among them)."""
     early = F.col("timestamp") < F.lit(MERGE_SPLIT)
-    return feed.filter(early), feed.filter(~early)
+    return feed.filter(early), feed.filter(~early | F.col("timestamp").isNull())
 
 
 def q_silver_merge(spark, sf):
@@ -205,6 +203,28 @@ def q_gold_daily(spark, sf):
     return gold.daily(_stg_a(spark, sf), key_unique=True)
 
 
+def q_gold_daily_distinct(spark, sf):
+    """Daily KPIs of all clean events of feed A (keys repeat): two real distinct counts."""
+    return gold.daily(stg_silver(clean(_feed_a(spark, sf), SPEC)), key_unique=False)
+
+
+def q_gold_incremental(spark, sf):
+    """Daily Gold built from the path of a latest-event state (deletes included): the commit
+    tells what the table holds, so deleted keys stay out."""
+    root = scratch_path(spark, "lake")
+    _feed_a(spark, sf).write.parquet(f"{root}/captured")
+    refine_incremental(spark, f"{root}/captured", f"{root}/state", f"{root}/progress", SPEC)
+    return read_table(spark, build_gold(spark, f"{root}/state", f"{root}/gold", spec=SPEC)["gold_kpi_ventas"])
+
+
+def q_staging_views(spark, sf):
+    """The typed staging view of Silver, published over a table path and read by SQL."""
+    path = scratch_path(spark, "current")
+    refine_frame(_feed_a(spark, sf), path, SPEC)
+    register_views(spark, silver=path)
+    return _ntz(spark.sql("select * from stg_silver_ventas"), "venta_timestamp")
+
+
 def q_gold_hourly(spark, sf):
     """Hourly KPIs of Silver (feed B), sorted by hour."""
     return _ntz(gold.hourly(stg_silver(_silver(_feed_b(spark, sf))), key_unique=True), "hora")
@@ -256,14 +276,13 @@ def q_silver_preview(spark, sf):
 
 
 def q_layer_counts(spark, sf):
-    """Rows per layer, counted in one job: Bronze and Silver rows are observed on their
-    way into the daily Gold aggregation, whose rows are counted at the end."""
-    bronze_seen, silver_seen = Observation("bronze_rows"), Observation("silver_rows")
-    feed = _feed_a(spark, sf).observe(bronze_seen, F.count(F.lit(1)).alias("n"))
-    silver = _silver(feed).observe(silver_seen, F.count(F.lit(1)).alias("n"))
-    gold_rows = gold.daily(stg_silver(silver), ordered=False, key_unique=True).count()
-    rows = [("bronze", bronze_seen.get["n"]), ("silver", silver_seen.get["n"]), ("gold_daily", gold_rows)]
-    return spark.createDataFrame(rows, "layer string, row_count bigint")
+    """Rows per layer, each an aggregate of its own (a count observed below a shuffle would
+    count the rows of re-run tasks again)."""
+    feed = _feed_a(spark, sf)
+    silver = _silver(feed)
+    layers = {"bronze": feed, "silver": silver, "gold_daily": gold.daily(stg_silver(silver), ordered=False, key_unique=True)}
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("layer"), "row_count") for n, df in layers.items()]
+    return counts[0].union(counts[1]).union(counts[2])
 
 
 def q_inspect_schema(spark, sf):
@@ -291,22 +310,21 @@ def q_dq_accepted_values(spark, sf):
 
 def q_dq_results(spark, sf):
     """The 21 column tests over the five models, as the scheduled run tests them: on
-    materialised Silver and Gold tables (written once, then scanned per test); the Bronze
-    null counts are observed by the refine job's own scan of Bronze (no second pass)."""
+    materialised Silver and Gold tables."""
     feed = _feed_a(spark, sf)
     root = scratch_path(spark, "lake")
-    silver_path = f"{root}/silver/ventas"
-    res = refine_frame(feed, silver_path, SPEC, profile=bronze_profile_columns())
+    silver_path = f"{root}/current"
+    refine_frame(feed, silver_path, SPEC)
     golds = {n: read_table(spark, p) for n, p in build_gold(spark, silver_path, f"{root}/gold").items()}
-    return quality(spark, feed, read_table(spark, silver_path), golds, profiled_failures(res.metrics))
+    return quality(spark, feed, read_table(spark, silver_path), golds)
 
 
 def q_medallion_end_to_end(spark, sf):
     """Feed B messages → Bronze (streaming) → Silver → Gold → tests; returns hourly Gold."""
     src = _land_messages(spark, sf)
     root = scratch_path(spark, "lake")
-    bronze, silver, gold_root = f"{root}/bronze/ventas", f"{root}/silver/ventas", f"{root}/gold"
-    ingest_available(spark, bronze, f"{root}/checkpoints/bronze/ventas", "parquet", src)
+    bronze, silver, gold_root = f"{root}/captured", f"{root}/current", f"{root}/gold"
+    ingest_available(spark, bronze, f"{root}/progress", "parquet", src, schema=FEED_SCHEMA)
     out = run_medallion(spark, bronze, silver, gold_root, SPEC)
     return _ntz(read_table(spark, out["gold"]["gold_kpi_ventas_hora"]), "hora")
 
@@ -329,6 +347,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_silver": q_stg_silver,
     "enriched_sales": q_enriched_sales,
     "gold_daily": q_gold_daily,
+    "gold_daily_distinct": q_gold_daily_distinct,
+    "gold_incremental": q_gold_incremental,
+    "staging_views": q_staging_views,
     "gold_hourly": q_gold_hourly,
     "gold_product": q_gold_product,
     "gold_catalog_read": q_gold_catalog_read,

@@ -9,10 +9,13 @@ import math
 
 from pyspark.sql import SparkSession
 
-# --- fixed values: size targets ---
 TARGET_BUCKET_BYTES = 512 * 1024 * 1024      # one Silver bucket file (compressed parquet)
 TARGET_SHUFFLE_BYTES = 256 * 1024 * 1024     # input bytes per initial shuffle partition
-# --- end of fixed values ---
+# Spark takes at most 100,000 buckets; every map task also writes an index entry for each
+# shuffle partition.  Above these counts buckets and partitions grow instead (100 TiB of
+# Bronze: 1.6 GiB a bucket, 2 GiB of input a partition, which sorts spill to disk).
+MAX_BUCKETS = 65_536
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:
@@ -23,16 +26,24 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
-def partitions_for(total_bytes: int, target_bytes: int, floor: int = 1) -> int:
-    """Enough partitions that none exceeds ``target_bytes``, and at least ``floor``."""
-    return max(int(floor), math.ceil(total_bytes / max(1, target_bytes)))
+def partitions_for(total_bytes: int, target_bytes: int, floor: int = 1, ceiling: int = MAX_SHUFFLE_PARTITIONS) -> int:
+    """Enough partitions that none exceeds ``target_bytes``, at least ``floor`` and at most ``ceiling``."""
+    return min(int(ceiling), max(int(floor), math.ceil(total_bytes / max(1, target_bytes))))
 
 
 def silver_buckets(spark: SparkSession, bronze_path: str, target_bytes: int = TARGET_BUCKET_BYTES) -> int:
-    """Bucket count for a new Silver table: the session's shuffle width, or more when the
-    Bronze feed (an upper bound of Silver's size) would make buckets larger than the target."""
+    """Bucket count that Silver needs: the session's shuffle width, or more when the Bronze
+    feed (an upper bound of Silver's size) would make buckets larger than the target."""
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return partitions_for(path_bytes(spark, bronze_path), target_bytes, floor)
+    return partitions_for(path_bytes(spark, bronze_path), target_bytes, floor, MAX_BUCKETS)
+
+
+def merge_width(stored: int | None, needed: int | None) -> int | None:
+    """Bucket count of the next version of a bucketed table: the stored one while it suffices;
+    else enough, and at least twice as many, so that re-bucketing stays rare as data grows."""
+    if not stored or not needed or needed <= stored:
+        return stored
+    return min(MAX_BUCKETS, max(needed, 2 * stored))
 
 
 def tune_shuffle_partitions(spark: SparkSession, paths: list[str], target_bytes: int = TARGET_SHUFFLE_BYTES) -> int:

@@ -71,6 +71,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             root = tempfile.mkdtemp(prefix="tidemark-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

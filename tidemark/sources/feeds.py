@@ -43,23 +43,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_fact(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """Scan the driving (fact) table of a feed with at least one partition per task slot.
+def read_fact(spark: SparkSession, sf_dir: str, name: str, columns: list[str], spread: int | None = None) -> DataFrame:
+    """Scan the driving (fact) table of a feed.
 
-    A large table already splits into far more partitions than there are slots, and is
-    returned as the scan.  A table stored as too few splits (one parquet row group
-    cannot be split) would run the whole feed derivation — joins, string building and
-    the partial top-1 of the dedup — in a single task; it is spread round-robin over
-    the slots first.  The rule depends only on the partition count, so it never adds a
-    shuffle to a table big enough for one to matter.
+    A table stored as a few unsplittable row groups runs the whole feed derivation in as few
+    tasks; ``spread`` (default: the session's ``tidemark.feed.spread``, unset = the scan as it
+    is) deals its rows to that many partitions first.  It is never chosen by table size.
     """
     df = read_table(spark, sf_dir, name).select(*columns)
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: keep the scan as it is
-        return df
-    return df.repartition(slots) if splits < slots else df
+    n = spread or spark.conf.get("tidemark.feed.spread", None)
+    return df.repartition(int(n)) if n else df
 
 
 def change_feed_a(spark: SparkSession, sf_dir: str) -> DataFrame:

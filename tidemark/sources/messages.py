@@ -16,7 +16,7 @@ MESSAGE_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 
 
 def to_messages(df: DataFrame, key: str = "tx_id", columns: list[str] | None = None,
-                topic: str = "ventas_cdc", time: Column | None = None) -> DataFrame:
+                topic: str = "sales", time: Column | None = None) -> DataFrame:
     """One message per row: key = key column as UTF-8 bytes, value = JSON object bytes.
 
     Null fields are left out of the JSON object, as a JSON encoder of the event dict

@@ -87,12 +87,23 @@ def _commit_file(path: str, version: int) -> str:
 
 
 def _write_commit(spark: SparkSession, path: str, record: dict) -> None:
+    """Written aside first, then renamed without overwriting: a listed commit is complete, and
+    of two writers of one version the second fails."""
     fs, p = _fs(spark, _commit_file(path, record["version"]))
-    out = fs.create(p, False)                 # fails if this version was committed already
+    _, aside = _fs(spark, f"{_commits(path)}/.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
     try:
         out.write(bytearray((json.dumps(record) + "\n").encode("utf-8")))
     finally:
         out.close()
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    none = sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        hadoop.FileContext.getFileContext(fs.makeQualified(p).toUri(), sc._jsc.hadoopConfiguration()).rename(fs.makeQualified(aside), fs.makeQualified(p), none)
+    except Exception:
+        fs.delete(aside, False)
+        raise
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
@@ -112,8 +123,18 @@ def current_version(spark: SparkSession, path: str) -> int | None:
 
 
 def _is_plain_parquet(spark: SparkSession, path: str) -> bool:
-    """A streaming file sink output (``_spark_metadata``) or a finished batch write."""
-    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata") or path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+    """Whether there is a data file under ``path`` (of a batch write or a streaming sink; names
+    that start with ``_`` or ``.`` are not data).  A capture without rows yet has none."""
+    fs, p = _fs(spark, path)
+    todo = [p] if fs.exists(p) else []
+    while todo:
+        for st in fs.listStatus(todo.pop()):
+            if st.getPath().getName()[0] in "_.":
+                continue
+            if st.isFile():
+                return True
+            todo.append(st.getPath())
+    return False
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -135,6 +156,13 @@ def read_commit(spark: SparkSession, path: str, version: int) -> dict:
     return json.loads(text)
 
 
+def table_kind(spark: SparkSession, path: str) -> str | None:
+    """What the newest commit says the table holds: ``current`` rows (one per key, none deleted),
+    a latest-event ``state`` (one per key, deletes included), or None when it says nothing."""
+    v = current_version(spark, path)
+    return None if v is None else read_commit(spark, path, v).get("kind")
+
+
 def bucketing(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, str] | None:
     """``(buckets, key)`` of a bucketed snapshot, else None."""
     v = current_version(spark, path) if version is None else version
@@ -180,7 +208,7 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
 
 
 def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object] | None = None,
-            metrics_fn=None, bucket_by: tuple[int, str] | None = None, commit_if=None) -> int | None:
+            metrics_fn=None, bucket_by: tuple[int, str] | None = None, commit_if=None, kind: str | None = None) -> int | None:
     """Write ``df`` as the next version of the table at ``path`` and commit it.
 
     ``bucket_by=(n, key)`` writes the snapshot hash-bucketed and sorted by ``key``.  When
@@ -189,7 +217,8 @@ def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object]
     extra shuffle.  ``metrics_fn`` is called after the data write (e.g. to read an
     ``Observation`` filled by that same write) and is merged into the commit metrics.
     ``commit_if`` (called after the write) can veto the commit: the written files are
-    then removed and None is returned, so the table is unchanged.
+    then removed and None is returned, so the table is unchanged.  ``kind`` is recorded in
+    the commit (see ``table_kind``).
     """
     spark = df.sparkSession
     cur = current_version(spark, path)
@@ -198,6 +227,8 @@ def publish(df: DataFrame, path: str, operation: str, metrics: dict[str, object]
     data_dir = _data(path, version, attempt)
     record: dict = {"version": version, "operation": operation, "data": data_dir.rsplit("/", 1)[1],
                     "schema": df.schema.json()}
+    if kind:
+        record["kind"] = kind
     if bucket_by:
         n, key = bucket_by
         record["bucketing"] = {"buckets": int(n), "key": key}
@@ -309,12 +340,12 @@ class ResultTooLarge(ValueError):
     pass
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
-    """Collect a report-sized result (a Gold table, a top-N) to pandas.
-
-    The row count is checked on the cluster first (``limit(max_rows + 1).count()`` stops
-    early), so a mistaken call on a Silver-sized table fails instead of flooding the driver.
-    """
-    if df.limit(max_rows + 1).count() > max_rows:
+def to_pandas_bounded(df: DataFrame, max_rows: int | None = None):
+    """Collect a report-sized result (a Gold table, a top-N) to pandas.  With ``max_rows`` a
+    larger result raises after at most one row more has reached the driver; it runs once."""
+    if max_rows is None:
+        return df.toPandas()
+    out = df.limit(max_rows + 1).toPandas()
+    if len(out) > max_rows:
         raise ResultTooLarge(f"more than {max_rows} rows; aggregate or limit before collecting")
-    return df.toPandas()
+    return out

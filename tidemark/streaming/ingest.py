@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from ..sources.messages import to_bronze
-from ..spec import FEED_SCHEMA
+from ..spec import EVENT_SCHEMA
 
 # Record shape of a broker topic, used when the source is a file stand-in.
 MESSAGE_SCHEMA = StructType([
@@ -55,7 +55,7 @@ def message_stream(spark: SparkSession, fmt: str = "kafka", options: dict[str, s
 
 def start_bronze_ingest(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: str = "kafka",
                         options: dict[str, str] | None = None, source_path: str | None = None,
-                        schema: StructType = FEED_SCHEMA, trigger: dict | None = None,
+                        schema: StructType = EVENT_SCHEMA, trigger: dict | None = None,
                         query_name: str | None = None) -> StreamingQuery:
     """Start the capture; ``trigger`` is e.g. ``{"processingTime": "10 seconds"}`` or
     ``{"availableNow": True}`` (drain what is there, then stop)."""
@@ -69,13 +69,14 @@ def start_bronze_ingest(spark: SparkSession, bronze_path: str, checkpoint: str,
 
 
 def ingest_available(spark: SparkSession, bronze_path: str, checkpoint: str, fmt: str, source_path: str | None = None,
-                     options: dict[str, str] | None = None, schema: StructType = FEED_SCHEMA,
-                     timeout_s: float = 600) -> int:
-    """Run the capture once over everything available, then stop; returns batches run."""
+                     options: dict[str, str] | None = None, schema: StructType = EVENT_SCHEMA,
+                     timeout_s: float | None = None) -> int:
+    """Run the capture once over everything available, then stop; returns batches run.  There
+    is no time limit unless ``timeout_s`` sets one."""
     q = start_bronze_ingest(spark, bronze_path, checkpoint, fmt, options, source_path, schema,
                             trigger={"availableNow": True})
     try:
-        if not q.awaitTermination(timeout_s):
+        if not (q.awaitTermination() or True if timeout_s is None else q.awaitTermination(timeout_s)):
             raise TimeoutError("bronze ingest did not drain the source in time")
         if q.exception() is not None:
             raise q.exception()

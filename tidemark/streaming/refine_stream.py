@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.refine import clean, current_from_state, latest_per_key, state_columns, upsert_newest
-from ..plans.sizing import silver_buckets
+from ..plans.sizing import merge_width, silver_buckets
 from ..session import ensure_session, shuffle_width
 from ..sources.tables import bucketing, publish, read_table, table_exists
 from ..spec import SALES, ChangeSpec
@@ -36,32 +36,32 @@ def merge_batch(batch: DataFrame, state_path: str, spec: ChangeSpec = SALES, buc
     meta = {"batch_id": batch_id} if batch_id is not None else {}
     if table_exists(spark, state_path):
         b = bucketing(spark, state_path)
-        n = b[0] if b else None
+        n = merge_width(b[0] if b else None, buckets)
         with shuffle_width(spark, n):
             obs = Observation(f"upsert_{batch_id}")
             new_state = upsert_newest(read_table(spark, state_path), latest_per_key(cleaned, spec), spec, obs)
             return publish(new_state, state_path, "MERGE", metrics=meta, metrics_fn=lambda: obs.get,
-                           bucket_by=(n, spec.key) if n else None, commit_if=has_events)
+                           bucket_by=(n, spec.key) if n else None, commit_if=has_events, kind="state")
     n = buckets if buckets is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
     with shuffle_width(spark, n or None):
         first = latest_per_key(cleaned, spec).select(*state_columns(spec))
         return publish(first, state_path, "WRITE", metrics=meta, bucket_by=(n, spec.key) if n else None,
-                       commit_if=has_events)
+                       commit_if=has_events, kind="state")
 
 
 def refine_incremental(spark: SparkSession, bronze_path: str, state_path: str, checkpoint: str,
-                       spec: ChangeSpec = SALES, buckets: int | None = None, timeout_s: float = 3600,
+                       spec: ChangeSpec = SALES, buckets: int | None = None, timeout_s: float | None = None,
                        options: dict[str, str] | None = None) -> str:
     """Process the Bronze files not seen yet (``availableNow``), then stop.
 
     ``options`` go to the Bronze file stream, e.g. ``{"maxFilesPerTrigger": "1000"}`` to
     work through a large backlog in bounded micro-batches (each one committed on its own).
-    Returns ``no_bronze`` when there is no Bronze yet, else ``done``.
+    There is no time limit unless ``timeout_s`` sets one.  Returns ``no_bronze`` when there is no Bronze yet, else ``done``.
     """
     ensure_session(spark)
     if not table_exists(spark, bronze_path):
         return "no_bronze"
-    if buckets is None and not table_exists(spark, state_path):
+    if buckets is None:
         buckets = silver_buckets(spark, bronze_path)
     schema = spark.read.parquet(bronze_path).schema
     stream = spark.readStream.schema(schema).options(**(options or {})).parquet(bronze_path)
@@ -72,7 +72,7 @@ def refine_incremental(spark: SparkSession, bronze_path: str, state_path: str, c
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     try:
-        if not q.awaitTermination(timeout_s):
+        if not (q.awaitTermination() or True if timeout_s is None else q.awaitTermination(timeout_s)):
             raise TimeoutError("incremental refine did not finish in time")
         if q.exception() is not None:
             raise q.exception()

@@ -28,7 +28,7 @@ def main() -> None:
     from tidemark.operators.refine import clean, latest_per_key, merge_changes, upsert_newest
     from tidemark.plans import gold
     from tidemark.plans import queries as Q
-    from tidemark.plans.medallion import (bronze_profile_columns, build_gold, profiled_failures, quality,
+    from tidemark.plans.medallion import (build_gold, quality,
                                           refine_frame)
     from tidemark.session import build_session, scratch_path, shuffle_width
     from tidemark.sources.tables import bucketing, read_table
@@ -80,11 +80,11 @@ def main() -> None:
 
     root = scratch_path(spark, "plans-lake")
     feed = Q._feed_a(spark, sf)
-    res = refine_frame(feed, f"{root}/silver", S, profile=bronze_profile_columns())
+    refine_frame(feed, f"{root}/silver", S)
     golds = {k: read_table(spark, p) for k, p in build_gold(spark, f"{root}/silver", f"{root}/gold").items()}
     add("dq_results (21 tests)", "Bronze null counts come from the refine scan (no Bronze branch); `unique(tx_id)` "
         "aggregates bucketed Silver without a shuffle; one aggregation per model for all not-null tests.",
-        quality(spark, feed, read_table(spark, f"{root}/silver"), golds, profiled_failures(res.metrics)))
+        quality(spark, feed, read_table(spark, f"{root}/silver"), golds))
 
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(out))
