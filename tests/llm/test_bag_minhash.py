@@ -44,9 +44,10 @@ def chain(n=26):
     return rows
 
 
-@pytest.mark.parametrize("apart,ids", [(100, 1_000_000), (2, 0)])
-def test_no_link_is_lost_in_crowded_buckets(spark, monkeypatch, apart, ids):
-    monkeypatch.setattr(bm, "APART", apart)
+@pytest.mark.parametrize("crowded,split,ids", [(200, 10_000_000, 1_000_000), (2, 10_000_000, 0), (2, 2, 0)])
+def test_no_link_is_lost_in_crowded_buckets(spark, monkeypatch, crowded, split, ids):
+    monkeypatch.setattr(bm, "CROWDED", crowded)
+    monkeypatch.setattr(bm, "SPLIT", split)
     monkeypatch.setattr(bm, "BROADCAST_IDS", ids)
     rows = chain()
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)

@@ -17,8 +17,12 @@ Links.  Exact copies are folded first.  Documents that agree on all rows of a ba
 bucket; every member is compared with the bucket's first document.  Then, where a bucket
 still holds documents of several components, each member outside its largest component is
 compared with all members of other components, so no pair of a bucket is left out unless
-its ends are connected already.  Buckets in which many documents stay apart are first
-split by a second band.  All comparisons count shingles exactly.
+its ends are connected already or it can't reach the similarity.  In buckets where many
+pairs are left, the shingles that only one of their documents has are counted first, and each
+document gets a bit set of the cells that its shingles hash into: shingles and cells of one
+side alone bound the similarity of every pair (from above, so no link is lost).  In a few rounds
+those apart are compared with single members of the largest component; what is still very
+crowded then is split by a second band.  All comparisons count shingles exactly.
 
 Defined results: a null text, or one without words, has no shingles and is alone.  Rows with
 one id are one document whose links are those of all its rows.  A null id can't stand for
@@ -41,8 +45,12 @@ from tidemark.llm.common import materialise, mix, slices, utf8_rows, window_hash
 
 SHINGLE, SIMILARITY_PERCENT = 5, 80
 BANDS, ROWS = 30, 5
-#: Buckets with more documents that stay apart than this are split by a second band.
-APART = 100
+#: Buckets with more pairs to compare than this are crowded; above the second, a second band splits them.
+CROWDED, SPLIT = 200, 10_000_000
+#: 64-bit words of a document's bit set of shingle cells (columns).
+BITS = [f"bits{i}" for i in range(16)]
+#: Rounds of comparisons with single documents in crowded buckets, before all pairs.
+HUBS = 3
 #: Ids of candidates are sent to all executors below this number (16 MB), joined by a shuffle above.
 BROADCAST_IDS = 1_000_000
 
@@ -112,6 +120,10 @@ def shingle_bags(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return r[at], x[at], n
 
 
+def _content(text: str | None) -> bytes:
+    return hashlib.blake2b(b" ".join((text or "").encode().split()), digest_size=16).digest()
+
+
 def signed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """id, content (digest of the word sequence; null without words), weight (shingles) and one
     64-bit key per band."""
@@ -126,7 +138,7 @@ def signed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
             for i in range(ROWS):
                 keys = mix(keys * np.uint64(0x9FB21C651E98DF25) + times[:, i])
             total = np.bincount(row, weights=weight, minlength=n).astype(np.int64)
-            content = [hashlib.blake2b(b" ".join((t.as_py() or "").encode().split()), digest_size=16).digest() if w else None for t, w in zip(col, total)]
+            content = [_content(t.as_py()) if w else None for t, w in zip(col, total)]
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS), pa.int32()), pa.array(keys.view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(content, pa.binary()), pa.array(total), bands], names=["id", "content", "weight", "bands"])
 
@@ -145,12 +157,16 @@ def similar(a: Counter, b: Counter) -> bool:
     return 100 * both >= SIMILARITY_PERCENT * (a.total() + b.total() - both) and both > 0
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """``ids`` marked for broadcast if there are few enough."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """The pairs (a, b) whose texts reach the similarity; the texts of candidates only are moved."""
     ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
-    few = ids.count() <= BROADCAST_IDS
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    texts = materialise(own.join(F.broadcast(ids) if few else ids, "id", "left_semi"), "near-texts")
+    texts = materialise(own.join(_few(ids), "id", "left_semi"), "near-texts")
     both = (pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b"))
 
@@ -190,19 +206,60 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _mixed(rows: DataFrame, key: list[str]) -> DataFrame:
     """Rows of buckets with several components: the bucket's largest component (``top``), the
-    number of rows outside it (``apart``)."""
+    number of pairs that it may have to compare (``work``)."""
     per = rows.groupBy(*key, "root").agg(F.count("*").alias("n"))
     of = (per.groupBy(*key).agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("roots")).where("roots > 1")
-          .select(*key, F.col("most.root").alias("top"), (F.col("all") - F.col("most.n")).alias("apart")))
+          .select(*key, F.col("most.root").alias("top"), ((F.col("all") - F.col("most.n")) * F.col("all")).alias("work")))
     return rows.join(of, key)
 
 
-def _across(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Pairs of a bucket between a row outside the largest component and a row of another one."""
-    x = rows.where("root != top").select(*key, F.col("id").alias("a"), F.col("root").alias("ra"), F.col("weight").alias("wa"))
-    y = rows.select(*key, F.col("id").alias("b"), F.col("root").alias("rb"), F.col("weight").alias("wb"), (F.col("root") == F.col("top")).alias("main"))
-    near = f"100 * least(wa, wb) >= {SIMILARITY_PERCENT} * greatest(wa, wb)"
-    return x.join(y, key).where(f"ra != rb and (main or a < b) and {near}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+def _across(rows: DataFrame, key: list[str], bounds: bool = True) -> DataFrame:
+    """Pairs of a bucket between a row outside the largest component and a row of another one.
+    With ``bounds``, ``own`` shingles of a row are in no other text of the bucket, and a bit
+    that only one row has set is a shingle that isn't shared: both bound the overlap."""
+    names = ["id", "root", "weight", *(["own", *BITS] if bounds else [])]
+    x = rows.where("root != top").select(*key, *[F.col(c).alias(f"a_{c}") for c in names])
+    y = rows.select(*key, (F.col("root") == F.col("top")).alias("main"), *[F.col(c).alias(f"b_{c}") for c in names])
+    near = _reachable("a_weight", "a_own" if bounds else "0", "b_weight", "b_own" if bounds else "0")
+    if bounds:
+        apart = lambda p, q: " + ".join(f"bit_count({p}_{c} & ~{q}_{c})" for c in BITS)
+        near += f" and {_reachable('a_weight', f'({apart("a", "b")})', 'b_weight', f'({apart("b", "a")})')}"
+    return (x.join(y, key).where(f"a_root != b_root and (main or a_id < b_id) and {near}")
+            .select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")))
+
+
+def _reachable(wa: str, oa: str, wb: str, ob: str) -> str:
+    """Whether weights, less what is surely not shared, let a pair reach the similarity."""
+    return f"{100 + SIMILARITY_PERCENT} * least({wa} - {oa}, {wb} - {ob}) >= {SIMILARITY_PERCENT} * ({wa} + {wb})"
+
+
+def own_shingles(docs: DataFrame, folded: DataFrame, ids: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, own, bits): the number of shingles that only this one of the documents ``ids`` has, at
+    least, and a bit set for each hash cell that one of its shingles falls into.  For an id
+    with several texts: no shingles, and all bits (which bounds nothing)."""
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("_text")).join(_few(ids), "id", "left_semi")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "_text", 1 << 20):
+            row, element, weight = shingle_bags(b.column(1))
+            digest = pa.array([_content(t.as_py()) for t in b.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([digest.take(pa.array(row)), pa.array(element.view(np.int64)), pa.array(weight, pa.int64())], names=["content", "shingle", "n"])
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "_text", 1 << 20):
+            row, element, _ = shingle_bags(b.column(1))
+            bits = np.zeros((b.num_rows, len(BITS)), np.uint64)
+            cell = mix(element) % np.uint64(64 * len(BITS))
+            np.bitwise_or.at(bits, (row, (cell >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (cell & np.uint64(63)))
+            digest = pa.array([_content(t.as_py()) for t in b.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([digest, *(pa.array(bits[:, i].view(np.int64)) for i in range(len(BITS)))], names=["content", *BITS])
+
+    one = src.mapInArrow(each, "content binary, shingle long, n long").groupBy("shingle").agg(F.min("content").alias("content"), F.max("content").alias("last"), F.min("n").alias("n"))
+    own = one.where("content = last").groupBy("content").agg(F.sum("n").alias("own"))
+    bits = src.mapInArrow(cells, "content binary, " + ", ".join(f"{c} long" for c in BITS)).dropDuplicates(["content"])
+    got = folded.join(_few(ids), "id", "left_semi").join(own, "content", "left").join(bits, "content")
+    alone = F.count("*") == 1
+    return materialise(got.groupBy("id").agg(F.when(alone, F.coalesce(F.max("own"), F.lit(0))).otherwise(0).alias("own"), *[F.when(alone, F.max(c)).otherwise(-1).alias(c) for c in BITS]), "near-own")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -210,33 +267,67 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     ``n_shingles``."""
     signs = materialise(signed(docs, id_col, text), "signatures")
     folded = materialise(signs.where("content is not null").groupBy("content").agg(F.min("id").alias("id"), F.first("weight").alias("weight"), F.first("bands").alias("bands")), "folded")
-    links = [signs.where("id is not null and content is not null").select("id", "content").join(folded.select("content", F.col("id").alias("rep")), "content")
-             .where("id != rep").groupBy("id").agg(F.collect_set("rep").alias("reps"), F.min("rep").alias("a")).where("size(reps) > 1")
-             .select("a", F.explode("reps").alias("b")).where("a != b")]       # rows of one id with several texts
+    several = (signs.where("id is not null and content is not null").select("id", "content").join(folded.select("content", F.col("id").alias("rep")), "content")
+               .where("id != rep").groupBy("id").agg(F.collect_set("rep").alias("reps"), F.min("rep").alias("a")).where("size(reps) > 1")
+               .select("a", F.explode("reps").alias("b")).where("a != b"))       # rows of one id with several texts
     bands = folded.where("id is not null").select("id", "weight", F.posexplode("bands").alias("band", "key"))
     key = ["band", "key"]
     lead = bands.groupBy(*key).agg(F.min(F.struct("id", "weight")).alias("lead"), F.count("*").alias("n")).where("n > 1")
-    near = f"100 * least(weight, lead.weight) >= {SIMILARITY_PERCENT} * greatest(weight, lead.weight)"
-    first = materialise(bands.join(lead, key).where(f"id != lead.id and {near}").select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct(), "near-pairs")
-    found = materialise(verified(first, docs, id_col, text).union(links[0]), "near-links")
-    roots = components(found)
-
-    rooted = bands.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = materialise(_mixed(rooted, key), "near-mixed")
-    plain = _across(mixed.where(f"apart <= {APART}"), key)
-    crowded = mixed.where(f"apart > {APART}").select("id", "weight", "root", F.col("band").alias("band0"), F.col("key").alias("key0"))
-    finer = ["band0", "key0", *key]
-    split = crowded.join(bands.select("id", "band", "key"), "id").where("band > band0")
-    second = materialise(plain.union(_across(_mixed(split, finer), finer)).distinct().join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
-    if not second.isEmpty():
-        found = materialise(found.union(verified(second, docs, id_col, text)), "near-links")
-        roots = components(found)
-
-    rep = folded.join(roots, "id", "left").select("content", F.coalesce("root", "id").alias("class_id"))
+    first = (bands.join(lead, key).where(f"id != lead.id and {_reachable('weight', '0', 'lead.weight', '0')}").select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct())
+    state = _Links(docs, id_col, text)
+    state.add(first, several)
+
+    mixed = materialise(_mixed(state.rooted(bands), key), "near-mixed").drop("root", "top")
+    crowded, rest = mixed.where(f"work > {CROWDED}").drop("work"), None
+    if not crowded.isEmpty():
+        own = own_shingles(docs, folded, materialise(crowded.select("id").distinct(), "near-ids"), id_col, text)
+        crowded = materialise(crowded.join(own, "id"), "near-crowded")
+        # Before all pairs: compare those that are apart with one document of the largest component,
+        # first the one with the fewest shingles of its own, then others, in each bucket another.
+        for turn in range(HUBS):
+            now = _mixed(state.rooted(crowded), key)
+            order = F.col("own") if not turn else F.xxhash64("id", "band", F.lit(turn))
+            hub = now.where("root = top").groupBy(*key).agg(F.min(F.struct(order.alias("order"), "id", "own", "weight")).alias("hub"))
+            state.add(now.where("root != top").join(hub, key).where(_reachable("weight", "own", "hub.weight", "hub.own"))
+                      .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
+        # Documents with too many shingles of their own link to none of their crowded buckets.
+        able = materialise(_mixed(state.rooted(crowded.where(f"100 * (weight - own) >= {SIMILARITY_PERCENT} * weight")), key), "near-able")
+        split = (able.where(f"work > {SPLIT}").select("id", "weight", "own", *BITS, "root", F.col("band").alias("band0"), F.col("key").alias("key0"))
+                 .join(bands.select("id", "band", "key"), "id").where("band > band0"))
+        finer = ["band0", "key0", *key]
+        rest = _across(able.where(f"work <= {SPLIT}"), key).union(_across(_mixed(split, finer), finer))
+    few = _across(_mixed(state.rooted(mixed.where(f"work <= {CROWDED}").drop("work")), key), key, bounds=False)
+    state.add((few if rest is None else few.union(rest)).distinct())
+
+    rep = folded.join(state.roots, "id", "left").select("content", F.coalesce("root", "id").alias("class_id"))
     return (signs.join(rep, "content", "left")
             .select(F.col("id").alias(id_col), F.when(F.col("content").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.col("weight").alias("n_shingles")))
 
 
+class _Links:
+    """The links found so far, the pairs that were compared, and the components."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text: str):
+        self.docs, self.id_col, self.text = docs, id_col, text
+        self.seen = self.found = self.roots = None
+
+    def add(self, pairs: DataFrame, known: DataFrame | None = None) -> None:
+        """Compare pairs (a < b) that weren't compared yet; ``known`` are links as they are."""
+        if self.seen is not None:
+            pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "near-pairs")
+        if self.seen is not None and pairs.isEmpty():
+            return
+        links = verified(pairs, self.docs, self.id_col, self.text)
+        links = links.union(known) if known is not None else links
+        self.found = materialise(links if self.found is None else self.found.union(links), "near-links")
+        self.seen = pairs if self.seen is None else self.seen.union(pairs)
+        self.roots = components(self.found)
+
+    def rooted(self, rows: DataFrame) -> DataFrame:
+        return rows.join(self.roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each class, that of the smallest id."""
     gone = classes(docs, id_col, text).where(f"`{id_col}` != class_id").select(F.col(id_col).alias("_gone")).distinct()
