@@ -1,5 +1,4 @@
-"""Write PLANS.md: physical plans of the key operators at a given sf (as planned; AQE may
-still coalesce shuffle partitions or turn a join into a broadcast at run time).
+"""Write PLANS.md: final (adaptive) physical plans of the key operators at a given sf.
 
 Usage: python tools/dump_plans.py [sf_dir]
 """
@@ -14,8 +13,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def tree(df, width: int = 150) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    p = df._jdf.queryExecution().executedPlan().toString()
+    run = df._jdf.queryExecution()
+    run.toRdd().count()                       # runs this plan, so that it is the final one
+    p = run.executedPlan().toString().split("+- == Initial Plan ==")[0]
     lines = []
     for line in p.split("\n"):
         line = re.sub(r"#\d+L?", "", line)
@@ -28,24 +28,22 @@ def main() -> None:
     from tidemark.operators.refine import clean, latest_per_key, merge_changes, upsert_newest
     from tidemark.plans import gold
     from tidemark.plans import queries as Q
-    from tidemark.plans.medallion import (build_gold, quality,
-                                          refine_frame)
+    from tidemark.plans.medallion import build_gold, quality, refine_frame
     from tidemark.session import build_session, scratch_path, shuffle_width
     from tidemark.sources.tables import bucketing, read_table
     from tidemark.streaming.refine_stream import merge_batch
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", shuffle_partitions=16)
+    spark = build_session("local[*]", shuffle_partitions=16)
     S = Q.SPEC
-    out = [f"# Physical plans\n\nPhysical plans at `{sf}`, `local[8]`, 16 shuffle partitions, generated by "
-           "`tools/dump_plans.py` (each plan was also run). Shown as planned: AQE may still coalesce shuffle "
-           "partitions or switch a join to broadcast at run time. Expression ids and plan ids are stripped; "
-           "long lines are cut.\n"]
+    out = [f"# Physical plans\n\nPhysical plans at `{sf}`, local mode, 16 shuffle partitions, generated by "
+           "`tools/dump_plans.py` the final adaptive plans after running. Expression ids and plan ids are "
+           "stripped; long lines are cut.\n"]
 
     def add(title: str, note: str, df) -> None:
         out.append(f"## {title}\n\n{note}\n\n```\n{tree(df)}\n```\n")
 
-    add("dedup_latest", "Cleaning predicates below the spread of the single-row-group scan; broadcast dimension "
+    add("dedup_latest", "Cleaning predicates at the scan; broadcast dimension "
         "joins (AQE, size-checked); partial top-1 (`WindowGroupLimit Partial`) before the only key shuffle.",
         Q.q_dedup_latest(spark, sf))
 
@@ -82,7 +80,7 @@ def main() -> None:
     feed = Q._feed_a(spark, sf)
     refine_frame(feed, f"{root}/silver", S)
     golds = {k: read_table(spark, p) for k, p in build_gold(spark, f"{root}/silver", f"{root}/gold").items()}
-    add("dq_results (21 tests)", "Bronze null counts come from the refine scan (no Bronze branch); `unique(tx_id)` "
+    add("dq_results (21 tests)", "`unique(tx_id)` "
         "aggregates bucketed Silver without a shuffle; one aggregation per model for all not-null tests.",
         quality(spark, feed, read_table(spark, f"{root}/silver"), golds))
 
