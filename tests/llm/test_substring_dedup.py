@@ -33,7 +33,7 @@ def test_hot_cells_and_small_buckets(docs, texts, monkeypatch):
 
 
 def test_sorting_in_small_pieces(docs, texts, monkeypatch):
-    monkeypatch.setattr(sd, "SORT_BYTES", 300)
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 300)
     monkeypatch.setattr(sd, "CELL_ROWS", 1)
     assert rows_of(sd.remove_repeats(docs, full=False)) == brute(texts)
 
@@ -47,13 +47,11 @@ def test_empty_table_and_kept_text(spark, no_docs):
 
 def test_hash_clashes_are_settled_by_words(spark, monkeypatch, texts):
     import numpy as np
-    import pyarrow as pa
 
     real = sd.window_hashes
     monkeypatch.setattr(sd, "window_hashes", lambda h, k: real(h, k) % np.uint64(3) if k == sd.WINDOW else real(h, k))
     words = [f"k{i}" for i in range(16)]
     rows = [(5, words), (3, words[1:]), (9, words[::-1]), (4, words[::-1])]
-    batch = pa.RecordBatch.from_arrays([pa.array([0] * 4, pa.int64()), pa.array([d for d, _ in rows], pa.int64()), pa.array([0] * 4, pa.int64()), pa.array([0] * 4, pa.int64()),
-                                        pa.array([" ".join(w).encode() for _, w in rows], pa.binary())], names=["minimiser", "doc", "hash", "first", "words"])
-    got = sorted(zip(*[c.to_pylist() for c in sd._bucket([batch]).columns]))
+    packed = sd._packed(np.array([d for d, _ in rows]), np.zeros(4, np.int64), np.zeros(4, np.int64), [" ".join(w).encode() for _, w in rows])
+    got = sorted(zip(*[c.to_pylist() for c in sd._bucket([sd._unpacked(packed)]).columns]))
     assert got == [(5, 0, 1, 16), (9, 0, 0, 16)]

@@ -2,8 +2,9 @@
 
 A window is 13 consecutive words.  Its minimiser is the smallest hash among its runs of
 three words.  Consecutive windows of a document with one minimiser travel together, as one
-packed string of words (a super-k-mer), to the minimiser's bucket; a bucket holds all
-occurrences of each of its windows.  There the windows are sorted, equal ones meet, and
+packed string of words (a super-k-mer), to the minimiser's bucket (those of one bucket and
+slice of the input as one compressed block); a bucket holds all occurrences of each of its
+windows.  There the windows are sorted, equal ones meet, and
 those that also start in a document with a smaller id are reported back as word intervals.
 Equal hashes are settled by the words themselves, so the result is exact.
 
@@ -20,6 +21,7 @@ without an id don't cause removals among each other.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, slices, utf8_rows, window_hashes, word_hashes, words_of
+from tidemark.llm.common import materialise, mix, slices, utf8_rows, window_hashes, word_hashes, words_of
 
 WINDOW, SEED = 13, 3
 #: Most windows of one super-k-mer (longer runs of one minimiser are cut).
@@ -35,8 +37,8 @@ LONGEST = 64
 #: Super-k-mers per coarse cell on average, and the number from which a cell is hot (at least;
 #: and at least a 50,000th of all, so that there are few hot cells at any size).
 CELL_ROWS, HOT_ROWS, HOT_SHARE = 1_000, 20_000, 50_000
-#: Bytes of super-k-mers that a bucket task sorts at once (whole minimisers).
-SORT_BYTES = 4 << 20
+#: Bytes of super-k-mers in a bucket on average: what a task sorts at once.
+BUCKET_BYTES = 6 << 20
 #: Word intervals are sent to all executors below this number, joined by a shuffle above it.
 BROADCAST_ROWS = 500_000
 LAST = (1 << 63) - 1
@@ -110,11 +112,25 @@ def hot_cells(source: DataFrame, cells: int) -> np.ndarray:
     return np.array(sorted(r.cell for r in counts.where(F.col("n") > max(HOT_ROWS, total // HOT_SHARE)).select("cell").collect()), np.int64)
 
 
-def _bucket(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+def _packed(doc: np.ndarray, own: np.ndarray, first: np.ndarray, words: list[bytes]) -> bytes:
+    """The super-k-mers of one bucket and slice: their number, then compressed columns."""
+    size = np.fromiter(map(len, words), np.int32, len(words))
+    data = doc.tobytes() + own.tobytes() + first.tobytes() + size.tobytes() + b"".join(words)
+    return struct.pack("<QQ", len(words), len(data)) + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    n, size = struct.unpack_from("<QQ", blob)
+    data = pa.decompress(blob[16:], size, "zstd", asbytes=True)
+    return (*(np.frombuffer(data, np.int64, n, 8 * n * k) for k in range(3)), np.frombuffer(data, np.int32, n, 24 * n), data[28 * n:])
+
+
+def _bucket(parts: list[tuple]) -> pa.RecordBatch:
     """Intervals (doc, hash, start, stop) of the windows that a smaller document also has."""
-    t = pa.Table.from_batches(rows).combine_chunks()
-    doc, own, first = (t.column(i).to_numpy() for i in (1, 2, 3))
-    w = Windows(t.column(4).chunk(0))
+    doc, own, first, size = (np.concatenate(x) for x in list(zip(*parts))[:4])
+    offsets = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(p[4] for p in parts))])
+    w = Windows(texts)
     h = window_hashes(w.hash, WINDOW)[w.at]
     row = w.row[w.at]
     order = np.lexsort((doc[row], h))
@@ -153,46 +169,39 @@ def repeated_intervals(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     cells = max(1, size // (36 * CELL_ROWS))                  # six words start a super-k-mer
     hot = hot_cells(source, cells)
 
+    buckets = max(1, 3 * size // BUCKET_BYTES)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             w = Windows(b.column(2))
             i, j, m = w.super_kmers()
             cold = ~np.isin(_cells(m, cells), hot)
             i, j, m = i[cold], j[cold], m[cold]
+            bucket = (mix(m) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            i, j, bucket = i[order], j[order], bucket[order]
             row = w.row[i]
-            packed = [w.plain[x:y] for x, y in zip(w.start[i].tolist(), w.end[j].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(m.view(np.int64)), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)),
-                                              pa.array(i - w.first[row], pa.int64()), pa.array(packed, pa.binary())],
-                                             names=["minimiser", "doc", "hash", "first", "words"])
+            doc, own = b.column(0).to_numpy()[row], b.column(1).to_numpy()[row]
+            first, a, z = i - w.first[row], w.start[i], w.end[j]
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+            blobs = [_packed(doc[x:y], own[x:y], first[x:y], [w.plain[s:e] for s, e in zip(a[x:y].tolist(), z[x:y].tolist())])
+                     for x, y in zip(cuts, [*cuts[1:], len(bucket)])]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, nbytes = [], 0
+        now, held = None, []
         for b in batches:
-            while b.num_rows:
-                m = b.column(0).to_numpy()
-                if nbytes >= SORT_BYTES:
-                    # Full: take what belongs to the last minimiser, then sort.
-                    last = held[-1].column(0)[-1].as_py()
-                    n = int(np.searchsorted(m != last, True)) if m[-1] != last else len(m)
-                    if n:
-                        held.append(b.slice(0, n))
-                        b = b.slice(n)
-                    if b.num_rows:
-                        yield _bucket(held)
-                        held, nbytes = [], 0
-                    continue
-                data = b.column(4)
-                ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset: data.offset + len(data) + 1].astype(np.int64)
-                n = max(1, int(np.searchsorted(ends - ends[0], SORT_BYTES - nbytes, "right")))
-                part = b.slice(0, n)
-                held.append(part)
-                nbytes += int(ends[min(n, len(data))] - ends[0])
-                b = b.slice(n)
+            for bucket, blob in zip(b.column(0).to_pylist(), b.column(1)):
+                if bucket != now and held:
+                    yield _bucket(held)
+                    held = []
+                now = bucket
+                held.append(_unpacked(blob.as_py()))
         if held:
             yield _bucket(held)
 
-    kmers = source.mapInArrow(cut, "minimiser long, doc long, hash long, first long, words binary")
-    found = kmers.repartition("minimiser").sortWithinPartitions("minimiser").mapInArrow(sort, "doc long, hash long, start long, stop long")
+    kmers = source.mapInArrow(cut, "bucket long, blob binary")
+    found = kmers.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(sort, "doc long, hash long, start long, stop long")
     if len(hot):
         def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, "text", 1 << 20):
