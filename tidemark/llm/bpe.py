@@ -46,7 +46,7 @@ def byte_alphabet() -> list[str]:
 class Bpe:
     """Encoder and decoder for one tokenizer file (BPE with word ends over bytes)."""
 
-    def __init__(self, data: bytes, entries: int = 250_000):
+    def __init__(self, data: bytes, entries: int = 100_000):
         spec = json.loads(data)
         model = spec["model"]
         parts = [p["type"] for p in spec["pre_tokenizer"]["pretokenizers"]]

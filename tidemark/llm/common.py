@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import scratch_path
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | int, most: int = BAT
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def utf8_rows(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
