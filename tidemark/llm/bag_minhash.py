@@ -50,7 +50,7 @@ CROWDED, SPLIT = 200, 10_000_000
 #: 64-bit words of a document's bit set of shingle cells (columns).
 BITS = [f"bits{i}" for i in range(16)]
 #: Rounds of comparisons with single documents in crowded buckets, before all pairs.
-HUBS = 3
+HUBS = 2
 #: Ids of candidates are sent to all executors below this number (16 MB), joined by a shuffle above.
 BROADCAST_IDS = 1_000_000
 
@@ -181,26 +181,27 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataF
                 keep.append(similar(bag, _bag(tb.as_py())))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) of all ends of ``edges`` (a, b), root the smallest id that is connected: large-star
-    and small-star steps in turn until nothing changes, each result written to a table."""
+    and small-star steps in turn, each result written to a table, until the edges are stars
+    (every end has one root, and no root has another)."""
     def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.union(e.select("b", "a")).toDF("u", "v").distinct() if large else e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+        """Edges (a, b) with a > b, no two alike, in and out."""
+        both = (e.union(e.select("b", "a")) if large else e).toDF("u", "v")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         out = both.join(low, "u")
         if large:
-            return out.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+            return out.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         return out.select(F.col("v").alias("a"), F.col("m").alias("b")).union(out.select("u", "m")).where("a != b").distinct()
 
-    state, before = materialise(edges.where("a != b").select("a", "b").distinct(), "edges"), None
+    state = materialise(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
-        mark = state.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if mark["n"] == 0 or mark == before:
+        ends = state.groupBy("a").agg(F.count("*").alias("n"))
+        if ends.where("n > 1").isEmpty() and state.select(F.col("b").alias("a")).join(state.select("a"), "a", "left_semi").isEmpty():
             return state.select(F.col("a").alias("id"), F.col("b").alias("root"))
-        before = mark
         state = materialise(star(star(state, True), False), "edges")
 
 
@@ -267,15 +268,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     ``n_shingles``."""
     signs = materialise(signed(docs, id_col, text), "signatures")
     folded = materialise(signs.where("content is not null").groupBy("content").agg(F.min("id").alias("id"), F.first("weight").alias("weight"), F.first("bands").alias("bands")), "folded")
-    several = (signs.where("id is not null and content is not null").select("id", "content").join(folded.select("content", F.col("id").alias("rep")), "content")
-               .where("id != rep").groupBy("id").agg(F.collect_set("rep").alias("reps"), F.min("rep").alias("a")).where("size(reps) > 1")
-               .select("a", F.explode("reps").alias("b")).where("a != b"))       # rows of one id with several texts
+    # Rows of one id with several texts link their representatives.
+    several = materialise(signs.where("id is not null and content is not null").groupBy("id").agg(F.min("content").alias("low"), F.max("content").alias("high")).where("low != high").select("id"), "several")
+    known = None
+    if not several.isEmpty():
+        reps = signs.select("id", "content").join(several, "id", "left_semi").join(folded.select("content", F.col("id").alias("rep")), "content")
+        known = reps.join(reps.groupBy("id").agg(F.min("rep").alias("a")), "id").select("a", F.col("rep").alias("b")).where("a != b").distinct()
     bands = folded.where("id is not null").select("id", "weight", F.posexplode("bands").alias("band", "key"))
     key = ["band", "key"]
     lead = bands.groupBy(*key).agg(F.min(F.struct("id", "weight")).alias("lead"), F.count("*").alias("n")).where("n > 1")
     first = (bands.join(lead, key).where(f"id != lead.id and {_reachable('weight', '0', 'lead.weight', '0')}").select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct())
     state = _Links(docs, id_col, text)
-    state.add(first, several)
+    state.add(first, known)
 
     mixed = materialise(_mixed(state.rooted(bands), key), "near-mixed").drop("root", "top")
     crowded, rest = mixed.where(f"work > {CROWDED}").drop("work"), None
@@ -288,8 +292,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
             now = _mixed(state.rooted(crowded), key)
             order = F.col("own") if not turn else F.xxhash64("id", "band", F.lit(turn))
             hub = now.where("root = top").groupBy(*key).agg(F.min(F.struct(order.alias("order"), "id", "own", "weight")).alias("hub"))
-            state.add(now.where("root != top").join(hub, key).where(_reachable("weight", "own", "hub.weight", "hub.own"))
-                      .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
+            more = state.add(now.where("root != top").join(hub, key).where(_reachable("weight", "own", "hub.weight", "hub.own"))
+                             .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
+            if turn and not more:
+                break
         # Documents with too many shingles of their own link to none of their crowded buckets.
         able = materialise(_mixed(state.rooted(crowded.where(f"100 * (weight - own) >= {SIMILARITY_PERCENT} * weight")), key), "near-able")
         split = (able.where(f"work > {SPLIT}").select("id", "weight", "own", *BITS, "root", F.col("band").alias("band0"), F.col("key").alias("key0"))
@@ -309,20 +315,24 @@ class _Links:
 
     def __init__(self, docs: DataFrame, id_col: str, text: str):
         self.docs, self.id_col, self.text = docs, id_col, text
-        self.seen = self.found = self.roots = None
+        self.seen = self.roots = None
 
-    def add(self, pairs: DataFrame, known: DataFrame | None = None) -> None:
-        """Compare pairs (a < b) that weren't compared yet; ``known`` are links as they are."""
+    def add(self, pairs: DataFrame, known: DataFrame | None = None) -> bool:
+        """Compare pairs (a < b) that weren't compared yet; ``known`` are links as they are.
+        Whether new links were found."""
         if self.seen is not None:
             pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "near-pairs")
         if self.seen is not None and pairs.isEmpty():
-            return
+            return False
         links = verified(pairs, self.docs, self.id_col, self.text)
-        links = links.union(known) if known is not None else links
-        self.found = materialise(links if self.found is None else self.found.union(links), "near-links")
+        links = materialise(links.union(known) if known is not None else links, "near-links")
         self.seen = pairs if self.seen is None else self.seen.union(pairs)
-        self.roots = components(self.found)
+        if self.roots is not None and links.isEmpty():
+            return False
+        # Known components as stars, and the new links.
+        self.roots = components(links if self.roots is None else links.union(self.roots.select(F.col("id").alias("a"), F.col("root").alias("b"))))
+        return True
 
     def rooted(self, rows: DataFrame) -> DataFrame:
         return rows.join(self.roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
