@@ -46,7 +46,7 @@ class ChunkEncoder:
     The library's split pattern takes a space together with the word behind it, so a text
     may be cut before every space that a non-space character follows."""
 
-    def __init__(self, data: bytes, entries: int = 350_000):
+    def __init__(self, data: bytes, entries: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(data.decode())
@@ -57,8 +57,11 @@ class ChunkEncoder:
         self.odd = regex.compile(r" (?:\s|$)")
 
     def _cut(self, text: str) -> list[str]:
+        """The parts of a text; all but the first stand for themselves with a space in front.  The
+        first, which has none, gets a mark that no other part can begin with."""
         parts = self.inner.split(text) if self.odd.search(text) else text.split(" ")
-        return [parts[0], *[" " + p for p in parts[1:]]]
+        parts[0] = " " + parts[0]
+        return parts
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian uint32 bytes."""
@@ -75,7 +78,8 @@ class ChunkEncoder:
                     new.append(c)
         for at in range(0, len(new), 20_000):
             part = new[at: at + 20_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+            asked = [c[1:] if c[:1] == " " else " " + c for c in part]
+            for c, e in zip(part, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
                 self.young[c] = array("I", e.ids).tobytes()
                 if len(c) > 80:
                     long[c] = True
@@ -107,7 +111,7 @@ def pack(ids: np.ndarray) -> list[bytes]:
             bodies: list[bytes] = [b""] * len(t)
             for w in np.unique(width).tolist():
                 own = np.flatnonzero(width == w)
-                bits = ((diff[own][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1).astype(np.uint8).reshape(len(own), -1)
+                bits = np.unpackbits(diff[own].astype("<u4").view(np.uint8).reshape(len(own), size, 4), axis=2, count=w, bitorder="little").reshape(len(own), -1)
                 for i, row in zip(own.tolist(), np.packbits(bits, axis=1, bitorder="little") if w else np.zeros((len(own), 0), np.uint8)):
                     bodies[i] = row.tobytes()
             for i in range(len(t)):
