@@ -36,7 +36,7 @@ WINDOW, SEED = 13, 3
 LONGEST = 64
 #: Super-k-mers per coarse cell on average, and the number from which a cell is hot (at least;
 #: and at least a 50,000th of all, so that there are few hot cells at any size).
-CELL_ROWS, HOT_ROWS, HOT_SHARE = 1_000, 20_000, 50_000
+CELL_ROWS, HOT_ROWS, HOT_SHARE = 4_000, 20_000, 50_000
 #: Bytes of super-k-mers in a bucket on average: what a task sorts at once.
 BUCKET_BYTES = 6 << 20
 #: Word intervals are sent to all executors below this number, joined by a shuffle above it.
@@ -102,9 +102,12 @@ def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def hot_cells(source: DataFrame, cells: int) -> np.ndarray:
     """Cells with very many super-k-mers; their number is bounded by ``HOT_SHARE``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            c, n = np.unique(_cells(Windows(b.column(2)).super_kmers()[2], cells), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(n, pa.int64())], names=["cell", "n"])
+        c, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for b in slices(batches, "text"):                     # one row per cell and task
+            more = _cells(Windows(b.column(2)).super_kmers()[2], cells)
+            c, at = np.unique(np.concatenate([c, more]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([n, np.ones(len(more), np.int64)]), minlength=len(c)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(n, pa.int64())], names=["cell", "n"])
 
     counts = source.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "cells")
