@@ -62,6 +62,29 @@ def test_distinct_units_stay_distinct(spark):
     assert not {r.surrogate for r in got} & set(ips)
 
 
+def test_no_form_runs_out(spark):
+    """One-letter addresses, a secret of symbols."""
+    mails = [f"{c}@h{i}.de" for c in "abcdefghijklmnopqrstuvwxyz" for i in range(120)]
+    units = spark.createDataFrame([("email", x) for x in mails] + [("secret", "________"), ("secret", "_____a"), ("access_key", "AKIA")] + [("ssn", str(i)) for i in range(100)], "kind string, canonical string")
+    got = pii.dictionary(units, "k").collect()
+    assert len({(r.kind, r.surrogate.lower()) for r in got}) == len(got) == len(mails) + 103
+    assert not {(r.kind, r.surrogate) for r in got} & {(r.kind, r.canonical) for r in got}
+    assert all(re.fullmatch(r"[a-z]+@example\.com", r.surrogate) for r in got if r.kind == "email")
+
+
+def test_longer_surrogates_keep_the_format(spark):
+    rows = [("phone", "+1 (22) 33", "12233", "8765432"), ("card", "4111 1111", "41111111", "412345678"), ("iban", "DE12 34", "DE1234", "DE98765"), ("phone", "+1 (555) 234-9876", "5552349876", "9876543210")]
+    df = spark.createDataFrame(rows, "kind string, mention string, canonical string, s string")
+    got = [r[0] for r in df.select(pii._rendered(*map(pii.F.col, df.columns))).collect()]
+    assert got == ["+876 (54) 32", "41234 5678", "DE987 65", "+1 (987) 654-3210"]
+
+
+def test_form_blanks_are_no_secrets(spark):
+    texts = ["password: ________ and", "secret:\n\n--------", "token = +/+/+/+/"]
+    got = pii.replace_mentions(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key", count="n").collect()
+    assert sorted((r.text, r.n) for r in got) == sorted((t, 0) for t in texts)
+
+
 def test_no_python_on_the_main_path():
     import inspect
 

@@ -9,7 +9,8 @@ and canonical form, and keeps the form: digits stay digits, letters stay letters
 satisfy the Luhn rule and IBANs their check digits, name words keep script and gender.
 
 Collision check: a surrogate that two units share, or that is itself a unit of the corpus,
-is drawn again (next attempt) until there is none, so different units stay different;
+is drawn again (next attempt) until there is none, so different units stay different.  Every
+third attempt draws from longer forms (late addresses are IPv6 ones), so that no form runs out;
 equal units have equal surrogates everywhere (coreference), in the format of each mention.
 
 Only DataFrame operations are used.  The dictionary and the mentions are broadcast below a
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise
 
 BROADCAST_ROWS = 200_000
-MOST_ATTEMPTS = 40
 DEFAULT_KEY = "replace this key"
 
 # Titles of address by gender.
@@ -58,7 +58,7 @@ PERSON = rf"{_BEFORE}(?:{_TITLE})\.? {_NAME}(?: {_NAME})?"
 PATTERNS = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,10}+(?<=\.[A-Za-z]{2,24})"),
     ("access_key", rf"{_BEFORE}AKIA[0-9A-Z]{{16}}{_AFTER}"),
-    ("secret", r"(?<=[=:\"'\s])(?=[A-Za-z0-9_/+-]{6})(?<=(?:password|passwd|pwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})[A-Za-z0-9_/+-]++"),
+    ("secret", r"(?<=[=:\"'\s])(?=[A-Za-z0-9_/+-]{6})(?=[_/+-]*+[A-Za-z0-9])(?<=(?:password|passwd|pwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})[A-Za-z0-9_/+-]++"),
     ("secret", rf"{_BEFORE}[0-9a-f]{{32,}}+{_AFTER}"),
     ("iban", rf"{_BEFORE}[A-Z]{{2}}[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{3,7}}(?: ?[0-9A-Z]{{1,3}})?{_AFTER}"),
     ("card", rf"{_BEFORE}[0-9]{{4}}([ -]?)[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}{_AFTER}"),
@@ -130,28 +130,30 @@ def _iban(text: Column) -> Column:
 def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a unit at an attempt, in canonical form."""
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, attempt.cast("string"), canonical), 512)
-    shaped = _shaped(canonical, digest)
+    extra = F.floor(attempt / 3).cast("int")
+    longer = lambda text, c: F.concat(text, F.repeat(F.lit(c), extra))
+    shaped = _shaped(longer(canonical, "0"), digest)
     host = F.substring_index(canonical, "@", -1)
     labels = F.split(host, r"\.")
     top = F.when(F.element_at(labels, -1).isin("com", "net", "org"), F.element_at(labels, -1)).otherwise(F.lit("com"))
     more = F.concat(F.array_join(F.transform(F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(0))), lambda x, i: F.concat(_shaped(x, F.sha2(digest, 512)), F.lit("."))), ""))
-    email = F.concat(_shaped(F.substring_index(canonical, "@", 1), digest), F.when(attempt > 5, attempt.cast("string")).otherwise(F.lit("")), F.lit("@"), more, F.lit("example."), top)
+    email = F.concat(_shaped(longer(F.substring_index(canonical, "@", 1), "a"), digest), F.lit("@"), more, F.lit("example."), top)
     octet = lambda c, i: (F.when((F.length(c) == 3) | (attempt > 5), 100 + _at(digest, i, 156)).when(F.length(c) == 2, 10 + _at(digest, i, 90)).otherwise(_at(digest, i, 10)).cast("string"))
-    ip = F.array_join(F.transform(F.split(canonical, r"\."), octet), ".")
+    ip = F.when(attempt > 20, F.concat_ws(":", F.lit("2001:db8"), *[F.substring(digest, F.lit(4 * i + 1), F.lit(4)) for i in range(6)])).otherwise(F.array_join(F.transform(F.split(canonical, r"\."), octet), "."))
     parts = F.split(kind, ":")                      # name:gender:script
     def name(script: str) -> Column:
         s = SYLLABLES[script]
-        body = F.array_join(F.transform(F.sequence(F.lit(0), 2 + F.floor(attempt / 3).cast("int")), lambda i: F.element_at(F.array(*map(F.lit, s)), _at(digest, i, len(s)) + 1)), "")
+        body = F.array_join(F.transform(F.sequence(F.lit(0), 2 + extra), lambda i: F.element_at(F.array(*map(F.lit, s)), _at(digest, i, len(s)) + 1)), "")
         end = F.element_at(F.create_map(*[F.lit(x) for kv in ENDINGS[script].items() for x in kv]), parts[1])
         return F.initcap(F.concat(body, F.coalesce(end, F.lit(""))))
     return (F.when(kind == "email", email)
             .when(kind == "ip", ip)
-            .when(kind == "card", _luhn(F.concat(F.substring(canonical, F.lit(1), F.lit(1)), F.substring(shaped, F.lit(2), F.length(canonical)))))
-            .when(kind == "phone", F.concat((2 + _at(digest, F.lit(31), 8)).cast("string"), F.substring(shaped, F.lit(2), F.length(canonical))))
-            .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, F.lit(2), F.length(canonical))))
-            .when(kind == "iban", _iban(F.concat(F.substring(canonical, F.lit(1), F.lit(2)), F.substring(shaped, F.lit(3), F.length(canonical)))))
-            .when(kind == "access_key", F.concat(F.lit("AKIA"), F.substring(shaped, F.lit(5), F.length(canonical))))
-            .when(kind == "secret", _shaped(canonical, digest, canonical.rlike("^[0-9a-f]+$")))
+            .when(kind == "card", _luhn(F.concat(F.substring(canonical, F.lit(1), F.lit(1)), F.substring(shaped, F.lit(2), F.length(shaped)))))
+            .when(kind == "phone", F.concat((2 + _at(digest, F.lit(31), 8)).cast("string"), F.substring(shaped, F.lit(2), F.length(shaped))))
+            .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, F.lit(2), F.length(shaped))))
+            .when(kind == "iban", _iban(F.concat(F.substring(canonical, F.lit(1), F.lit(2)), F.substring(shaped, F.lit(3), F.length(shaped)))))
+            .when(kind == "access_key", F.concat(F.lit("AKIA"), F.substring(shaped, F.lit(5), F.length(shaped))))
+            .when(kind == "secret", _shaped(longer(canonical, "a"), digest, canonical.rlike("^[0-9a-f]+$")))
             .when(parts[2] == "cyrillic", name("cyrillic")).when(parts[2] == "greek", name("greek")).otherwise(name("latin")))
 
 
@@ -160,7 +162,7 @@ def dictionary(units: DataFrame, key: str) -> DataFrame:
     units of a kind have one surrogate (name kinds count as one), and none is itself a unit."""
     group = F.split("kind", ":")[0]
     state = materialise(units.select("kind", "canonical").distinct().withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(F.col("kind"), F.col("canonical"), F.col("attempt"), key)), "surrogates")
-    for _ in range(MOST_ATTEMPTS):
+    while True:
         taken = (state.groupBy(group.alias("g"), F.lower("surrogate").alias("s")).agg(F.min(F.struct("attempt", "kind", "canonical")).alias("first"), F.count("*").alias("n")).where("n > 1").select("g", "s", "first"))
         real = state.select(group.alias("g"), F.lower("canonical").alias("s")).distinct()
         marked = state.withColumn("g", group).withColumn("s", F.lower("surrogate"))
@@ -171,7 +173,6 @@ def dictionary(units: DataFrame, key: str) -> DataFrame:
             return state.select("kind", "canonical", "surrogate")
         again = state.join(clash.withColumn("again", F.lit(1)), ["kind", "canonical"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0))).drop("again", "surrogate")
         state = materialise(again.withColumn("surrogate", surrogate(F.col("kind"), F.col("canonical"), F.col("attempt"), key)), "surrogates")
-    raise ValueError("surrogates still collide: too many different units of one form")
 
 
 def _script(word: Column) -> Column:
@@ -190,11 +191,14 @@ def _canonical(kind: Column, mention: Column) -> Column:
             .when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(mention))
 
 
-def _rendered(kind: Column, mention: Column, sur: Column) -> Column:
-    """The surrogate in the format of the mention: separators and prefixes stay."""
+def _rendered(kind: Column, mention: Column, canonical: Column, sur: Column) -> Column:
+    """The surrogate in the format of the mention: separators and prefixes stay; what a longer
+    surrogate has more goes to the place of the first character."""
+    extra = F.length(sur) - F.length(canonical)
     def filled(cls: str) -> Column:
         left = lambda i: F.length(F.regexp_replace(F.substring(mention, i + 2, F.length(mention)), f"[^{cls}]", ""))
-        return F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike(f"^[{cls}]$") & (left(i) < F.length(sur)), F.substring(sur, F.length(sur) - left(i), F.lit(1))).otherwise(c)), "")
+        return F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike(f"^[{cls}]$") & (left(i) == F.length(canonical) - 1), F.substring(sur, F.lit(1), extra + 1))
+                                        .when(c.rlike(f"^[{cls}]$") & (left(i) < F.length(canonical)), F.substring(sur, F.length(sur) - left(i), F.lit(1))).otherwise(c)), "")
     return (F.when(kind.isin("card", "ssn", "phone"), filled("0-9")).when(kind == "iban", filled("0-9A-Z"))
             .when((kind == "email") & (mention == F.upper(mention)), F.upper(sur)).otherwise(sur))
 
@@ -245,7 +249,7 @@ def replace_mentions(docs: DataFrame, key: str = DEFAULT_KEY, doc_id: str = "doc
              .where("kind != 'person'").withColumn("canonical", _canonical(F.col("kind"), F.col("mention"))))
     table = dictionary(other.select("kind", "canonical").union(named.where("kind is not null").select("kind", "canonical")), key)
     small = _small(table)
-    done = other.join(small, ["kind", "canonical"]).select(*_DOC, "i", _rendered(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("new"))
+    done = other.join(small, ["kind", "canonical"]).select(*_DOC, "i", _rendered(F.col("kind"), F.col("mention"), F.col("canonical"), F.col("surrogate")).alias("new"))
     done_names = (named.join(small, ["kind", "canonical"], "left").groupBy(*_DOC, "i")
                   .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", F.coalesce("surrogate", "word").alias("w")))), lambda x: x["w"]), " ").alias("new"), F.max(F.col("kind").isNotNull()).alias("any")).where("any").drop("any"))
     subs = materialise(done.union(done_names).groupBy(*_DOC).agg(F.array_sort(F.collect_list(F.struct("i", "new"))).alias("subs")), "replacements")
