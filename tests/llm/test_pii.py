@@ -85,6 +85,16 @@ def test_form_blanks_are_no_secrets(spark):
     assert sorted((r.text, r.n) for r in got) == sorted((t, 0) for t in texts)
 
 
+def test_case_of_secrets(spark):
+    big = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    text = f'TOKEN = "{big}" Password: Abcd1234 API_KEY=zzYY9988 SECRET=Qwertz12 {big.lower()} {big} {big[:20]}{big[20:].lower()}'
+    new = pii.replace_mentions(spark.createDataFrame([(1, text)], "doc_id long, text string"), "key", count="n").collect()[0]
+    m = re.fullmatch(r'TOKEN = "([0-9A-F]{40})" Password: ([A-Z][a-z]{3}\d{4}) API_KEY=([a-z]{2}[A-Z]{2}\d{4}) SECRET=([A-Z][a-z]{5}\d\d) ([0-9a-f]{40}) (\S+) (\S+)', new.text)
+    assert m and new.n == 7, new.text
+    assert m[1] == m[6] == m[5].upper() == m[7].upper() and m[7][20:] == m[5][20:] and m[1] != big
+    assert not any(x in new.text for x in ("Abcd1234", "zzYY9988", "Qwertz12"))
+
+
 def test_no_python_on_the_main_path():
     import inspect
 

@@ -58,8 +58,8 @@ PERSON = rf"{_BEFORE}(?:{_TITLE})\.? {_NAME}(?: {_NAME})?"
 PATTERNS = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,10}+(?<=\.[A-Za-z]{2,24})"),
     ("access_key", rf"{_BEFORE}AKIA[0-9A-Z]{{16}}{_AFTER}"),
-    ("secret", r"(?<=[=:\"'\s])(?=[A-Za-z0-9_/+-]{6})(?=[_/+-]*+[A-Za-z0-9])(?<=(?:password|passwd|pwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})[A-Za-z0-9_/+-]++"),
-    ("secret", rf"{_BEFORE}[0-9a-f]{{32,}}+{_AFTER}"),
+    ("secret", r"(?<=[=:\"'\s])(?=[A-Za-z0-9_/+-]{6})(?=[_/+-]*+[A-Za-z0-9])(?<=[=:]\s{0,3}[\"']{0,1})(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})[A-Za-z0-9_/+-]++"),
+    ("secret", rf"{_BEFORE}[0-9A-Fa-f]{{32,}}+{_AFTER}"),
     ("iban", rf"{_BEFORE}[A-Z]{{2}}[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{3,7}}(?: ?[0-9A-Z]{{1,3}})?{_AFTER}"),
     ("card", rf"{_BEFORE}[0-9]{{4}}([ -]?)[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}{_AFTER}"),
     ("card", rf"{_BEFORE}3[47][0-9]{{2}}[ -]?[0-9]{{6}}[ -]?[0-9]{{5}}{_AFTER}"),
@@ -71,6 +71,8 @@ PATTERNS = [
 ]
 # The card pattern's own group has another number in the joined pattern.
 PATTERN = "|".join(p.replace("([ -]?)", "(?<sep>[ -]?)").replace(r"\1", r"\k<sep>") for _, p in PATTERNS)
+#: Secrets of which case is no part.
+HEX = "^[0-9A-Fa-f]{32,}$"
 _DOC = ["_doc", "_hash"]
 
 
@@ -153,7 +155,7 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Col
             .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, F.lit(2), F.length(shaped))))
             .when(kind == "iban", _iban(F.concat(F.substring(canonical, F.lit(1), F.lit(2)), F.substring(shaped, F.lit(3), F.length(shaped)))))
             .when(kind == "access_key", F.concat(F.lit("AKIA"), F.substring(shaped, F.lit(5), F.length(shaped))))
-            .when(kind == "secret", _shaped(longer(canonical, "a"), digest, canonical.rlike("^[0-9a-f]+$")))
+            .when(kind == "secret", _shaped(longer(canonical, "a"), digest, canonical.rlike("^([0-9a-f]+|[0-9A-F]+)$")))
             .when(parts[2] == "cyrillic", name("cyrillic")).when(parts[2] == "greek", name("greek")).otherwise(name("latin")))
 
 
@@ -188,19 +190,21 @@ def _canonical(kind: Column, mention: Column) -> Column:
     digits = F.regexp_replace(mention, "[^0-9]", "")
     return (F.when(kind == "email", F.lower(mention)).when(kind.isin("card", "ssn"), digits)
             .when(kind == "phone", F.when(F.length(digits) > 10, F.substring(digits, F.length(digits) - 9, F.lit(10))).otherwise(digits))
-            .when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(mention))
+            .when(kind == "iban", F.regexp_replace(mention, " ", "")).when((kind == "secret") & mention.rlike(HEX), F.lower(mention)).otherwise(mention))
 
 
 def _rendered(kind: Column, mention: Column, canonical: Column, sur: Column) -> Column:
-    """The surrogate in the format of the mention: separators and prefixes stay; what a longer
-    surrogate has more goes to the place of the first character."""
+    """The surrogate in the format of the mention: separators, prefixes and the case of hex digits
+    stay; what a longer surrogate has more goes to the place of the first character."""
     extra = F.length(sur) - F.length(canonical)
     def filled(cls: str) -> Column:
         left = lambda i: F.length(F.regexp_replace(F.substring(mention, i + 2, F.length(mention)), f"[^{cls}]", ""))
         return F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike(f"^[{cls}]$") & (left(i) == F.length(canonical) - 1), F.substring(sur, F.lit(1), extra + 1))
                                         .when(c.rlike(f"^[{cls}]$") & (left(i) < F.length(canonical)), F.substring(sur, F.length(sur) - left(i), F.lit(1))).otherwise(c)), "")
     return (F.when(kind.isin("card", "ssn", "phone"), filled("0-9")).when(kind == "iban", filled("0-9A-Z"))
-            .when((kind == "email") & (mention == F.upper(mention)), F.upper(sur)).otherwise(sur))
+            .when(((kind == "email") | (kind == "secret") & mention.rlike(HEX)) & (mention == F.upper(mention)), F.upper(sur))
+            .when((kind == "secret") & mention.rlike(HEX), F.array_join(F.transform(F.split(sur, ""), lambda c, i: F.when(F.substring(mention, i + 1, F.lit(1)).between("A", "F"), F.upper(c)).otherwise(c)), ""))
+            .otherwise(sur))
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
