@@ -95,6 +95,21 @@ def test_case_of_secrets(spark):
     assert not any(x in new.text for x in ("Abcd1234", "zzYY9988", "Qwertz12"))
 
 
+def test_long_names(spark):
+    texts = ["Dr. Anna Maria Schmidt met Mr. John F. Kennedy. Schmidt and Kennedy left; Maria stayed, John F. Kennedy paid. Class F. ended",
+             "Herr Dr. Ludwig van der Berg, Mr. J.R. Tolkien and Mr. Harry S Truman Mrs. Lee; Berg, Tolkien, J.R. Tolkien, Truman, Lee",
+             "Mr. K. came. K. left", "Mr. " + "Anna " * 20000 + "Schmidt came"]
+    got = {r.doc_id: r for r in pii.replace_mentions(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key", count="n").collect()}
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) (\w+) met Mr\. (\w+) (\w+)\. (\w+)\. (\w+) and (\w+) left; (\w+) stayed, (\w+) (\w+)\. (\w+) paid\. Class F\. ended", got[0].text)
+    assert m and m[3] == m[7] and m[6] == m[8] == m[12] and m[2] == m[9] and m[4] == m[10] and m[5] == m[11], got[0].text
+    assert m[3][-1] == m[6][-1] == "r" and got[0].n == 8
+    n = re.fullmatch(r"Herr Dr\. (\w+) van der (\w+), Mr\. (\w+)\.(\w+)\. (\w+) and Mr\. (\w+) (\w+) (\w+) Mrs\. (\w+); (\w+), (\w+), (\w+)\.(\w+)\. (\w+), (\w+), (\w+)", got[1].text)
+    assert n and (n[2], n[5], n[3], n[4], n[5], n[8], n[9]) == tuple(n[i] for i in range(10, 17)), got[1].text
+    old = {"Anna", "Maria", "Schmidt", "John", "Kennedy", "Ludwig", "Berg", "Tolkien", "Harry", "Truman", "Lee"}
+    assert not old & {w for r in got.values() for w in re.findall(r"\w+", r.text)}
+    assert re.fullmatch(r"Mr\. \w{2,}\. came\. K\. left", got[2].text) and got[3].n == 1
+
+
 def test_no_python_on_the_main_path():
     import inspect
 

@@ -2,9 +2,10 @@
 
 Mentions are found by one pattern (e-mail addresses, telephone and social security
 numbers, payment cards, IBANs, IPv4 addresses, access keys and secrets, names after a
-title; then the same names without it, in the same document).  Each mention is one or more
-*units* (kind, canonical form); a name is a unit per name word.  Units of the whole corpus
-are written to a dictionary: the surrogate comes from a keyed SHA-512 of key, kind, attempt
+title; then the same names without it, in the same document).  A name is any run of capitalised
+words and initials, with particles such as "von" that stay; its last word is the surname, and its
+initials become short made-up names.  Each mention is one or more *units* (kind, canonical form);
+a name is a unit per word or initial.  Units of the whole corpus are written to a dictionary: the surrogate comes from a keyed SHA-512 of key, kind, attempt
 and canonical form, and keeps the form: digits stay digits, letters stay letters, cards
 satisfy the Luhn rule and IBANs their check digits, name words keep script and gender.
 
@@ -37,6 +38,9 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "г-жа", "Κυρία"],
     "n": ["Dr", "Prof", "Mx"],
 }
+# Small words that join or begin surnames.
+PARTICLES = ["von", "vom", "van", "der", "den", "dem", "de", "del", "della", "di", "da", "dal", "das", "do", "dos", "du", "des", "la", "le", "las", "los", "lo", "zu", "zum", "zur", "ter", "ten", "te",
+             "af", "av", "al", "el", "bin", "ibn", "bint", "ben", "фон", "де", "ван"]
 # Syllables that made-up names are put together from, and endings by gender.
 SYLLABLES = {
     "latin": ["ba", "be", "bo", "da", "de", "do", "fa", "fi", "ga", "gi", "ka", "ke", "ko", "la", "le", "li", "lo", "ma", "me", "mi", "mo", "na", "ne", "ni", "no", "pa",
@@ -53,7 +57,12 @@ ENDINGS = {
 _NAME = r"\p{Lu}[\p{L}\p{M}'’-]++"
 _TITLE = "|".join(t for g in TITLES.values() for t in g)
 _BEFORE, _AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-PERSON = rf"{_BEFORE}(?:{_TITLE})\.? {_NAME}(?: {_NAME})?"
+_TITLES = rf"(?:(?:{_TITLE})\.? ){{1,4}}"
+# A name word or initial, after particles and initials without a dot; no title of another name.
+_WORD = rf"(?:(?:{'|'.join(PARTICLES)}|\p{{Lu}}) )*+(?!(?:{_TITLE})\.? \p{{Lu}})(?:{_NAME}|\p{{Lu}}\.)"
+PERSON = rf"{_BEFORE}{_TITLES}{_WORD}(?:(?: |(?<=\.)-?){_WORD})*+"
+#: Where a name is cut into words; a word's separator is its first character, if that isn't a letter.
+CUT = r"(?= )|(?<=\p{Lu}\.)(?=-?\p{Lu})"
 #: Kind and pattern, in the order in which they are tried at a place.
 PATTERNS = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,10}+(?<=\.[A-Za-z]{2,24})"),
@@ -145,7 +154,7 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Col
     parts = F.split(kind, ":")                      # name:gender:script
     def name(script: str) -> Column:
         s = SYLLABLES[script]
-        body = F.array_join(F.transform(F.sequence(F.lit(0), 2 + extra), lambda i: F.element_at(F.array(*map(F.lit, s)), _at(digest, i, len(s)) + 1)), "")
+        body = F.array_join(F.transform(F.sequence(F.lit(0), F.when(parts[1] == "i", 1).otherwise(2) + extra), lambda i: F.element_at(F.array(*map(F.lit, s)), _at(digest, i, len(s)) + 1)), "")
         end = F.element_at(F.create_map(*[F.lit(x) for kv in ENDINGS[script].items() for x in kv]), parts[1])
         return F.initcap(F.concat(body, F.coalesce(end, F.lit(""))))
     return (F.when(kind == "email", email)
@@ -177,6 +186,19 @@ def dictionary(units: DataFrame, key: str) -> DataFrame:
         state = materialise(again.withColumn("surrogate", surrogate(F.col("kind"), F.col("canonical"), F.col("attempt"), key)), "surrogates")
 
 
+def _word(piece: Column) -> Column:
+    """The canonical form of a piece of a name: no separator, no dot of an initial."""
+    return F.regexp_replace(F.regexp_replace(piece, "^[ -]", ""), r"^(\p{Lu})\.$", "$1")
+
+
+def _names(words: Column, initials: Column) -> Column:
+    """The pattern of a document's name words, and of its initials that lead to one of them."""
+    word = F.concat(F.lit(rf"{_BEFORE}(?:"), F.array_join(words, "|"), F.lit(rf"){_AFTER}"))
+    after = F.concat(F.lit(r"(?:\p{Lu}(?:\.[ -]?| )){0,4}(?:"), F.array_join(words, "|"), F.lit(rf"){_AFTER}"))
+    initial = F.concat(F.lit(rf"{_BEFORE}(?:"), F.array_join(initials, "|"), F.lit(r")(?:\.(?=[ -]?"), after, F.lit(")|(?= "), after, F.lit("))"))
+    return F.when(F.size(words) == 0, "(?!)").when(F.size(initials) == 0, word).otherwise(F.concat(word, F.lit("|"), initial))
+
+
 def _script(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).when(word.rlike(r"\p{IsGreek}"), F.lit("greek")).otherwise(F.lit("latin"))
 
@@ -222,13 +244,14 @@ def find_mentions(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, D
     that have names (_doc, _hash, names), and the kinds of name words (_doc, _hash, canonical, kind)."""
     texts = _texts(docs, doc_id, text)
     persons = texts.select(*_DOC, F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(PERSON), F.lit(0)))).alias("mention"))
-    split = persons.select(*_DOC, _gender(F.col("mention")).alias("g"), F.split(F.regexp_extract("mention", rf"^\S+ (.*)$", 1), " ").alias("w"))
-    word = split.select(*_DOC, F.explode(F.when(F.size("w") > 1, F.array(F.struct(F.col("w")[0].alias("canonical"), F.col("g").alias("role")), F.struct(F.col("w")[1].alias("canonical"), F.lit("s").alias("role"))))
-                                         .otherwise(F.array(F.struct(F.col("w")[0].alias("canonical"), F.lit("s").alias("role"))))).alias("x"))
+    split = persons.select(*_DOC, _gender(F.col("mention")).alias("g"), F.filter(F.transform(F.split(F.regexp_replace("mention", f"^{_TITLES}", ""), CUT), _word), lambda w: w.rlike(r"^\p{Lu}")).alias("w"))
+    full = F.filter("w", lambda w: F.length(w) > 1)
+    role = lambda w: F.when(F.length(w) == 1, "i").when(w == F.get(full, F.size(full) - 1), "s").otherwise(F.col("g"))
+    word = split.select(*_DOC, F.explode(F.transform("w", lambda w: F.struct(w.alias("canonical"), role(w).alias("role")))).alias("x"))
     kinds = materialise(word.select(*_DOC, F.col("x.canonical").alias("canonical"), F.concat(F.lit("name:"), F.col("x.role"), F.lit(":"), _script(F.col("x.canonical"))).alias("kind"))
                         .groupBy(*_DOC, "canonical").agg(F.min("kind").alias("kind")), "name-words")
     quoted = F.concat(F.lit(r"\Q"), F.col("canonical"), F.lit(r"\E"))
-    names = materialise(kinds.groupBy(*_DOC).agg(F.concat(F.lit(rf"{_BEFORE}(?:"), F.array_join(F.array_sort(F.collect_set(quoted)), "|"), F.lit(rf"){_AFTER}")).alias("names")), "name-patterns")
+    names = materialise(kinds.groupBy(*_DOC).agg(_names(F.array_sort(F.collect_set(F.when(F.length("canonical") > 1, quoted))), F.array_sort(F.collect_set(F.when(F.length("canonical") == 1, quoted)))).alias("names")), "name-patterns")
     plain = texts.select(*_DOC, F.posexplode(F.regexp_extract_all("_text", F.lit(PATTERN), F.lit(0))).alias("i", "mention"))
     if names.isEmpty():
         return materialise(plain.distinct(), "mentions"), names, kinds
@@ -242,8 +265,8 @@ def replace_mentions(docs: DataFrame, key: str = DEFAULT_KEY, doc_id: str = "doc
     mentions, names, kinds = find_mentions(docs, doc_id, text)
     typed = mentions.withColumn("kind", _kind(F.col("mention")))
     # Name mentions: every word that the document has as a name, with or without a title.
-    words = (_same_doc(mentions.select(*_DOC, "i", "mention"), _small(names.select(*_DOC)), "left_semi").where(F.col("mention").rlike(rf"^(?:{PERSON}|{_NAME})$"))
-             .select(*_DOC, "i", F.posexplode(F.split("mention", " ")).alias("j", "word")))
+    words = (_same_doc(mentions.select(*_DOC, "i", "mention"), _small(names.select(*_DOC)), "left_semi").where(F.col("mention").rlike(rf"^(?:{PERSON}|{_NAME}|\p{{Lu}}\.?)$"))
+             .select(*_DOC, "i", F.posexplode(F.split("mention", CUT)).alias("j", "piece")).withColumn("word", _word(F.col("piece"))))
     k = kinds.toDF("_doc2", "_hash2", "canonical", "kind")
     named = words.join(_small(k), F.col("_doc").eqNullSafe(F.col("_doc2")) & (F.col("_hash") == F.col("_hash2")) & (F.col("word") == F.col("canonical")), "left").drop("_doc2", "_hash2")
     named = materialise(named, "name-mentions")
@@ -254,8 +277,10 @@ def replace_mentions(docs: DataFrame, key: str = DEFAULT_KEY, doc_id: str = "doc
     table = dictionary(other.select("kind", "canonical").union(named.where("kind is not null").select("kind", "canonical")), key)
     small = _small(table)
     done = other.join(small, ["kind", "canonical"]).select(*_DOC, "i", _rendered(F.col("kind"), F.col("mention"), F.col("canonical"), F.col("surrogate")).alias("new"))
+    # Separators and the dots of initials stay.
+    piece = F.when(F.col("surrogate").isNull(), F.col("piece")).otherwise(F.concat(F.regexp_extract("piece", "^[ -]?", 0), "surrogate", F.when(F.col("piece").endswith(".") & ~F.col("word").endswith("."), ".").otherwise("")))
     done_names = (named.join(small, ["kind", "canonical"], "left").groupBy(*_DOC, "i")
-                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", F.coalesce("surrogate", "word").alias("w")))), lambda x: x["w"]), " ").alias("new"), F.max(F.col("kind").isNotNull()).alias("any")).where("any").drop("any"))
+                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", piece.alias("w")))), lambda x: x["w"]), "").alias("new"), F.max(F.col("kind").isNotNull()).alias("any")).where("any").drop("any"))
     subs = materialise(done.union(done_names).groupBy(*_DOC).agg(F.array_sort(F.collect_list(F.struct("i", "new"))).alias("subs")), "replacements")
     per = _same_doc(subs, _small(names), "left") if not names.isEmpty() else subs.withColumn("names", F.lit(None).cast("string"))
     out_names = docs.columns
