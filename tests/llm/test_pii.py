@@ -110,6 +110,14 @@ def test_long_names(spark):
     assert re.fullmatch(r"Mr\. \w{2,}\. came\. K\. left", got[2].text) and got[3].n == 1
 
 
+def test_where_hosts_end(spark):
+    texts = {1: ("john@example.com--call", "--call"), 2: ("john@example.com- y", "- y"), 3: ("john@example.com.2 y", ".2 y"), 4: ("john@example.com. Then", ". Then"),
+             5: ("john@a-b.c--d.com", ""), 6: ("john@example.com-7", "-7"), 7: ("x@a." + "1." * 3000 + "2", None), 8: ("john@example.c0m", None)}
+    got = {r.doc_id: r.text for r in pii.replace_mentions(spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string"), "key").collect()}
+    for i, (t, tail) in texts.items():
+        assert got[i] == t if tail is None else re.fullmatch(r"(?!john)[a-z]{4}@(\S+?\.)?example\.com" + re.escape(tail), got[i]), got[i]
+
+
 def test_no_python_on_the_main_path():
     import inspect
 

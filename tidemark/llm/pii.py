@@ -65,7 +65,7 @@ PERSON = rf"{_BEFORE}{_TITLES}{_WORD}(?:(?: |(?<=\.)-?){_WORD})*+"
 CUT = r"(?= )|(?<=\p{Lu}\.)(?=-?\p{Lu})"
 #: Kind and pattern, in the order in which they are tried at a place.
 PATTERNS = [
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,10}+(?<=\.[A-Za-z]{2,24})"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,10}[A-Za-z]{2,24}+(?![A-Za-z0-9])"),
     ("access_key", rf"{_BEFORE}AKIA[0-9A-Z]{{16}}{_AFTER}"),
     ("secret", r"(?<=[=:\"'\s])(?=[A-Za-z0-9_/+-]{6})(?=[_/+-]*+[A-Za-z0-9])(?<=[=:]\s{0,3}[\"']{0,1})(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})[A-Za-z0-9_/+-]++"),
     ("secret", rf"{_BEFORE}[0-9A-Fa-f]{{32,}}+{_AFTER}"),
