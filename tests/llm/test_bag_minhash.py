@@ -53,6 +53,21 @@ def test_no_link_is_lost_in_crowded_buckets(spark, monkeypatch, crowded, split,
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def one_bucket(monkeypatch):
+    """All documents share the first band's bucket, and no other."""
+    signed = bm.signed
+    own = [bm.F.xxhash64("content", bm.F.lit(i)) for i in range(1, 3)]
+    monkeypatch.setattr(bm, "signed", lambda *a: signed(*a).withColumn("bands", bm.F.array(bm.F.lit(7).cast("long"), *own)))
+
+
+def test_ids_with_several_texts_in_a_crowded_bucket(spark, monkeypatch):
+    one_bucket(monkeypatch)
+    monkeypatch.setattr(bm, "CROWDED", 2)
+    rows = chain()
+    rows += [(i, " ".join(f"z{i}x{j}" for j in range(150))) for i, _ in rows[:26:2]]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(1)
     a = rng.integers(1, 40, 300)

@@ -217,14 +217,15 @@ def _mixed(rows: DataFrame, key: list[str]) -> DataFrame:
 def _across(rows: DataFrame, key: list[str], bounds: bool = True) -> DataFrame:
     """Pairs of a bucket between a row outside the largest component and a row of another one.
     With ``bounds``, ``own`` shingles of a row are in no other text of the bucket, and a bit
-    that only one row has set is a shingle that isn't shared: both bound the overlap."""
-    names = ["id", "root", "weight", *(["own", *BITS] if bounds else [])]
+    that only one row has set is a shingle that isn't shared: both bound the overlap (bits only
+    if both ids have one text, ``alone``)."""
+    names = ["id", "root", "weight", *(["own", "alone", *BITS] if bounds else [])]
     x = rows.where("root != top").select(*key, *[F.col(c).alias(f"a_{c}") for c in names])
     y = rows.select(*key, (F.col("root") == F.col("top")).alias("main"), *[F.col(c).alias(f"b_{c}") for c in names])
     near = _reachable("a_weight", "a_own" if bounds else "0", "b_weight", "b_own" if bounds else "0")
     if bounds:
         apart = lambda p, q: " + ".join(f"bit_count({p}_{c} & ~{q}_{c})" for c in BITS)
-        near += f" and {_reachable('a_weight', f'({apart("a", "b")})', 'b_weight', f'({apart("b", "a")})')}"
+        near += f" and (not (a_alone and b_alone) or {_reachable('a_weight', f'({apart("a", "b")})', 'b_weight', f'({apart("b", "a")})')})"
     return (x.join(y, key).where(f"a_root != b_root and (main or a_id < b_id) and {near}")
             .select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")))
 
@@ -235,9 +236,9 @@ def _reachable(wa: str, oa: str, wb: str, ob: str) -> str:
 
 
 def own_shingles(docs: DataFrame, folded: DataFrame, ids: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, own, bits): the number of shingles that only this one of the documents ``ids`` has, at
-    least, and a bit set for each hash cell that one of its shingles falls into.  For an id
-    with several texts: no shingles, and all bits (which bounds nothing)."""
+    """(id, own, alone, bits): the number of shingles that only this one of the documents ``ids``
+    has, at least, whether the id has one text, and a bit set for each hash cell that one of its
+    shingles falls into.  For an id with several texts: no shingles, and bits that say nothing."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("_text")).join(_few(ids), "id", "left_semi")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +261,7 @@ def own_shingles(docs: DataFrame, folded: DataFrame, ids: DataFrame, id_col: str
     bits = src.mapInArrow(cells, "content binary, " + ", ".join(f"{c} long" for c in BITS)).dropDuplicates(["content"])
     got = folded.join(_few(ids), "id", "left_semi").join(own, "content", "left").join(bits, "content")
     alone = F.count("*") == 1
-    return materialise(got.groupBy("id").agg(F.when(alone, F.coalesce(F.max("own"), F.lit(0))).otherwise(0).alias("own"), *[F.when(alone, F.max(c)).otherwise(-1).alias(c) for c in BITS]), "near-own")
+    return materialise(got.groupBy("id").agg(F.when(alone, F.coalesce(F.max("own"), F.lit(0))).otherwise(0).alias("own"), alone.alias("alone"), *[F.when(alone, F.max(c)).otherwise(-1).alias(c) for c in BITS]), "near-own")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,7 +299,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
                 break
         # Documents with too many shingles of their own link to none of their crowded buckets.
         able = materialise(_mixed(state.rooted(crowded.where(f"100 * (weight - own) >= {SIMILARITY_PERCENT} * weight")), key), "near-able")
-        split = (able.where(f"work > {SPLIT}").select("id", "weight", "own", *BITS, "root", F.col("band").alias("band0"), F.col("key").alias("key0"))
+        split = (able.where(f"work > {SPLIT}").select("id", "weight", "own", "alone", *BITS, "root", F.col("band").alias("band0"), F.col("key").alias("key0"))
                  .join(bands.select("id", "band", "key"), "id").where("band > band0"))
         finer = ["band0", "key0", *key]
         rest = _across(able.where(f"work <= {SPLIT}"), key).union(_across(_mixed(split, finer), finer))
