@@ -68,6 +68,16 @@ def test_ids_with_several_texts_in_a_crowded_bucket(spark, monkeypatch):
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_pairs_of_one_common_band_in_a_split_bucket(spark, monkeypatch):
+    one_bucket(monkeypatch)
+    monkeypatch.setattr(bm, "CROWDED", 2)
+    monkeypatch.setattr(bm, "SPLIT", 2)
+    rows = chain()
+    rows += [(700 + i, "again and again " * (40 + 8 * i)) for i in range(8)]
+    rows += [(i, " ".join(f"z{i}x{j}" for j in range(150))) for i, _ in rows[:26:2]]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(1)
     a = rng.integers(1, 40, 300)

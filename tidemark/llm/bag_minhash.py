@@ -21,8 +21,10 @@ its ends are connected already or it can't reach the similarity.  In buckets whe
 pairs are left, the shingles that only one of their documents has are counted first, and each
 document gets a bit set of the cells that its shingles hash into: shingles and cells of one
 side alone bound the similarity of every pair (from above, so no link is lost).  In a few rounds
-those apart are compared with single members of the largest component; what is still very
-crowded then is split by a second band.  All comparisons count shingles exactly.
+those apart are compared with single members of the largest component.  What is still very
+crowded then is compared by a second band, and where components are left, by the rarest shingles
+of each document, of which any pair that reaches the similarity shares one.  All comparisons
+count shingles exactly.
 
 Defined results: a null text, or one without words, has no shingles and is alone.  Rows with
 one id are one document whose links are those of all its rows.  A null id can't stand for
@@ -38,14 +40,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, mix, slices, utf8_rows, window_hashes, word_hashes, words_of
 
 SHINGLE, SIMILARITY_PERCENT = 5, 80
 BANDS, ROWS = 30, 5
-#: Buckets with more pairs to compare than this are crowded; above the second, a second band splits them.
+#: Buckets with more pairs to compare than this are crowded; above the second, a second band and then rare
+#: shingles split them.
 CROWDED, SPLIT = 200, 10_000_000
 #: 64-bit words of a document's bit set of shingle cells (columns).
 BITS = [f"bits{i}" for i in range(16)]
@@ -264,6 +267,28 @@ def own_shingles(docs: DataFrame, folded: DataFrame, ids: DataFrame, id_col: str
     return materialise(got.groupBy("id").agg(F.when(alone, F.coalesce(F.max("own"), F.lit(0))).otherwise(0).alias("own"), alone.alias("alone"), *[F.when(alone, F.max(c)).otherwise(-1).alias(c) for c in BITS]), "near-own")
 
 
+def rare_shingles(docs: DataFrame, folded: DataFrame, ids: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, shingle, copy): of each text of the documents ``ids``, the rarest fifth of its shingles
+    and one more, copies counted one by one.  Texts that reach the similarity share one of these: had
+    the one with the earlier last of them none in common, over a fifth of it would not be shared."""
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("_text")).join(_few(ids), "id", "left_semi")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "_text", 1 << 20):
+            row, element, weight = shingle_bags(b.column(1))
+            digest = pa.array([_content(t.as_py()) for t in b.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([digest.take(pa.array(row)), pa.array(element.view(np.int64)), pa.array(weight, pa.int64())], names=["content", "shingle", "n"])
+
+    bags = src.mapInArrow(each, "content binary, shingle long, n long").distinct()
+    items = materialise(bags.select("content", "shingle", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy")), "near-shingles")
+    texts = items.groupBy("shingle", "copy").agg(F.count("*").alias("texts"))
+    place = F.row_number().over(Window.partitionBy("content").orderBy("texts", "shingle", "copy"))
+    ranked = items.join(texts, ["shingle", "copy"]).withColumn("place", place)
+    weights = folded.join(_few(ids), "id", "left_semi").select("content", "id", "weight")
+    first = ranked.join(weights, "content").where(f"100 * (place - 1) <= {100 - SIMILARITY_PERCENT} * weight")
+    return materialise(first.select("id", "shingle", "copy").distinct(), "near-rare")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: its id, ``class_id`` (the smallest id of its class) and
     ``n_shingles``."""
@@ -299,10 +324,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
                 break
         # Documents with too many shingles of their own link to none of their crowded buckets.
         able = materialise(_mixed(state.rooted(crowded.where(f"100 * (weight - own) >= {SIMILARITY_PERCENT} * weight")), key), "near-able")
-        split = (able.where(f"work > {SPLIT}").select("id", "weight", "own", "alone", *BITS, "root", F.col("band").alias("band0"), F.col("key").alias("key0"))
-                 .join(bands.select("id", "band", "key"), "id").where("band > band0"))
-        finer = ["band0", "key0", *key]
-        rest = _across(able.where(f"work <= {SPLIT}"), key).union(_across(_mixed(split, finer), finer))
+        rest = _across(able.where(f"work <= {SPLIT}"), key)
+        large = able.where(f"work > {SPLIT}").select("id", "weight", "own", "alone", *BITS, "root", F.col("band").alias("band0"), F.col("key").alias("key0"))
+        if not large.isEmpty():
+            state.add(_across(_mixed(large.join(bands.select("id", "band", "key"), "id").where("band > band0"), finer := ["band0", "key0", *key]), finer).distinct())
+            # Pairs that share no second band: by rare shingles, where components are left.
+            left = materialise(_mixed(state.rooted(large.drop("root")), ["band0", "key0"]).drop("top", "work"), "near-left")
+            if not left.isEmpty():
+                rare = rare_shingles(docs, folded, materialise(left.select("id").distinct(), "near-ids"), id_col, text)
+                finer = ["band0", "key0", "shingle", "copy"]
+                rest = rest.union(_across(_mixed(left.join(rare, "id"), finer), finer))
     few = _across(_mixed(state.rooted(mixed.where(f"work <= {CROWDED}").drop("work")), key), key, bounds=False)
     state.add((few if rest is None else few.union(rest)).distinct())
 
