@@ -78,7 +78,7 @@ def test_bounded_pandas_read(spark):
 def test_gold_columns_are_the_fixed_schema(spark):
     from tidemark.plans.queries import _stg_a
 
-    from conftest import SF0001
+    from helpers import SF0001
 
     stg = _stg_a(spark, SF0001)
     assert gold.daily(stg).columns == gold.DAILY_COLUMNS

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF0001, SF001
+from helpers import SF0001, SF001
 
 
 def test_all_queries_match_oracle(spark):

@@ -1,6 +1,6 @@
 """Physical-plan properties the design relies on."""
 
-from conftest import SF0001
+from helpers import SF0001
 
 
 def plan(df):

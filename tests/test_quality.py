@@ -6,7 +6,7 @@ from helpers import day, ev, frame
 
 from tidemark.operators import quality as dq
 
-from conftest import SF001
+from helpers import SF001
 
 
 def test_counts_on_small_frame(spark):

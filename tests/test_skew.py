@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 
 from tidemark.operators.refine import clean, current_rows, latest_per_key, merge_changes
 from tidemark.sources import feeds
