@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bag_minhash, bpe, chat, decontaminate, pii, quality_rules, substring_dedup, token_files, unigram_counts, warc
+from tidemark.llm import bag_minhash, bpe, chat, decontaminate, lexical_search, pii, quality_rules, substring_dedup, token_files, unigram_counts, url_filter, warc
 from tidemark.llm.common import materialise, read_table
 from tidemark.session import scratch_path
 
@@ -112,5 +112,43 @@ def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer_path: str = BYTE
     return token_files.read_documents(manifest)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_pii, op4_token_counts, op5_warc, op6_bpe, op7_quality_rules, op8_chat, op9_token_files, op10_bag_minhash)}
-ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op5_warc": OP5_SQL, "op8_chat": OP8_SQL}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+i as (select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+s as (select count(*) as n_docs, sum(len(w))::bigint as n_terms from d where len(w) > 0),
+tf as (select doc_id, term, count(*) as tf from (select doc_id, unnest(w) as term from d) where term in (select term from i) group by 1, 2),
+w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from tf cross join s group by term, n_docs),
+m as (select doc_id, 25 + (75 * len(w) * n_docs) // n_terms as m from d cross join s),
+x as (select item_id, doc_id, sum(weight * c * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+      from (select item_id, term, count(*) as c from i group by 1, 2) join tf using (term) join w using (term) join m using (doc_id) group by 1, 2),
+r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from x where score > 0)
+select * from r where rank <= 10"""
+
+
+# --- fixed values: the rules of the contract (host, path, action) ---
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+# --- end of fixed values ---
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the allow and block rules on the url of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), rules, ["page_id"])
+
+
+OP12_SQL = """
+with u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as a from pages),
+h as (select page_id, a, regexp_extract(a, '^[^/?#]*', 0) as raw from u),
+p as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(substr(a, length(raw) + 1), '^[^?#]*', 0) as path from h),
+r(rule_host, rule_path, action) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block'))
+select page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule, coalesce(arg_max(action, length(rule_host || rule_path)), 'allow') as verdict
+from p left join r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by page_id, host, path"""
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_pii, op4_token_counts, op5_warc, op6_bpe, op7_quality_rules, op8_chat, op9_token_files, op10_bag_minhash, op11_lexical_search, op12_url_filter)}
+ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op5_warc": OP5_SQL, "op8_chat": OP8_SQL, "op11_lexical_search": OP11_SQL, "op12_url_filter": OP12_SQL}
