@@ -38,10 +38,8 @@ def brute(docs, items, k):
 @pytest.mark.parametrize("block,tiles,most", [(2_000_000, (512, 4096, 512), ls.MOST_WEIGHT), (5, (7, 3, 2), 4000)])
 def test_against_brute_force(spark, docs, texts, monkeypatch, block, tiles, most):
     monkeypatch.setattr(ls, "BLOCK_TERMS", block)
-    for name, value in zip(("DOC_TILE", "TERM_TILE", "ITEM_TILE"), tiles):
+    for name, value in zip(("DOC_TILE", "TERM_TILE", "ITEM_TILE", "MOST_WEIGHT"), (*tiles, most)):
         monkeypatch.setattr(ls, name, value)
-    own = ls.Items.tiles
-    monkeypatch.setattr(ls.Items, "tiles", lambda self, terms: own(self, terms, most))
     items = spark.createDataFrame([(*r, 1, 2, "z") for r in ITEMS], "item_id string, text string, row int, doc long, item string").repartition(2)
     got = sorted((tuple(r) for r in ls.search(docs, items, 10).collect()), key=repr)
     assert got == brute(texts, ITEMS, 10)

@@ -119,8 +119,8 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Items:
     """Weights of a block's items, by term: for each term the items that have it."""
 
-    def __init__(self, rows: list, vocabulary: dict[bytes, int]):
-        self.n = len(rows)
+    def __init__(self, rows: list, vocabulary: dict[bytes, int], term_tile: int = TERM_TILE, item_tile: int = ITEM_TILE, most: int = MOST_WEIGHT):
+        self.n, self.term_tile, self.item_tile, self.most = len(rows), term_tile, item_tile, most
         sizes = [len(r.terms) for r in rows]
         item = np.repeat(np.arange(self.n), sizes)
         term = np.fromiter((vocabulary[bytes(t)] for r in rows for t in r.terms), np.int64, len(item))
@@ -133,30 +133,30 @@ class Items:
         self.weight = self.count * np.repeat(w, np.diff(self.first))
         return self
 
-    def tiles(self, terms: np.ndarray, most: int = MOST_WEIGHT) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    def tiles(self, terms: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
         """(places in ``terms``, first item, weights as a dense items x terms tile).  A tile ends before
-        the sum of an item's weights passes ``most``; a weight of more than that goes in parts."""
+        the sum of an item's weights passes the bound; a weight of more than that goes in parts."""
         at = 0
         while at < len(terms):
-            part = terms[at: at + TERM_TILE]
+            part = terms[at: at + self.term_tile]
             sizes = self.first[part + 1] - self.first[part]
             where = _ranges(self.first[part], sizes)
             item, place, rest = self.item[where], np.repeat(np.arange(len(part)), sizes), self.weight[where].copy()
             while rest.any():
-                take = np.minimum(rest, most)
+                take = np.minimum(rest, self.most)
                 # Running sums of each item's weights over the places; the tile ends before one passes the bound.
                 order = np.lexsort((place, item))
                 run = np.cumsum(take[order])
                 begins = np.flatnonzero(np.r_[True, item[order][1:] != item[order][:-1]])
                 run -= np.repeat((run - take[order])[begins], np.diff(np.r_[begins, len(order)]))
-                over = place[order][run > most]
+                over = place[order][run > self.most]
                 take[place >= (over.min() if len(over) else len(part))] = 0
                 rest -= take
-                for low in range(0, self.n, ITEM_TILE):
-                    own = (item >= low) & (item < low + ITEM_TILE) & (take > 0)
+                for low in range(0, self.n, self.item_tile):
+                    own = (item >= low) & (item < low + self.item_tile) & (take > 0)
                     if own.any():
                         used, column = np.unique(place[own], return_inverse=True)
-                        dense = np.zeros((min(ITEM_TILE, self.n - low), len(used)))
+                        dense = np.zeros((min(self.item_tile, self.n - low), len(used)))
                         dense[item[own] - low, column] = take[own]
                         yield used + at, low, dense
             at += len(part)
@@ -229,7 +229,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, doc_id: str = "doc_id
         for r in postings.select(F.explode("terms").alias("term")).groupBy("term").count().collect():      # one row a term of the block
             df[r["term"]] = r["count"]
         w = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * x + 1))) if x else 0 for x in df.tolist()], np.int64)
-        weighed = spark.sparkContext.broadcast(Items(rows, vocabulary).weigh(w))
+        weighed = spark.sparkContext.broadcast(Items(rows, vocabulary, TERM_TILE, ITEM_TILE, MOST_WEIGHT).weigh(w))
         order = Window.partitionBy("row").orderBy(F.desc("score"), F.col("doc").asc_nulls_last())
         ranked = _rank(postings, weighed, n_docs, n_terms, k).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         named = spark.createDataFrame([(i, r.item) for i, r in enumerate(rows)], f"row int, item {block.schema['item'].dataType.simpleString()}")

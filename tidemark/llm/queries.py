@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bag_minhash, bpe, chat, decontaminate, lexical_search, pii, quality_rules, substring_dedup, token_files, unigram_counts, url_filter, warc
+from tidemark.llm import alignment, bag_minhash, bpe, chat, decontaminate, lexical_search, pii, quality_rules, substring_dedup, token_files, unigram_counts, url_filter, warc
 from tidemark.llm.common import materialise, read_table
 from tidemark.session import scratch_path
 
@@ -150,5 +150,10 @@ select page_id, host, path, arg_max(rule_host || rule_path, length(rule_host ||
 from p left join r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by page_id, host, path"""
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_pii, op4_token_counts, op5_warc, op6_bpe, op7_quality_rules, op8_chat, op9_token_files, op10_bag_minhash, op11_lexical_search, op12_url_filter)}
+def op13_token_alignment(spark: SparkSession, sf_dir: str, a_path: str = BYTE_BPE, b_path: str = PIECES) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, per document, with corpus-wide counts."""
+    return alignment.align_tokens(read_table(spark, sf_dir, "documents"), a_path, b_path, ["doc_id"])
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_decontaminate, op3_pii, op4_token_counts, op5_warc, op6_bpe, op7_quality_rules, op8_chat, op9_token_files, op10_bag_minhash, op11_lexical_search, op12_url_filter, op13_token_alignment)}
 ORACLE: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_decontaminate": OP2_SQL, "op5_warc": OP5_SQL, "op8_chat": OP8_SQL, "op11_lexical_search": OP11_SQL, "op12_url_filter": OP12_SQL}
