@@ -148,6 +148,10 @@ MERGE_ACTION = """case when s.tx_id is null then 'keep'
             when s.tipo_operacion = 'DELETE' then 'delete'
             else 'update' end"""
 
+NUMBERED_B = f"""with feed_b as ({FEED_B}),
+slotted as (select *, 'sales' as topic, coalesce(('0x' || substr(md5(tx_id), 1, 8))::bigint % 8, 0)::int as "partition" from feed_b),
+numbered as (select *, row_number() over (partition by "partition" order by "timestamp", seq) - 1 as "offset" from slotted)"""
+
 EVENT_LIST = ", ".join(f'"{c}"' for c in EVENT_COLS)
 
 ORACLE: dict[str, str] = {
@@ -160,6 +164,17 @@ ORACLE: dict[str, str] = {
     "dedup_latest": f"{WITH_A} select * from a_dedup",
     "silver_initial": f"{WITH_A} select * from a_silver",
     "silver_merge": f"{WITH_A} select * from a_silver",
+    "silver_merge_pruned": f"{WITH_A} select * from a_silver",
+    "gold_delta": f"{WITH_A} {GOLD_DAILY_A}",
+    "feed_partitioned": f"""{NUMBERED_B} select topic, "partition", "offset", tx_id, seq from numbered""",
+    "offset_gaps": f"""{NUMBERED_B},
+sent as (select "partition", "offset", case when seq % 7 = 0 then 2 else 1 end as deliveries from numbered
+         where seq % 11 <> 0 and ("partition" <> 0 or "offset" >= 10)),
+runs as (select *, "offset" - row_number() over (partition by "partition" order by "offset") as run from sent),
+spans as (select "partition", min("offset") as first_offset, max("offset") as last_offset, sum(deliveries)::bigint - count(*) as repeated from runs group by "partition", run)
+select 'sales' as topic, "partition", first_offset, last_offset, repeated,
+       first_offset - coalesce(lag(last_offset) over (partition by "partition" order by first_offset) + 1, case when "partition" = 0 then 10 end, first_offset) as lost
+from spans""",
     "silver_incremental": f"{WITH_A} select * from a_silver",
     "merge_action_counts": f"""{WITH_SPLIT}
 select {MERGE_ACTION} as action, count(*) as key_count

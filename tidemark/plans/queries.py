@@ -16,21 +16,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
+from ..operators import partition_merge
 from ..operators.inspect import describe
 from ..operators.refine import clean, current_rows, latest_per_key, merge_action_counts
 from ..session import ensure_session, scratch_path
 from ..sources import feeds
 from ..sources.messages import decode_messages, peek, read_messages, to_messages, write_messages
+from ..sources.offsets import offset_report, with_offsets
 from ..sources.tables import export_table, history, publish, read_table, save_as_table, table_exists
 from ..spec import BRONZE_TECHNICAL, EVENT_COLUMNS, FEED_SCHEMA, SALES_SEQ
 from ..streaming.ingest import ingest_available
 from ..streaming.refine_stream import refine_incremental, silver_view
-from . import gold
+from . import gold, gold_delta
 from .medallion import build_gold, quality, refine, refine_frame, run_medallion
 from .staging import enrich, register_views, stg_bronze, stg_silver
 
 SPEC = SALES_SEQ
 MERGE_SPLIT = "1998-06-01"      # split point of the two-batch merge queries
+LATE_SPLIT = "1998-11-20"       # and of the third, small batch
+TOPIC_PARTITIONS = 8
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -136,6 +140,50 @@ def q_silver_merge(spark, sf):
     return read_table(spark, path)
 
 
+def _time_batches(feed: DataFrame) -> list[DataFrame]:
+    """Feed A in three batches by event time, the last a small one; events without a time come last."""
+    at = F.col("timestamp")
+    return [feed.filter(at < MERGE_SPLIT), feed.filter((at >= MERGE_SPLIT) & (at < LATE_SPLIT)), feed.filter((at >= LATE_SPLIT) | at.isNull())]
+
+
+def q_silver_merge_pruned(spark, sf):
+    """Silver in key-hash partitions, three batches merged into it one by one; each reads and
+    replaces only the partitions of its keys."""
+    root = scratch_path(spark, "lake")
+    for i, batch in enumerate(_time_batches(_feed_a(spark, sf))):
+        partition_merge.merge_batch(batch, root, i, SPEC)
+    return partition_merge.current(spark, root, SPEC)
+
+
+def q_gold_delta(spark, sf):
+    """Daily KPIs after three merged batches, each brought into Gold by its change log."""
+    root = scratch_path(spark, "lake")
+    for i, batch in enumerate(_time_batches(_feed_a(spark, sf))):
+        if partition_merge.merge_batch(batch, root, i, SPEC):
+            gold_delta.apply_batch(spark, root, i)
+    return gold_delta.read_gold(spark, root, "gold_kpi_ventas").orderBy("fecha")
+
+
+def _numbered_b(spark, sf) -> DataFrame:
+    feed = _feed_b(spark, sf)
+    return with_offsets(feed.withColumn("topic", F.lit("sales")), "tx_id", [F.col("timestamp").asc(), F.col("seq").asc()], TOPIC_PARTITIONS)
+
+
+def q_feed_partitioned(spark, sf):
+    """Feed B dealt to topic partitions by key, with dense offsets in event order."""
+    return _numbered_b(spark, sf).select("topic", "partition", "offset", "tx_id", "seq")
+
+
+def q_offset_gaps(spark, sf):
+    """A topic that lost some of feed B's messages and delivered others twice, read from offset 10
+    on in partition 0: its runs of offsets, what is missing before each, and what came again."""
+    sent = _numbered_b(spark, sf).select("topic", "partition", "offset", "seq")
+    kept = sent.where(F.col("seq") % 11 != 0)
+    again = kept.where(F.col("seq") % 7 == 0)
+    start = spark.sql("select 'sales' as topic, 0 as partition, 10L as start_offset")
+    return offset_report(kept.unionByName(again), start)
+
+
 def q_silver_incremental(spark, sf):
     """Bronze landed in two batches of files; the incremental refine (a file stream over
     Bronze merging each micro-batch into the latest-event state) runs after each."""
@@ -339,6 +387,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "silver_initial": q_silver_initial,
     "silver_merge": q_silver_merge,
+    "silver_merge_pruned": q_silver_merge_pruned,
+    "gold_delta": q_gold_delta,
+    "feed_partitioned": q_feed_partitioned,
+    "offset_gaps": q_offset_gaps,
     "silver_incremental": q_silver_incremental,
     "merge_action_counts": q_merge_action_counts,
     "missing_table_noop": q_missing_table_noop,
