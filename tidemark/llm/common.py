@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import hashlib
+import threading
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,18 +21,42 @@ from tidemark.session import scratch_path
 BATCH_BYTES = 4 << 20
 
 
+#: Whole texts go to Python workers in batches of at most so many rows, unless the session says otherwise.
+TEXT_BATCH_ROWS = 512
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Rows of whole texts (two of them in pairs) are too large for Spark's 10,000 rows a batch."""
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(TEXT_BATCH_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: lineage is cut, and a
     lost executor costs no recomputation."""
+    text_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+
+
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if its rows and their text, both measured, are few; else as it is.
+    No more than the bound is read to find out."""
+    rows = BROADCAST_ROWS if rows is None else rows
+    n, size = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_BYTES else df
+
+
 def file_bytes(path: str, most: int = 64 << 20) -> bytes:
     """A vocabulary file, read on the driver to be sent with the tasks; its size is checked."""
     with open(path, "rb") as f:
@@ -59,16 +87,42 @@ class TwoGenerations(dict):
 
 
 _PER_WORKER: dict = {}
+_USES = [0]
+#: A worker that waits for its next task keeps its tables for so many seconds.
+IDLE_SECONDS = 3.0
 
 
 def per_worker(name: str, payload: bytes, build: Callable[[bytes], object]) -> object:
-    """An object built once in each Python worker from a broadcast file (vocabulary tables)."""
+    """An object built once in each Python worker from a broadcast file (vocabulary tables and
+    memos).  A worker keeps one, and only while tasks that use it follow each other: it goes
+    once the worker has been idle (see ``idle``), so it doesn't take memory from later stages."""
     key = (name, hashlib.sha1(payload).hexdigest())
+    _USES[0] += 1
     if key not in _PER_WORKER:
+        _PER_WORKER.clear()
         _PER_WORKER[key] = build(payload)
     return _PER_WORKER[key]
 
 
+def idle() -> None:
+    """Called when a task has read its last batch: unless another task asks for the worker's
+    tables soon, they are dropped and their memory goes back to the system."""
+    if not _PER_WORKER:
+        return
+    uses = _USES[0]
+
+    def drop() -> None:
+        if _USES[0] == uses:
+            _PER_WORKER.clear()
+            gc.collect()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    timer = threading.Timer(IDLE_SECONDS, drop)
+    timer.daemon = True
+    timer.start()
+
+
 def added(kept: DataFrame, **made: T.DataType) -> T.StructType:
     """The schema of all columns of ``kept`` but the last (the text), then the ``made`` ones."""
     fields = kept.schema.fields[:-1]
@@ -91,6 +145,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | int, most: int = BAT
             if b > a:
                 yield batch.slice(a, b - a)
     pa.default_memory_pool().release_unused()
+    idle()
 
 
 def utf8_rows(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
