@@ -19,8 +19,10 @@ import hashlib
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -46,7 +48,7 @@ def byte_alphabet() -> list[str]:
 class Bpe:
     """Encoder and decoder for one tokenizer file (BPE with word ends over bytes)."""
 
-    def __init__(self, data: bytes, entries: int = 100_000):
+    def __init__(self, data: bytes, entries: int = 250_000):
         spec = json.loads(data)
         model = spec["model"]
         parts = [p["type"] for p in spec["pre_tokenizer"]["pretokenizers"]]
@@ -58,7 +60,6 @@ class Bpe:
         vocab = model["vocab"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text_of = {i: s for s, i in [*vocab.items(), *self.added.items()]}
-        self.digits = {i: str(i) for i in self.text_of}
         if any(" " in t for t in self.added):
             raise ValueError("an added token with a space can't be found in text that is cut at spaces")
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
@@ -76,7 +77,11 @@ class Bpe:
         for rank, (a, b) in enumerate(tuple(m.split(" ")) if isinstance(m, str) else m for m in model["merges"]):
             self.rank[vocab[a] * self.width + vocab[b]] = rank
             self.merged.append(vocab[a + b])
-        self.words = TwoGenerations(self._word, entries)
+        self.texts = np.empty(self.width, object)
+        self.numbers = np.empty(self.width, object)
+        for i, t in self.text_of.items():
+            self.texts[i], self.numbers[i] = t, str(i)
+        #: Packed ids of chunks and of their pieces (a piece is a chunk of itself).
         self.chunks = TwoGenerations(self._chunk, entries)
 
     def merge(self, symbols: list[int]) -> list[int]:
@@ -113,14 +118,11 @@ class Bpe:
                     heapq.heappush(queue, s << 32 | h)
         return [s for s in symbols if s >= 0]
 
-    def _joined(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join([self.digits[i] for i in ids]), self.decode(ids)
-
-    def _word(self, word: str) -> tuple[int, str, str]:
+    def _word(self, word: str) -> bytes:
         data = word.encode()
         symbols = [self.inner[b] for b in data]
         symbols[-1] = self.last[data[-1]]
-        return self._joined(self.merge(symbols))
+        return array("I", self.merge(symbols)).tobytes()
 
     def _pieces(self, text: str) -> list[str]:
         """Normalised pieces between which no merge takes place."""
@@ -132,27 +134,30 @@ class Bpe:
             return [p for p, _ in self.newer.pre_tokenize_str(Lowercase().normalize_str(text))]
         return self.pieces.findall(text.replace("\u03a3", "\u03c3").lower())   # no final sigma: each character on its own
 
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
+    def _chunk(self, chunk: str) -> bytes:
         parts, at = [], 0
         if self.specials and self.opening.search(chunk):
             for m in self.specials.finditer(chunk):
-                parts += [self.words[w] for w in self._pieces(chunk[at: m.start()])]
-                parts.append(self._joined([self.added[m.group()]]))
+                parts += map(self._piece, self._pieces(chunk[at: m.start()]))
+                parts.append(array("I", [self.added[m.group()]]).tobytes())
                 at = m.end()
-        parts += [self.words[w] for w in self._pieces(chunk[at:] if at else chunk)]
-        return parts[0] if len(parts) == 1 else _concat(parts)
+        pieces = self._pieces(chunk[at:] if at else chunk)
+        if pieces == [chunk]:
+            return self._word(chunk)
+        parts += map(self._piece, pieces)
+        return b"".join(parts)
+
+    def _piece(self, piece: str) -> bytes:
+        return self.chunks[piece] if self._pieces(piece) == [piece] else self._word(piece)
 
     def decode(self, ids) -> str:
         """The vocabulary strings joined by one space, as the file (which names no decoder) asks."""
         return " ".join([self.text_of[i] for i in ids])
 
-    def encode(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, the decimal ids joined by one space, and the decoded text."""
-        return _concat([p for p in map(self.chunks.__getitem__, text.split(" ")) if p[0]])
-
-
-def _concat(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
-    return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+    def encode(self, text: str) -> tuple[np.ndarray, str, str]:
+        """The ids, their decimal forms joined by one space, and the decoded text."""
+        ids = np.frombuffer(b"".join(map(self.chunks.__getitem__, text.split(" "))), np.uint32)
+        return ids, " ".join(self.numbers[ids].tolist()), " ".join(self.texts[ids].tolist())
 
 
 def encode_texts(docs: DataFrame, tokenizer_path: str, keep: list[str], text: str = "text", full: bool = True) -> DataFrame:
@@ -169,9 +174,9 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, keep: list[str], text: st
         for b in slices(batches, len(keep)):
             n, x, y = [], [], []
             for t in b.column(len(keep)):
-                count, ids, decoded = bpe.encode(t.as_py() or "")
-                n.append(count)
-                x.append(list(map(int, ids.split())) if full else hashlib.sha256(ids.encode()).hexdigest())
+                found, ids, decoded = bpe.encode(t.as_py() or "")
+                n.append(len(found))
+                x.append(found.astype(np.int32) if full else hashlib.sha256(ids.encode()).hexdigest())
                 y.append(decoded if full else hashlib.sha256(decoded.encode()).hexdigest())
             kinds = (pa.int64(), pa.list_(pa.int32()) if full else pa.string(), pa.string())
             cols = [*b.columns[:-1], *(pa.array(v, k) for v, k in zip((n, x, y), kinds))]
