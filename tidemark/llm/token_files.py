@@ -18,6 +18,7 @@ empty table has no files and no rows.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from array import array
@@ -30,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import file_bytes, materialise, per_worker, slices
+from tidemark.llm.bpe import byte_alphabet
+from tidemark.llm.common import TwoGenerations, file_bytes, materialise, per_worker, slices
 from tidemark.llm.files import new_file, open_file
 
 BLOCK, PERCENTILE, GROUP = 1024, 90, 128
@@ -38,13 +40,19 @@ MAGIC = b"PFORIDS1"
 _FOOTER = struct.Struct("<qqqqI8s")          # blocks, ids, documents, where the index starts, block size, magic
 _HEAD = struct.Struct("<IIBH")
 MOST_TASKS = 50_000
+# --- fixed values: the split pattern of byte-level tokenizer files ---
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# --- end of fixed values ---
 
 
 class ChunkEncoder:
-    """Byte-level BPE of the tokenizers library, with a bounded memo of text between spaces.
+    """Byte-level BPE of the tokenizers library, with bounded memos of text between spaces.
 
     The library's split pattern takes a space together with the word behind it, so a text
-    may be cut before every space that a non-space character follows."""
+    may be cut before every space that a non-space character follows.  A new part of characters
+    below U+0250 is split by the same pattern here and its words go to the library's model
+    one by one, so a word is merged once whatever punctuation it stands beside; other parts go
+    through the whole library."""
 
     def __init__(self, data: bytes, entries: int = 500_000):
         from tokenizers import Tokenizer
@@ -52,10 +60,25 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.entries, self.young, self.old = entries, {}, {}
+        spec = json.loads(data)
+        pre = spec["pre_tokenizer"] or {}
+        plain = spec["model"]["type"] == "BPE" and not spec["normalizer"] and pre.get("type") == "ByteLevel" and not pre["add_prefix_space"] and pre.get("use_regex", True)
+        opening = "".join(sorted({regex.escape(t["content"][0]) for t in spec["added_tokens"]}))
+        self.own = regex.compile(rf"[\x00-\u024F--[{opening}]]*" if opening else r"[\x00-\u024F]*", regex.V1).fullmatch if plain else (lambda part: None)
+        self.model = self.tokenizer.model
+        self.split = regex.compile(_SPLIT)
+        self.shown = {b: c for b, c in enumerate(byte_alphabet())}
+        self.entries, self.young, self.old, self.words = entries, {}, {}, TwoGenerations(self._word, entries // 2)
         self.inner = regex.compile(r" (?=\S)")
         self.odd = regex.compile(r" (?:\s|$)")
 
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isprintable():
+            shown = word.replace(" ", self.shown[32])
+        else:
+            shown = word.encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
     def _cut(self, text: str) -> list[str]:
         """The parts of a text; all but the first stand for themselves with a space in front.  The
         first, which has none, gets a mark that no other part can begin with."""
@@ -68,24 +91,28 @@ class ChunkEncoder:
         cut = [self._cut(t) for t in texts]
         if len(self.young) > self.entries:
             self.young, self.old = {}, self.young
-        new, long = [], {}
-        for c in set().union(*cut):
-            if c not in self.young:
-                known = self.old.get(c)
-                if known is not None:
-                    self.young[c] = known
-                else:
-                    new.append(c)
+        young, old, words, split, own = self.young, self.old, self.words, self.split.findall, self.own
+        new, long = [], []
+        for c in set().union(*cut).difference(young):
+            known = old.get(c)
+            if known is not None:
+                young[c] = known
+                continue
+            asked = c[1:] if c[:1] == " " else " " + c
+            if own(c):
+                found = split(asked)
+                young[c] = words[found[0]] if len(found) == 1 else b"".join([words[w] for w in found])
+            else:
+                new.append((c, asked))
+            if len(c) > 80:
+                long.append(c)
         for at in range(0, len(new), 20_000):
             part = new[at: at + 20_000]
-            asked = [c[1:] if c[:1] == " " else " " + c for c in part]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
-                self.young[c] = array("I", e.ids).tobytes()
-                if len(c) > 80:
-                    long[c] = True
-        out = [b"".join(map(self.young.__getitem__, c)) for c in cut]
+            for (c, _), e in zip(part, self.tokenizer.encode_batch_fast([a for _, a in part], add_special_tokens=False)):
+                young[c] = array("I", e.ids).tobytes()
+        out = [b"".join(map(young.__getitem__, c)) for c in cut]
         for c in long:
-            del self.young[c]
+            del young[c]
         return out
 
 
