@@ -53,8 +53,11 @@ PIECE = 1 << 20                              # characters of a long text that ar
 SHORT = 64                                   # parts of at most so many bytes are learnt together
 MARK = "▁"
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
-_CUT, _ODD, _SPACE = re.compile(r"(?<=\S) (?!\Z)"), re.compile(r" (?:\s|\Z)"), re.compile(r"\s")
+_CUT, _ODD = re.compile(r"(?<=\S) (?!\Z)"), re.compile(r" (?:\s|\Z)")
 _NONE = (b"", "", b"", b"")
+# --- fixed values: the split pattern of byte-level tokenizer files ---
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# --- end of fixed values ---
 
 
 def _cuts(text: str) -> Iterator[list[str]]:
@@ -72,24 +75,27 @@ def _cuts(text: str) -> Iterator[list[str]]:
 class Aligner:
     """Alignments of texts under two tokenizer files (pickled as one payload)."""
 
-    def __init__(self, payload: bytes, entries: int = 100_000):
+    def __init__(self, payload: bytes, entries: int = 250_000):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
         a, b = pickle.loads(payload)
         spec = json.loads(a)
         pre = spec["pre_tokenizer"] or {}
         if spec["model"]["type"] != "BPE" or spec["normalizer"] or pre.get("type") != "ByteLevel" or pre["add_prefix_space"] or not pre.get("use_regex", True):
             raise ValueError("this tokenizer file has rules that the cut at spaces does not know")
-        self.a = Tokenizer.from_str(a.decode())
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
         byte_of = {c: i for i, c in enumerate(byte_alphabet())}
-        vocabulary = self.a.get_vocab()
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
-        for t, i in vocabulary.items():
-            self.bytes_a[i] = bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()
+        special = {t["content"] for t in spec["added_tokens"]}
+        vocabulary = {t: i for t, i in spec["model"]["vocab"].items() if t not in special}
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items()}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        # With merges in the order of their ids, the id of a merged token is its rank.
+        if any(vocabulary[x + y] != 256 + i for i, (x, y) in enumerate(merges)) or len(ranks) != 256 + len(merges):
+            raise ValueError("the ids of this tokenizer file don't follow its merges")
+        self.a = tiktoken.Encoding("a", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.bytes_a = [b""] * (max(ranks.values()) + 1)
+        for t, i in ranks.items():
+            self.bytes_a[i] = t
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(MARK in p.lstrip(MARK) for p in pieces):
@@ -110,7 +116,7 @@ class Aligner:
             known = self.old.get(p)
             if known is not None:
                 self.young[p] = known
-            elif len(p) <= SHORT and not _SPACE.search(p) and MARK not in p:
+            elif len(p) <= SHORT and MARK not in p and not p[0].isspace() and not p[-1].isspace():
                 short.append(p)
             else:
                 self.young[p] = self._one(p)
@@ -118,14 +124,13 @@ class Aligner:
             self._many(short[at: at + 2000])
 
     def forget_long(self, parts: Iterable[str]) -> None:
-        for p in parts:
-            if len(p) > SHORT:
-                self.young.pop(p, None)
+        for p in [p for p in parts if len(p) > SHORT]:
+            self.young.pop(p, None)
 
     def _many(self, parts: list[str]) -> None:
-        """Parts without any white space, encoded as one text."""
+        """Parts that neither begin nor end with white space, encoded as one text."""
         text = " ".join(parts)
-        x, y = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        x, y = self.a.encode_ordinary(" " + text), self.b.encode(text)
         data = b" " + text.encode()
         ids_a, ids_b = np.array(x, np.int64), np.array(y, np.int64)
         end_a, end_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
@@ -153,7 +158,7 @@ class Aligner:
         key_bytes, link_bytes = key.tobytes(), links.astype(np.int64).tobytes()
         numbers = np.stack([np.bincount(part, weights=w, minlength=len(parts)) for w in (n_a, n_b, np.ones(len(part)), n_a * n_b)], axis=1).astype(np.int64).tobytes()
         s, t = list(map(str, x)), list(map(str, y))
-        shown = [",".join(s[i: i + k]) + "|" + ",".join(t[j: j + m]) for i, k, j, m in zip(from_a.tolist(), n_a.tolist(), from_b.tolist(), n_b.tolist())]
+        shown = [(s[i] if k == 1 else ",".join(s[i: i + k])) + "|" + (t[j] if m == 1 else ",".join(t[j: j + m])) for i, k, j, m in zip(from_a.tolist(), n_a.tolist(), from_b.tolist(), n_b.tolist())]
         group = np.searchsorted(part, np.arange(len(parts) + 1)).tolist()
         for i, p in enumerate(parts):
             self.young[p] = (numbers[32 * i: 32 * i + 32], ";".join(shown[group[i]: group[i + 1]]), key_bytes[8 * cut[i]: 8 * cut[i + 1]], link_bytes[8 * cut[i]: 8 * cut[i + 1]])
@@ -161,7 +166,7 @@ class Aligner:
     def _one(self, part: str) -> tuple[bytes, str, bytes, bytes]:
         """Any part; pairs of a group are made from its distinct ids, however long it is."""
         data = b" " + part.encode()
-        x, y = self.a.encode(" " + part, add_special_tokens=False).ids, self.b.encode(part)
+        x, y = self.a.encode_ordinary(" " + part), self.b.encode(part)
         if b"".join([self.bytes_a[i] for i in x]) != data or b"".join([self.bytes_b[i] for i in y]) != data:
             return _NONE
         ids_a, ids_b = np.array(x, np.int64), np.array(y, np.int64)
@@ -185,16 +190,18 @@ class Aligner:
         numbers, digest, keys, links, first = np.zeros(4, np.int64), hashlib.sha256(), np.zeros(0, np.int64), np.zeros(0, np.int64), True
         for parts in pieces:
             count = Counter(parts)
-            entries = [self.young[p] for p in count]
-            if not all([e[0] for e in entries]):
+            own, shown, key, link = zip(*map(self.young.__getitem__, count))
+            if not all(own):
                 return np.zeros(4, np.int64), "", np.zeros(0, np.int64), np.zeros(0, np.int64)
             times = np.fromiter(count.values(), np.int64, len(count))
-            numbers += times @ np.frombuffer(b"".join([e[0] for e in entries]), np.int64).reshape(-1, 4)
-            digest.update(("" if first else ";").encode() + ";".join([self.young[p][1] for p in parts]).encode())
-            key = np.r_[keys, np.frombuffer(b"".join([e[2] for e in entries]), np.int64)]
-            link = np.frombuffer(b"".join([e[3] for e in entries]), np.int64) * np.repeat(times, [len(e[2]) // 8 for e in entries])
+            numbers += times @ np.frombuffer(b"".join(own), np.int64).reshape(-1, 4)
+            text_of = dict(zip(count, shown))
+            digest.update(("" if first else ";").encode() + ";".join(map(text_of.__getitem__, parts)).encode())
+            size = np.fromiter(map(len, key), np.int64, len(key)) >> 3
+            link = np.frombuffer(b"".join(link), np.int64) * np.repeat(times, size)
+            key = np.concatenate([keys, np.frombuffer(b"".join(key), np.int64)])
             order = np.argsort(key, kind="stable")
-            key, link = key[order], np.r_[links, link][order]
+            key, link = key[order], np.concatenate([links, link])[order]
             new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
             keys, links, first = key[new], np.add.reduceat(link, new) if len(new) else link, False
         return (numbers, digest.hexdigest(), keys, links) if not first else (numbers, "", keys, links)
@@ -302,13 +309,13 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def _spills(src: DataFrame, payload, parts: int, schema: T.StructType) -> DataFrame:
+def _spills(src: DataFrame, payload, radices: int, schema: T.StructType) -> DataFrame:
     """Align the texts (the last column) and write spills."""
     last = len(src.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = per_worker("aligner", payload.value, Aligner)
-        spill = _Spill(parts, aligner.width)
+        spill = _Spill(radices, aligner.width)
 
         def out():
             for row in spill.rows():
@@ -317,11 +324,12 @@ def _spills(src: DataFrame, payload, parts: int, schema: T.StructType) -> DataFr
         for b in slices(batches, last, 1 << 20):
             texts = [t or "" for t in b.column(last).to_pylist()]
             cut = [list(_cuts(t)) if len(t) <= PIECE else None for t in texts]
-            aligner.learn({p for c in cut if c for x in c for p in x})
+            parts = {p for c in cut if c for x in c for p in x}
+            aligner.learn(parts)
             done = []
             for t, c in zip(texts, cut):
                 done.append(aligner.align(c if c is not None else _learning(aligner, t)))
-            aligner.forget_long({p for c in cut if c for x in c for p in x})
+            aligner.forget_long(parts)
             made = [pa.array(x) for x in np.array([d[0] for d in done], np.int64).reshape(-1, 4).T] + [pa.array([d[1] for d in done], pa.string())]
             spill.add(pa.RecordBatch.from_arrays([*b.columns[:-1], *made], names=schema.names), [d[2] for d in done], [d[3] for d in done])
             if spill.n >= SPILL_RECORDS or len(spill.keys) >= SPILL_DOCS:
