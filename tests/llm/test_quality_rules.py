@@ -60,16 +60,39 @@ def labelled(spark, good_symbols):
 
 def test_cutoffs_are_certified_per_stratum(spark):
     docs, labels = labelled(spark, ())
-    counted = qr.with_counts(docs, ["doc_id", "lang"])
-    cutoffs = qr.select_cutoffs(counted, labels, "lang")
+    cutoffs = qr.select_cutoffs(docs, labels, "lang")
     assert set(cutoffs) == {"a"} and "symbols_per_word" in cutoffs["a"] and "word_length" not in cutoffs["a"]
     kept = {r.doc_id: r.kept for r in qr.judge(docs, labels).collect()}
     assert not kept[0] and not kept[9001] and kept[9002] and kept[1] and kept[4000] and not kept[9003]
 
 
 def test_too_many_false_rejections_certify_nothing(spark):
-    docs, labels = labelled(spark, range(1, 10))
-    assert qr.select_cutoffs(qr.with_counts(docs, ["doc_id", "lang"]), labels, "lang") == {}
+    # 19 of 900 good documents a thousand have symbols: over the allowed 2 %.
+    docs, labels = labelled(spark, [i for i in range(1, 22) if i % 10])
+    assert qr.select_cutoffs(docs, labels, "lang") == {}
+
+
+def test_copies_count_once(spark):
+    """A few texts in many copies are no evidence: nothing is certified, however many rows there are."""
+    rows = [(i, " ".join(["good%d" % (i % 20)] * 5 + ["w%d" % j for j in range(30)]) + (" ##" * 60 if i % 10 == 0 else ""), "a") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 10 != 0), 0) for i in range(3000)], "doc_id long, quality int, toxic int")
+    assert qr.select_cutoffs(docs, labels, "lang") == {}
+
+
+def test_steps_against_brute_force():
+    """The chosen cutoffs are certified on the certification cells, and by no step more."""
+    rng = random.Random(6)
+    rules, sizes = list(qr.RULES), [len(c) for _, _, c in qr.RULES.values()]
+    for _ in range(20):
+        cells = [(rng.random() < 0.7, g, tuple(rng.randrange(m + 1) if rng.random() < (0.02 if g else 0.5) else 0 for m in sizes), rng.randrange(1, 60)) for g in (True, True, False) for _ in range(120)]
+        cells += [(c, True, (0,) * 5, rng.randrange(500, 5000)) for c in (True, False)]
+        got = qr._choose(cells, 0.02, 0.0125)
+        level = {r: len(qr.RULES[r][2]) - qr.RULES[r][2].index(x) for r, x in got.items()}
+        hit = lambda v: any(v[i] >= level[r] for i, r in enumerate(rules) if r in level)  # noqa: E731, B023
+        good = sum(n for c, g, v, n in cells if c and g)
+        wrong = sum(n for c, g, v, n in cells if c and g and hit(v))
+        assert not got or exact_cdf(wrong, good, 0.02) <= 0.0125 + 1e-9
 
 
 def test_certified_is_the_exact_bound():

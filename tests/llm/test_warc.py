@@ -52,6 +52,14 @@ def test_archives_are_plain_gzip_and_damage_is_seen(spark):
         list(warc.read_archive(io.BytesIO(short)))
 
 
+def test_header_of_any_length_and_clashing_columns(spark):
+    rows = [(1, "http://a/" + "é" * 700_000, "x" * 3_000_000, "k", 2), (2, "http://b", "x" * 3_000_000, "k", 2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, payload string, first int")
+    got = {r.page_id: r for r in warc.read_archives(warc.write_archives(pages, scratch_path(spark, "warc"))).collect()}
+    assert got[1].url == rows[0][1] and all(r.verified for r in got.values())
+    assert (got[1].payload_bytes, got[2].refers_to) == (3_000_000, 1)
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(warc.write_archives(pages, scratch_path(spark, "warc"))).collect() == []

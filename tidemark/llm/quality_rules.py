@@ -1,13 +1,13 @@
 """Operator 7: quality rules whose cutoffs carry a risk guarantee.
 
-Each rule rejects a document when a ratio of its base counts exceeds a cutoff.  The cutoff
-is chosen per stratum on labelled holdout documents: a cutoff is *certified* when the exact
-binomial (Clopper-Pearson) upper bound of the share of good documents that it rejects stays
-within the rule's part of the allowed risk.  The error probability is divided over all
-strata and rules (Bonferroni); within one rule cutoffs are tested from the most lenient on
-and testing stops at the first that fails (fixed sequence, so no further correction).  Of
-the certified cutoffs the one that rejects most bad less good documents is taken, the most
-lenient among equals; without one the rule rejects nothing in that stratum.
+Each rule rejects a document when a ratio of its base counts exceeds a cutoff.  Cutoffs are chosen
+per stratum on labelled holdout documents, equal texts counting once.  Three tenths of them choose
+an order of steps, each of which tightens one rule; the others certify the steps in this order: a
+step is certified when the exact binomial (Clopper-Pearson) upper bound of the share of good
+documents that all rules together reject stays within the allowed risk.  Testing stops at
+the first step that fails (fixed sequence, so the steps need no correction), and the error
+probability is divided over the strata (Bonferroni).  A stratum's rules are those of its last
+certified step; without one its rules reject nothing.
 
 Defined results: a null or empty text has no words and all counts 0 (so it fails the base
 rule).  A null stratum is a stratum of its own.  A document with several labels counts as
@@ -17,6 +17,7 @@ keep whatever passes the base rule.  Documents with one id are each judged by th
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import added, slices, utf8_rows, window_hashes, word_hashes, words_of
+from tidemark.llm.common import added, materialise, slices, small, utf8_rows, window_hashes, word_hashes, words_of
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 COUNTS = [*BASE, "n_lines", "n_capitals"]
@@ -42,7 +43,8 @@ RULES: dict[str, tuple[str, str, tuple[float, ...]]] = {
     "capital_share": ("n_capitals", "word_chars", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3)),
 }
 MAX_FALSE_REJECTION, ERROR_PROBABILITY = 0.02, 0.05
-MAX_STRATA = 10_000
+#: Tenths of the labelled texts that choose the order of the steps; the others certify them.
+SELECTION_TENTHS = 3
 
 _SYMBOL, _CAPITAL = np.zeros(256, bool), np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -161,65 +163,106 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def select_cutoffs(counted: DataFrame, labels: DataFrame, stratum: str, risk: float = MAX_FALSE_REJECTION,
+def _level(rule: str) -> Column:
+    """How many of the rule's cutoffs a document exceeds (the strictest ones, as they are nested)."""
+    return sum((F.when(_exceeds(rule, F.lit(c)), 1).otherwise(0) for c in RULES[rule][2]), F.lit(0))
+
+
+def _choose(cells: list[tuple[bool, bool, tuple[int, ...], int]], risk: float, error: float) -> dict[str, float]:
+    """Cutoffs of one stratum from (for certification, good, levels, documents) cells.
+
+    The selection part orders the steps: each step tightens the rule whose next cutoff adds most
+    (bad less good documents).  The certification part tests the steps' combined rejections in
+    that order, each at the whole error probability, and stops at the first that fails (fixed
+    sequence); what the last certified step has is taken."""
+    rules = list(RULES)
+    sizes = [len(RULES[r][2]) for r in rules]
+
+    def rejects(steps: list[int], levels: tuple[int, ...]) -> bool:
+        return any(s and v > m - s for s, v, m in zip(steps, levels, sizes))
+
+    def rejected(steps: list[int], last: bool, good: bool) -> int:
+        return sum(n for c, g, v, n in cells if c == last and g == good and rejects(steps, v))
+
+    n_select, n_certify = (sum(n for c, g, _, n in cells if c == last and g) for last in (False, True))
+    steps, path, gain = [0] * len(rules), [], 0
+    while True:
+        found = []
+        for i, m in enumerate(sizes):
+            for s in range(steps[i] + 1, m + 1):
+                more = [*steps[:i], s, *steps[i + 1:]]
+                good = rejected(more, False, True)
+                if good <= risk * n_select:
+                    found.append((rejected(more, False, False) - good, -s, -i, more))
+        best = max(found, default=None)
+        if best is None or best[0] <= gain:
+            break
+        gain, steps = best[0], best[3]
+        path.append(steps)
+    kept = [0] * len(rules)
+    for steps in path:
+        if not certified(rejected(steps, True, True), n_certify, risk, error):
+            break
+        kept = steps
+    return {r: RULES[r][2][s - 1] for r, s in zip(rules, kept) if s}
+
+
+def cutoff_table(docs: DataFrame, labels: DataFrame, stratum: str, text: str = "text", risk: float = MAX_FALSE_REJECTION,
+                 error: float = ERROR_PROBABILITY) -> DataFrame:
+    """The written cutoffs: _stratum and a column for each rule (null: none certified), for every
+    stratum with labelled documents that pass the base rule.
+
+    Only labelled texts are counted, and equal texts of a stratum count once.  The documents
+    of a stratum come down to a row for each combination of levels, so a task's group is bounded
+    by the rules, whatever the number of documents or strata."""
+    label = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"))
+    some = docs.select(F.col("doc_id").alias("_id"), F.col(stratum).alias("_stratum"), F.col(text).alias("_text")).join(small(label), "_id")
+    counted = with_counts(some.withColumn("_same", F.xxhash64("_text")), ["_stratum", "_quality", "_same"], "_text").where(~base_failed())
+    levels = [f"l{i}" for i in range(len(RULES))]
+    once = counted.groupBy("_stratum", "_same").agg(F.min("_quality").alias("_quality"), *[F.max(_level(r)).alias(c) for r, c in zip(RULES, levels)])
+    part = (F.pmod("_same", F.lit(10)) >= SELECTION_TENTHS).alias("last")
+    cells = materialise(once.groupBy("_stratum", part, (F.col("_quality") > 0).alias("good"), *levels).agg(F.count(F.lit(1)).alias("n")), "quality-cells")
+    each = error / max(1, cells.select("_stratum").distinct().count())
+    names = list(RULES)
+
+    def fit(pdf):
+        import pandas as pd
+
+        rows = [(bool(c), bool(g), tuple(map(int, v)), int(n)) for c, g, *v, n in zip(pdf["last"], pdf["good"], *[pdf[x] for x in levels], pdf["n"])]
+        got = _choose(rows, risk, each)
+        return pd.DataFrame([[pdf["_stratum"].iloc[0], *[got.get(r) for r in names]]], columns=["_stratum", *names]).astype({r: "float64" for r in names})
+
+    kind = cells.schema["_stratum"].dataType.simpleString()
+    return materialise(cells.groupBy("_stratum").applyInPandas(fit, f"_stratum {kind}, " + ", ".join(f"{r} double" for r in names)), "quality-cutoffs")
+
+
+def select_cutoffs(docs: DataFrame, labels: DataFrame, stratum: str, text: str = "text", risk: float = MAX_FALSE_REJECTION,
                    error: float = ERROR_PROBABILITY) -> dict[str | None, dict[str, float]]:
-    """Cutoffs per stratum from all labelled documents that pass the base rule.
-
-    ``counted`` has doc_id, the stratum column and the counts; ``labels`` has doc_id and
-    quality.  Spark counts, per stratum and label, the documents that each cutoff rejects;
-    the driver gets one row of counts per stratum and label."""
-    label = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
-    rules = [(r, c) for r, (_, _, cutoffs) in RULES.items() for c in cutoffs]
-    rows = (counted.where(~base_failed()).select("doc_id", F.col(stratum).alias("_stratum"), *COUNTS).join(label, "doc_id")
-            .groupBy("_stratum", "_quality").agg(F.count("*").alias("n"), *[F.count_if(_exceeds(r, F.lit(c))).alias(f"r{i}") for i, (r, c) in enumerate(rules)])
-            .limit(2 * MAX_STRATA + 1).collect())
-    by: dict = {}
-    for x in rows:
-        by.setdefault(x["_stratum"], {})[bool(x["_quality"])] = x
-    if len(by) > MAX_STRATA:
-        raise ValueError(f"over {MAX_STRATA} strata: take a column with fewer values")
-    share, each = risk / len(RULES), error / max(1, len(RULES) * len(by))
-    out: dict = {}
-    for s, got in by.items():
-        good, bad = got.get(True), got.get(False)
-        if good is None:
-            continue
-        for rule in RULES:
-            best = 0
-            for i, (r, cutoff) in enumerate(rules):
-                if r != rule:
-                    continue
-                if not certified(good[f"r{i}"], good["n"], share, each):
-                    break
-                gain = (bad[f"r{i}"] if bad else 0) - good[f"r{i}"]
-                if gain > best:
-                    best = gain
-                    out.setdefault(s, {})[rule] = cutoff
-    return out
-
-
-def verdict(cutoffs: dict, stratum: str) -> Column:
-    """True for documents that pass the base rule and every rule of their stratum."""
-    rejected = F.lit(False)
-    for s, rules in cutoffs.items():
-        here = F.col(stratum).eqNullSafe(F.lit(s))
-        for rule, cutoff in rules.items():
-            rejected = rejected | (here & _exceeds(rule, F.lit(cutoff)))
-    return ~base_failed() & ~rejected
-
-
-def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text", store=lambda df: df) -> DataFrame:
-    """doc_id, the counts, base_failed and kept for every document.  ``store`` may write the
-    counts to a table, so that they are not computed twice."""
-    counted = store(with_counts(docs, ["doc_id", stratum], text))
-    cutoffs = select_cutoffs(counted, labels, stratum)
-    return counted.select("doc_id", *BASE, base_failed().alias("base_failed"), verdict(cutoffs, stratum).alias("kept"), "n_lines", "n_capitals")
+    """The certified cutoffs as a dictionary, for a report on a few strata (at most 1,000)."""
+    rows = cutoff_table(docs, labels, stratum, text, risk, error).limit(1000).collect()
+    out = {x["_stratum"]: {r: x[r] for r in RULES if x[r] is not None and not math.isnan(x[r])} for x in rows}
+    return {s: got for s, got in out.items() if got}
+
+
+def with_verdict(counted: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
+    """``counted`` with ``_kept``: true for documents that pass the base rule and every certified
+    rule of their stratum."""
+    own = small(cutoffs.select(F.col("_stratum").alias("_cut"), *[F.when(~F.isnan(r), F.col(r)).alias(f"_cut_{r}") for r in RULES]))
+    joined = counted.join(own, F.col(stratum).eqNullSafe(F.col("_cut")), "left")
+    rejected = [F.coalesce(_exceeds(r, F.col(f"_cut_{r}")), F.lit(False)) for r in RULES]
+    return joined.withColumn("_kept", ~base_failed() & ~functools.reduce(lambda a, b: a | b, rejected)).drop("_cut", *[f"_cut_{r}" for r in RULES])
+
+
+def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text") -> DataFrame:
+    """doc_id, the counts, base_failed and kept for every document."""
+    counted = with_counts(docs.select("doc_id", F.col(stratum).alias("_of"), F.col(text).alias("_text")), ["doc_id", "_of"], "_text")
+    judged = with_verdict(counted, cutoff_table(docs, labels, stratum, text), "_of")
+    return judged.select("doc_id", *BASE, base_failed().alias("base_failed"), F.col("_kept").alias("kept"), "n_lines", "n_capitals")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text") -> DataFrame:
     """``docs`` without the documents that the rules reject (all columns as they are)."""
-    cutoffs = select_cutoffs(with_counts(docs, ["doc_id", stratum], text), labels, stratum)
     names = docs.columns
-    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(stratum).alias("_stratum"), F.col(text).alias("_text"))
-    counted = with_counts(boxed, ["_row", "_stratum"], "_text")
-    return counted.where(verdict(cutoffs, "_stratum")).select(*[F.col("_row").getField(c).alias(c) for c in names])
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(stratum).alias("_of"), F.col(text).alias("_text"))
+    judged = with_verdict(with_counts(boxed, ["_row", "_of"], "_text"), cutoff_table(docs, labels, stratum, text), "_of")
+    return judged.where("_kept").select(*[F.col("_row").getField(c).alias(c) for c in names])

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import alignment, bag_minhash, bpe, chat, decontaminate, lexical_search, pii, quality_rules, substring_dedup, token_files, unigram_counts, url_filter, warc
-from tidemark.llm.common import materialise, read_table
+from tidemark.llm.common import read_table
 from tidemark.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,8 +22,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str, tokenizer_path: str = WORD_BPE) ->
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and the verdict of the base and the certified rules."""
-    return quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
-                               store=lambda df: materialise(df, "quality-counts"))
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,9 @@ def op4_token_counts(spark: SparkSession, sf_dir: str, model_path: str = PIECES)
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, as read back from the archives that it was written to."""
     manifest = warc.write_archives(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
-    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    read = warc.read_archives(manifest)
+    digest = F.when(F.col("verified"), F.col("payload_digest")).otherwise(F.raise_error(F.concat(F.lit("a record's digests don't fit: "), F.coalesce("url", F.lit("")))))
+    return read.select("page_id", "payload_bytes", digest.alias("payload_digest"), "record_type", "refers_to")
 
 
 OP5_SQL = """

@@ -84,9 +84,12 @@ class _Member:
         self.held += self.z.decompress(data, PIECE)
         return True
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes:
-        while (i := self.held.find(mark)) < 0:
-            if len(self.held) > most or not self._more():
+    def until(self, mark: bytes) -> bytes:
+        """Up to and with ``mark``, however long that is (an url may have megabytes)."""
+        seen = 0
+        while (i := self.held.find(mark, seen)) < 0:
+            seen = max(0, len(self.held) - len(mark) + 1)
+            if not self._more():
                 raise ValueError("a record's header block doesn't end")
         out, self.held = self.held[: i + len(mark)], self.held[i + len(mark):]
         return out
