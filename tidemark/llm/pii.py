@@ -24,13 +24,16 @@ they are, also under names used in here.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import materialise, small
 
 BROADCAST_ROWS = 200_000
-DEFAULT_KEY = "replace this key"
+#: Session setting that names the key; without it each call draws a key of its own.
+KEY_SETTING = "spark.tidemark.pii.key"
 
 # Titles of address by gender.
 TITLES = {
@@ -86,7 +89,7 @@ _DOC = ["_doc", "_hash"]
 
 
 def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return small(df, BROADCAST_ROWS)
 
 
 def _kind(mention: Column) -> Column:
@@ -245,10 +248,11 @@ def find_mentions(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, D
     texts = _texts(docs, doc_id, text)
     persons = texts.select(*_DOC, F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(PERSON), F.lit(0)))).alias("mention"))
     split = persons.select(*_DOC, _gender(F.col("mention")).alias("g"), F.filter(F.transform(F.split(F.regexp_replace("mention", f"^{_TITLES}", ""), CUT), _word), lambda w: w.rlike(r"^\p{Lu}")).alias("w"))
-    full = F.filter("w", lambda w: F.length(w) > 1)
-    role = lambda w: F.when(F.length(w) == 1, "i").when(w == F.get(full, F.size(full) - 1), "s").otherwise(F.col("g"))
-    word = split.select(*_DOC, F.explode(F.transform("w", lambda w: F.struct(w.alias("canonical"), role(w).alias("role")))).alias("x"))
-    kinds = materialise(word.select(*_DOC, F.col("x.canonical").alias("canonical"), F.concat(F.lit("name:"), F.col("x.role"), F.lit(":"), _script(F.col("x.canonical"))).alias("kind"))
+    # The surname is found once a name, before its words become rows.
+    surname = F.element_at(F.filter("w", lambda w: F.length(w) > 1), -1)
+    word = split.where(F.size("w") > 0).withColumn("last", F.when(F.exists("w", lambda w: F.length(w) > 1), surname)).select(*_DOC, "g", "last", F.explode("w").alias("canonical"))
+    role = F.when(F.length("canonical") == 1, "i").when(F.col("canonical") == F.col("last"), "s").otherwise(F.col("g"))
+    kinds = materialise(word.select(*_DOC, "canonical", F.concat(F.lit("name:"), role, F.lit(":"), _script(F.col("canonical"))).alias("kind"))
                         .groupBy(*_DOC, "canonical").agg(F.min("kind").alias("kind")), "name-words")
     quoted = F.concat(F.lit(r"\Q"), F.col("canonical"), F.lit(r"\E"))
     names = materialise(kinds.groupBy(*_DOC).agg(_names(F.array_sort(F.collect_set(F.when(F.length("canonical") > 1, quoted))), F.array_sort(F.collect_set(F.when(F.length("canonical") == 1, quoted)))).alias("names")), "name-patterns")
@@ -260,8 +264,11 @@ def find_mentions(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, D
     return materialise(_same_doc(plain, some.select(*_DOC), "left_anti").union(named).distinct(), "mentions"), names, kinds
 
 
-def replace_mentions(docs: DataFrame, key: str = DEFAULT_KEY, doc_id: str = "doc_id", text: str = "text", count: str | None = None) -> DataFrame:
-    """``docs`` with surrogates in ``text``; ``count`` names an added column with the number of mentions."""
+def replace_mentions(docs: DataFrame, key: str | None = None, doc_id: str = "doc_id", text: str = "text", count: str | None = None) -> DataFrame:
+    """``docs`` with surrogates in ``text``; ``count`` names an added column with the number of mentions.
+    ``key`` is what surrogates follow from: the session's setting if none is given, else a new
+    random one, so that nobody can look surrogates up (and no two calls agree on them)."""
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
     mentions, names, kinds = find_mentions(docs, doc_id, text)
     typed = mentions.withColumn("kind", _kind(F.col("mention")))
     # Name mentions: every word that the document has as a name, with or without a title.
