@@ -36,7 +36,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(
         f"local[{cpus}]", app="tidemark-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)),
-        extra={"tidemark.feed.spread": str(cpus), "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+        extra={"spark.tidemark.feed.spread": str(cpus), "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     names = sys.argv[1:] or HEADLINE
     errors: dict[str, str] = {}
 

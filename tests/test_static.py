@@ -5,8 +5,10 @@ import re
 
 ROOT = pathlib.Path(__file__).resolve().parents[1] / "tidemark"
 # The only places that bring rows to the driver: the one-row-per-test quality results,
-# the pandas read of report-sized tables and the one-row-per-column inspection.
-ALLOWED_COLLECT = {("operators/quality.py", "collect_results"), ("sources/tables.py", "to_pandas_bounded"), ("cli.py", "main")}
+# the pandas read of report-sized tables, the one-row-per-column inspection, and the numbers of
+# the key-hash partitions that a batch touches (at most the table's fixed partition count).
+ALLOWED_COLLECT = {("operators/quality.py", "collect_results"), ("sources/tables.py", "to_pandas_bounded"), ("cli.py", "main"),
+                   ("operators/partition_merge.py", "touched"), ("plans/gold_delta.py", "_add")}
 
 
 def _functions_with(pattern: str):

@@ -160,8 +160,21 @@ ORACLE: dict[str, str] = {
     "feed_peek": f"with feed_b as ({FEED_B}) select * from feed_b order by seq limit 10",
     "bronze_ingest": FEED_B,
     "bronze_restart": FEED_B,
+    "rejected_events": f"""with feed_a as ({FEED_A}), sent as (
+      select *, case when seq % 11 = 0 then 'malformed' when seq % 13 = 0 then 'empty' end as lost,
+             seq % 11 <> 0 and seq % 13 <> 0 and seq % 17 = 0 as as_text from feed_a),
+    judged as (select tx_id as key, coalesce(lost, concat_ws(',',
+        case when as_text then 'type:cantidad' end, case when precio is null then 'missing:precio' end,
+        case when not as_text and cantidad <= 0 then 'range:cantidad' end, case when precio <= 0 then 'range:precio' end,
+        case when tipo_operacion not in ('INSERT', 'UPDATE', 'DELETE') then 'operation' end)) as reasons from sent)
+    select key, reasons from judged where reasons <> ''""",
+    "ingest_progress": f"""with feed_b as ({FEED_B}), parts as (
+      select case when "timestamp" < '2024-01-11' then 0 when "timestamp" < '2024-01-21' then 1 else 2 end as part, tx_id from feed_b)
+    select row_number() over (order by part) - 1 as batch_id, count(*) as captured_rows,
+           count(*) filter (where tx_id is null) as rows_without_key from parts group by part""",
     "clean_events": f"{WITH_A} select * from a_clean",
     "dedup_latest": f"{WITH_A} select * from a_dedup",
+    "dedup_stream": f"{WITH_A} select * from a_dedup",
     "silver_initial": f"{WITH_A} select * from a_silver",
     "silver_merge": f"{WITH_A} select * from a_silver",
     "silver_merge_pruned": f"{WITH_A} select * from a_silver",
@@ -188,6 +201,12 @@ from a_stg""",
     "gold_daily": f"{WITH_A} {GOLD_DAILY_A}",
     "gold_daily_distinct": f"""{WITH_A}, x as (select *, try_cast("timestamp" as timestamp) as venta_timestamp from a_clean)
 {_time_kpis("cast(venta_timestamp as date)", "fecha", "x")}""",
+    "distinct_rollup": f"{WITH_B} " + _union([
+        f"select '{k}' as level, cast(date_trunc('{k}', try_cast(\"timestamp\" as timestamp)) as timestamp) as period, "
+        f"count(distinct cliente_id) as clientes_unicos from b_clean group by 2" for k in ("hour", "day", "month")]),
+    "bound_relation": f"{WITH_A} " + _union([
+        f"select '{k}' as bound_by, producto, cast(sum(cantidad) as bigint) as unidades_vendidas from a_silver "
+        f"where cantidad >= 10 group by producto" for k in ("path", "view", "table")]),
     "gold_incremental": f"{WITH_A} {GOLD_DAILY_A}",
     "staging_views": f"{WITH_A} select * from a_stg",
     "missing_table_noop": """select 'bronze_missing' as "case", 'no_bronze' as status, false as silver_exists
@@ -208,6 +227,8 @@ from t""",
     "units_by_product": f"{WITH_A} select producto, cast(sum(cantidad) as bigint) as unidades_vendidas "
                         "from a_silver group by producto",
     "latest_events": f"""with feed_b as ({FEED_B}) select * from feed_b order by "timestamp" desc, seq desc limit 20""",
+    "latest_events_pruned": f"""with feed_b as ({FEED_B}) select * from feed_b order by "timestamp" desc, seq desc limit 20
+""",
     "silver_preview": f"{WITH_A} select * from a_silver order by tx_id limit 20",
     "layer_counts": f"""{WITH_A}, g as ({GOLD_DAILY_A})
 select 'bronze' as layer, count(*) as row_count from feed_a

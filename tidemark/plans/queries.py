@@ -16,16 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
-from ..operators import partition_merge
+from ..operators import bitmaps, partition_merge
 from ..operators.inspect import describe
 from ..operators.refine import clean, current_rows, latest_per_key, merge_action_counts
 from ..session import ensure_session, scratch_path
 from ..sources import feeds
+from ..sources.binding import bound_sql
 from ..sources.messages import decode_messages, peek, read_messages, to_messages, write_messages
+from ..sources.newest import latest_events_pruned
 from ..sources.offsets import offset_report, with_offsets
+from ..sources.rejects import rejected, with_reasons
 from ..sources.tables import export_table, history, publish, read_table, save_as_table, table_exists
 from ..spec import BRONZE_TECHNICAL, EVENT_COLUMNS, FEED_SCHEMA, SALES_SEQ
-from ..streaming.ingest import ingest_available
+from ..streaming.ingest import EVENT_DAY, ingest_available
+from ..streaming.latest_stream import latest_table, run_latest
+from ..streaming.progress import read_progress
 from ..streaming.refine_stream import refine_incremental, silver_view
 from . import gold, gold_delta
 from .medallion import build_gold, quality, refine, refine_frame, run_medallion
@@ -35,6 +40,7 @@ SPEC = SALES_SEQ
 MERGE_SPLIT = "1998-06-01"      # split point of the two-batch merge queries
 LATE_SPLIT = "1998-11-20"       # and of the third, small batch
 TOPIC_PARTITIONS = 8
+DAMAGE_CUT, DAMAGE_BLANK, DAMAGE_TEXT = 11, 13, 17     # seq moduli of payloads damaged on the way
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -107,6 +113,36 @@ def q_bronze_restart(spark, sf):
     return spark.read.parquet(bronze).drop(*BRONZE_TECHNICAL)
 
 
+def _damaged(messages: DataFrame) -> DataFrame:
+    """Messages some of whose payloads were cut off, lost or hold a text where a number belongs."""
+    value = F.col("value").cast("string")
+    seq = F.get_json_object(value, "$.seq").cast("bigint")
+    payload = (F.when(seq % DAMAGE_CUT == 0, F.expr("left(cast(value as string), length(cast(value as string)) - 1)"))
+                .when(seq % DAMAGE_BLANK == 0, F.lit(" "))
+                .when(seq % DAMAGE_TEXT == 0, F.regexp_replace(value, '"cantidad":([0-9]+)', '"cantidad":"$1 units"'))
+                .otherwise(value))
+    return messages.withColumn("value", payload.cast("binary"))
+
+
+def q_rejected_events(spark, sf):
+    """The reject table of feed A's messages, a part of them damaged: key and reasons of each
+    message that cleaning would drop without a trace."""
+    bad = rejected(with_reasons(_damaged(to_messages(_feed_a(spark, sf))), SPEC))
+    return bad.select("key", F.concat_ws(",", "reasons").alias("reasons"))
+
+
+def q_ingest_progress(spark, sf):
+    """Feed B landed and captured in three parts of its days; the capture's batch-progress table."""
+    root = scratch_path(spark, "lake")
+    feed, at = _feed_b(spark, sf), F.col("timestamp")
+    parts = [feed.where(at < "2024-01-11"), feed.where((at >= "2024-01-11") & (at < "2024-01-21")), feed.where((at >= "2024-01-21") | at.isNull())]
+    for i, part in enumerate(parts):
+        write_messages(to_messages(part), f"{root}/topic/part={i}")
+        ingest_available(spark, f"{root}/bronze", f"{root}/ckpt", "parquet", f"{root}/topic/*", schema=FEED_SCHEMA,
+                         progress_path=f"{root}/progress")
+    return read_progress(spark, f"{root}/progress")
+
+
 # ---- refine ------------------------------------------------------------------------
 
 def q_clean_events(spark, sf):
@@ -119,6 +155,17 @@ def q_dedup_latest(spark, sf):
     return latest_per_key(clean(_feed_a(spark, sf), SPEC), SPEC)
 
 
+def q_dedup_stream(spark, sf):
+    """Latest valid event per key of feed A from a state store: the stream runs over the early
+    events, stops, and goes on from its checkpoint with the late ones."""
+    first, second = _split(_feed_a(spark, sf))
+    root = scratch_path(spark, "stream")
+    for part in (second, first):        # late events first: arrival order doesn't matter
+        part.write.mode("append").parquet(f"{root}/events")
+        run_latest(spark, f"{root}/events", f"{root}/changes", f"{root}/ckpt", SPEC)
+    return latest_table(spark, f"{root}/changes", SPEC)
+
+
 def q_silver_initial(spark, sf):
     """First-load Silver of feed A: latest events that are not deletes."""
     return _silver(_feed_a(spark, sf))
@@ -256,6 +303,36 @@ def q_gold_daily_distinct(spark, sf):
     return gold.daily(stg_silver(clean(_feed_a(spark, sf), SPEC)), key_unique=False)
 
 
+def q_distinct_rollup(spark, sf):
+    """Distinct customers of feed B's valid events per hour, day and month: hours are bitmaps,
+    days and months unions of them."""
+    events = clean(_feed_b(spark, sf), SPEC).select("cliente_id", F.to_timestamp("timestamp").alias("at"))
+    path = scratch_path(spark, "bitmaps")
+    numbers = bitmaps.number_values(events, "cliente_id")
+    bitmaps.period_bitmaps(events, F.date_trunc("hour", F.col("at")), "cliente_id", numbers).write.parquet(path)
+    hours = spark.read.parquet(path)
+    days = bitmaps.roll_up(hours, F.date_trunc("day", F.col("period")))
+    levels = {"hour": hours, "day": days, "month": bitmaps.roll_up(days, F.date_trunc("month", F.col("period")))}
+    out = [bitmaps.distinct_counts(b, "clientes_unicos").withColumn("level", F.lit(k)) for k, b in levels.items()]
+    return _ntz(out[0].unionByName(out[1]).unionByName(out[2]), "period")
+
+
+BOUND_SALES = """select :bound_by as bound_by, producto, cast(sum(cantidad) as bigint) as unidades_vendidas
+from identifier(:sales) where cantidad >= :least group by producto"""
+
+
+def q_bound_relation(spark, sf):
+    """One SQL text over Silver bound as a storage path, a temporary view and a catalog table."""
+    path, token = scratch_path(spark, "bound"), scratch_path(spark, "t").rsplit("-", 1)[1]
+    _silver(_feed_a(spark, sf)).write.parquet(path)
+    view, table = f"bound_view_{token}", f"bound_table_{token}"
+    spark.read.parquet(path).createOrReplaceTempView(view)
+    save_as_table(spark.read.parquet(path), table, path=f"{scratch_path(spark, 'warehouse')}/{table}")
+    ways = {"path": path, "view": view, "table": table}
+    out = [bound_sql(spark, BOUND_SALES, {"sales": rel}, {"bound_by": how, "least": 10}) for how, rel in ways.items()]
+    return out[0].union(out[1]).union(out[2])
+
+
 def q_gold_incremental(spark, sf):
     """Daily Gold built from the path of a latest-event state (deletes included): the commit
     tells what the table holds, so deleted keys stay out."""
@@ -318,6 +395,13 @@ def q_latest_events(spark, sf):
     return gold.latest_events(_feed_b(spark, sf), 20, tiebreak=("seq",))
 
 
+def q_latest_events_pruned(spark, sf):
+    """The 20 newest events of feed B from a Bronze that the capture partitions by day."""
+    bronze = scratch_path(spark, "bronze")
+    ingest_available(spark, bronze, scratch_path(spark, "ckpt"), "parquet", _land_messages(spark, sf), schema=FEED_SCHEMA, by_day=True)
+    return latest_events_pruned(spark, bronze, EVENT_DAY, FEED_SCHEMA, 20, tiebreak=("seq",))
+
+
 def q_silver_preview(spark, sf):
     """The first 20 Silver rows by key."""
     return gold.preview(_silver(_feed_a(spark, sf)), 20, order_by=("tx_id",))
@@ -383,8 +467,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_peek": q_feed_peek,
     "bronze_ingest": q_bronze_ingest,
     "bronze_restart": q_bronze_restart,
+    "rejected_events": q_rejected_events,
+    "ingest_progress": q_ingest_progress,
     "clean_events": q_clean_events,
     "dedup_latest": q_dedup_latest,
+    "dedup_stream": q_dedup_stream,
     "silver_initial": q_silver_initial,
     "silver_merge": q_silver_merge,
     "silver_merge_pruned": q_silver_merge_pruned,
@@ -400,6 +487,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enriched_sales": q_enriched_sales,
     "gold_daily": q_gold_daily,
     "gold_daily_distinct": q_gold_daily_distinct,
+    "distinct_rollup": q_distinct_rollup,
+    "bound_relation": q_bound_relation,
     "gold_incremental": q_gold_incremental,
     "staging_views": q_staging_views,
     "gold_hourly": q_gold_hourly,
@@ -410,6 +499,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "headline_kpis": q_headline_kpis,
     "units_by_product": q_units_by_product,
     "latest_events": q_latest_events,
+    "latest_events_pruned": q_latest_events_pruned,
     "silver_preview": q_silver_preview,
     "layer_counts": q_layer_counts,
     "inspect_schema": q_inspect_schema,

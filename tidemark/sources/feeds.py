@@ -47,11 +47,11 @@ def read_fact(spark: SparkSession, sf_dir: str, name: str, columns: list[str], s
     """Scan the driving (fact) table of a feed.
 
     A table stored as a few unsplittable row groups runs the whole feed derivation in as few
-    tasks; ``spread`` (default: the session's ``tidemark.feed.spread``, unset = the scan as it
+    tasks; ``spread`` (default: the session's ``spark.tidemark.feed.spread``, unset = the scan as it
     is) deals its rows to that many partitions first.  It is never chosen by table size.
     """
     df = read_table(spark, sf_dir, name).select(*columns)
-    n = spread or spark.conf.get("tidemark.feed.spread", None)
+    n = spread or spark.conf.get("spark.tidemark.feed.spread", None)
     return df.repartition(int(n)) if n else df
 
 

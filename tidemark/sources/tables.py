@@ -340,11 +340,9 @@ class ResultTooLarge(ValueError):
     pass
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int | None = None):
-    """Collect a report-sized result (a Gold table, a top-N) to pandas.  With ``max_rows`` a
-    larger result raises after at most one row more has reached the driver; it runs once."""
-    if max_rows is None:
-        return df.toPandas()
+def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
+    """Collect a report-sized result (a Gold table, a top-N) to pandas.  A result of more than
+    ``max_rows`` raises after at most one row more has reached the driver; it runs once."""
     out = df.limit(max_rows + 1).toPandas()
     if len(out) > max_rows:
         raise ResultTooLarge(f"more than {max_rows} rows; aggregate or limit before collecting")
