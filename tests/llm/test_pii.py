@@ -124,3 +124,30 @@ def test_no_python_on_the_main_path():
     from tidemark.llm import decontaminate
     for module in (pii, decontaminate):
         assert not re.search(r"mapIn|udf\(|applyIn|\.rdd|toPandas", inspect.getsource(module))
+
+
+def test_only_numbers_that_fit_the_luhn_rule_are_cards(spark):
+    rng = __import__("random").Random(5)
+    numbers = ["".join(rng.choice("0123456789") for _ in range(16)) for _ in range(200)] + ["4111 1111 1111 1111", "4111-1111-1111-1112", "378282246310005", "378282246310006"]
+    docs = [(i, f"x {n} y {n}, a@b.de") for i, n in enumerate(numbers)] + [(None, numbers[0]), (1000, "1234567890123456 " * 30_000)]
+    got = pii.replace_mentions(spark.createDataFrame(docs, "doc_id long, text string"), "key", count="n").collect()
+    assert len(got) == len(docs)
+    for r in got:
+        if r.doc_id is None or r.doc_id == 1000:
+            assert r.n == 0 and r.text in {t for _, t in docs}
+            continue
+        n = numbers[r.doc_id]
+        m = re.fullmatch(r"x (.+) y (.+), [a-z]@example\.com", r.text)
+        assert m[1] == m[2] and (m[1] != n) == luhn(re.sub(r"\D", "", n)) and r.n == (3 if m[1] != n else 1), r.text
+        assert m[1] == n or luhn(re.sub(r"\D", "", m[1]))
+
+
+def test_numbers_after_a_keyword_are_secrets(spark):
+    odd = "1234567890123456"
+    assert not luhn(odd)
+    docs = [(1, f"token={odd} and again {odd}"), (2, f"order {odd}"), (3, 'x {"password": "hunter22", \'Secret\' : "Qwertz12"} "password" is a word')]
+    got = {r.doc_id: r for r in pii.replace_mentions(spark.createDataFrame(docs, "doc_id long, text string"), "key", count="n").collect()}
+    m = re.fullmatch(r"token=(\d{16}) and again (\d{16})", got[1].text)
+    assert m[1] == m[2] != odd and got[1].n == 2
+    assert got[2].text == docs[1][1] and got[2].n == 0
+    assert re.fullmatch(r"""x \{"password": "[a-z]{6}\d\d", 'Secret' : "[A-Z][a-z]{5}\d\d"\} "password" is a word""", got[3].text) and got[3].n == 2 and "hunter22" not in got[3].text

@@ -7,7 +7,9 @@ words and initials, with particles such as "von" that stay; its last word is the
 initials become short made-up names.  Each mention is one or more *units* (kind, canonical form);
 a name is a unit per word or initial.  Units of the whole corpus are written to a dictionary: the surrogate comes from a keyed SHA-512 of key, kind, attempt
 and canonical form, and keeps the form: digits stay digits, letters stay letters, cards
-satisfy the Luhn rule and IBANs their check digits, name words keep script and gender.
+satisfy the Luhn rule and IBANs their check digits, name words keep script and gender.  A number in
+a card's form that fails the Luhn rule is no card and stays, unless its document also has it as a
+secret (after a keyword).
 
 Collision check: a surrogate that two units share, or that is itself a unit of the corpus,
 is drawn again (next attempt) until there is none, so different units stay different.  Every
@@ -66,11 +68,14 @@ _WORD = rf"(?:(?:{'|'.join(PARTICLES)}|\p{{Lu}}) )*+(?!(?:{_TITLE})\.? \p{{Lu}})
 PERSON = rf"{_BEFORE}{_TITLES}{_WORD}(?:(?: |(?<=\.)-?){_WORD})*+"
 #: Where a name is cut into words; a word's separator is its first character, if that isn't a letter.
 CUT = r"(?= )|(?<=\p{Lu}\.)(?=-?\p{Lu})"
+#: What follows a keyword, which may be quoted, and a sign.
+SECRET = (r"(?<=[=:\"'\s])(?=[A-Za-z0-9_/+-]{6})(?=[_/+-]*+[A-Za-z0-9])(?<=[=:]\s{0,3}[\"']{0,1})"
+          r"(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[\"']{0,1}\s{0,3}[=:]\s{0,3}[\"']{0,1})[A-Za-z0-9_/+-]++")
 #: Kind and pattern, in the order in which they are tried at a place.
 PATTERNS = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,10}[A-Za-z]{2,24}+(?![A-Za-z0-9])"),
     ("access_key", rf"{_BEFORE}AKIA[0-9A-Z]{{16}}{_AFTER}"),
-    ("secret", r"(?<=[=:\"'\s])(?=[A-Za-z0-9_/+-]{6})(?=[_/+-]*+[A-Za-z0-9])(?<=[=:]\s{0,3}[\"']{0,1})(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})[A-Za-z0-9_/+-]++"),
+    ("secret", SECRET),
     ("secret", rf"{_BEFORE}[0-9A-Fa-f]{{32,}}+{_AFTER}"),
     ("iban", rf"{_BEFORE}[A-Z]{{2}}[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{3,7}}(?: ?[0-9A-Z]{{1,3}})?{_AFTER}"),
     ("card", rf"{_BEFORE}[0-9]{{4}}([ -]?)[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{4}}{_AFTER}"),
@@ -264,6 +269,23 @@ def find_mentions(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, D
     return materialise(_same_doc(plain, some.select(*_DOC), "left_anti").union(named).distinct(), "mentions"), names, kinds
 
 
+def _cards(mentions: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The mentions without numbers that only look like cards, and those (_doc, _hash, i, new, real),
+    which stand for themselves.  Of a number that its document also has after a keyword, every
+    occurrence there is a secret."""
+    doubt = (F.col("kind") == "card") & ~F.call_function("luhn_check", F.col("canonical"))
+    odd = materialise(mentions.where(doubt).select(*_DOC, "i", "mention"), "no-cards")
+    told = (_same_doc(texts, _small(odd.select(*_DOC).distinct()), "left_semi")
+            .select(*_DOC, F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(SECRET), F.lit(0)))).alias("said")))
+    told = _small(materialise(_same_doc(odd, told, "inner").where("mention = said").select(*_DOC, "i").distinct(), "secret-numbers"))
+    keys = told.toDF("_doc2", "_hash2", "i2")
+    same = F.col("_doc").eqNullSafe(F.col("_doc2")) & (F.col("_hash") == F.col("_hash2")) & (F.col("i") == F.col("i2"))
+    secret = odd.join(keys, same, "left_semi").select(*_DOC, "i", "mention", F.lit("secret").alias("kind"), F.col("mention").alias("canonical"))
+    left = odd.join(keys, same, "left_anti").select(*_DOC, "i", F.col("mention").alias("new"), F.lit(False).alias("real"))
+    sure = mentions.where(~doubt).select(*_DOC, "i", "mention", "kind", "canonical")
+    return sure.unionByName(secret), left
+
+
 def replace_mentions(docs: DataFrame, key: str | None = None, doc_id: str = "doc_id", text: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text``; ``count`` names an added column with the number of mentions.
     ``key`` is what surrogates follow from: the session's setting if none is given, else a new
@@ -281,14 +303,15 @@ def replace_mentions(docs: DataFrame, key: str | None = None, doc_id: str = "doc
     m2 = mixed.toDF("_doc2", "_hash2", "i2", "is_name")
     other = (typed.join(_small(m2), F.col("_doc").eqNullSafe(F.col("_doc2")) & (F.col("_hash") == F.col("_hash2")) & (F.col("i") == F.col("i2")), "left_anti")
              .where("kind != 'person'").withColumn("canonical", _canonical(F.col("kind"), F.col("mention"))))
+    other, left = _cards(other, _texts(docs, doc_id, text))
     table = dictionary(other.select("kind", "canonical").union(named.where("kind is not null").select("kind", "canonical")), key)
     small = _small(table)
-    done = other.join(small, ["kind", "canonical"]).select(*_DOC, "i", _rendered(F.col("kind"), F.col("mention"), F.col("canonical"), F.col("surrogate")).alias("new"))
+    done = other.join(small, ["kind", "canonical"]).select(*_DOC, "i", _rendered(F.col("kind"), F.col("mention"), F.col("canonical"), F.col("surrogate")).alias("new"), F.lit(True).alias("real"))
     # Separators and the dots of initials stay.
     piece = F.when(F.col("surrogate").isNull(), F.col("piece")).otherwise(F.concat(F.regexp_extract("piece", "^[ -]?", 0), "surrogate", F.when(F.col("piece").endswith(".") & ~F.col("word").endswith("."), ".").otherwise("")))
     done_names = (named.join(small, ["kind", "canonical"], "left").groupBy(*_DOC, "i")
-                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", piece.alias("w")))), lambda x: x["w"]), "").alias("new"), F.max(F.col("kind").isNotNull()).alias("any")).where("any").drop("any"))
-    subs = materialise(done.union(done_names).groupBy(*_DOC).agg(F.array_sort(F.collect_list(F.struct("i", "new"))).alias("subs")), "replacements")
+                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", piece.alias("w")))), lambda x: x["w"]), "").alias("new"), F.max(F.col("kind").isNotNull()).alias("real")).where("real"))
+    subs = materialise(done.union(done_names).union(left).groupBy(*_DOC).agg(F.array_sort(F.collect_list(F.struct("i", "new", "real"))).alias("subs")), "replacements")
     per = _same_doc(subs, _small(names), "left") if not names.isEmpty() else subs.withColumn("names", F.lit(None).cast("string"))
     out_names = docs.columns
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in out_names]).alias("_row"), F.col(doc_id).alias("_doc"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
@@ -300,4 +323,4 @@ def replace_mentions(docs: DataFrame, key: str | None = None, doc_id: str = "doc
     plain = stitched(F.lit(PATTERN))
     new = F.when(F.col("subs").isNull(), F.col("_text")).when(F.col("names").isNull(), plain).otherwise(stitched(F.concat(F.lit(PATTERN + "|"), F.col("names"))))
     cols = [new.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in out_names]
-    return joined.select(*cols, *([F.coalesce(F.size("subs"), F.lit(0)).cast("long").alias(count)] if count else []))
+    return joined.select(*cols, *([F.coalesce(F.size(F.filter("subs", lambda x: x["real"])), F.lit(0)).cast("long").alias(count)] if count else []))
