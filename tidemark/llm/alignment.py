@@ -25,6 +25,7 @@ documents of their own.  An empty table has no rows.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import itertools
@@ -314,6 +315,7 @@ def _spills(src: DataFrame, payload, radices: int, schema: T.StructType) -> Data
     last = len(src.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.set_threshold(100_000, 50, 100)       # the memo's many small objects are in no cycles
         aligner = per_worker("aligner", payload.value, Aligner)
         spill = _Spill(radices, aligner.width)
 
