@@ -59,3 +59,35 @@ def test_precomputed_counts_replace_a_scan(spark):
     res = {(r.column_name, r.test): (r.failures, r.status)
            for r in dq.run_suite({"m": df}, checks, {("m", "precio", "not_null"): 7}).collect()}
     assert res == {("precio", "not_null"): (7, "warn"), ("tx_id", "unique"): (0, "pass")}
+
+
+def test_one_pass_equals_the_tests_one_by_one(spark):
+    """Nulls, repeats, zeros of either sign, instants and bytes, with and without a stored key."""
+    rows = [("a", 0.0, 1, b"x", "p"), ("a", -0.0, None, b"x", "q"), ("b", None, 3, b"y", None), (None, 2.5, 3, None, "q"),
+            (None, 2.5, 4, b"z", "r"), ("c", float("nan"), 5, b"w", "p"), ("c", float("nan"), 6, b"v", "p"), ("c", 7.0, 7, b"u", "s")]
+    df = spark.createDataFrame(rows, "k string, d double, i int, b binary, s string").selectExpr("*", "timestamp_seconds(i) AS at", "array(i) AS many")
+    names = df.columns
+    checks = [dq.Check("m", c, t) for c in names for t in ("not_null", "unique")] + [dq.Check("m", "s", "accepted_values", values=("p",)), dq.Check("m", "i", "accepted_values", values=("3", "4"))]
+    wanted = {(r.column_name, "not_null"): r.failures for r in dq.not_null_failures(df, names).collect()}
+    wanted |= {(c, "unique"): dq.unique_failures(df, c).first().failures for c in names}
+    wanted |= {("s", "accepted_values"): 3, ("i", "accepted_values"): 4}
+    for stored in (None, {"m": "k"}, {"m": "i"}):
+        for part, empty in ((df, False), (df.limit(0), True)):
+            got = {(r.column_name, r.test): r.failures for r in dq.run_suite({"m": part}, checks, stored_by=stored).collect()}
+            assert got == (dict.fromkeys(wanted, 0) if empty else wanted)
+
+
+def test_each_model_is_read_once_and_stored_keys_stay(spark, tmp_lake):
+    rows = [ev(f"k{i % 40}", "INSERT" if i % 9 else "DELETE", day(1 + i % 20)) for i in range(200)]
+    spark.sql("CREATE DATABASE IF NOT EXISTS dq_once")
+    frame(spark, rows).write.mode("overwrite").bucketBy(4, "tx_id").sortBy("tx_id").option("path", f"{tmp_lake}/dq_once").saveAsTable("dq_once.m")
+    try:
+        checks = [dq.Check("m", c, "not_null") for c in ("tx_id", "precio")] + [dq.Check("m", "tx_id", "unique"), dq.Check("m", "tipo_operacion", "accepted_values", values=("INSERT",))]
+        res = dq.run_suite({"m": spark.table("dq_once.m")}, checks, stored_by={"m": "tx_id"})
+        plan = res._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1
+        assert "hashpartitioning(_k" not in plan and plan.count("hashpartitioning(_t") == 1
+        assert {(r.column_name, r.test): r.failures for r in res.collect()} == {("tx_id", "not_null"): 0, ("precio", "not_null"): 0, ("tx_id", "unique"): 40, ("tipo_operacion", "accepted_values"): 1}
+    finally:
+        spark.sql("DROP TABLE dq_once.m")
+        spark.sql("DROP DATABASE dq_once")

@@ -2,12 +2,16 @@
 
 Failure counts follow the usual column-test definitions:
 
-* ``not_null(col)`` — rows where the column is null.  All not-null tests of one model are
-  answered by a single aggregation pass.
+* ``not_null(col)`` — rows where the column is null.
 * ``unique(col)`` — distinct non-null values that occur more than once (a partial +
   final count per value, so a hot value is pre-aggregated before the shuffle).
 * ``accepted_values(col, values)`` — distinct non-null values outside the list.
 
+A suite reads each model once: every row is turned into the (test, value) pairs that its tests
+have to count (a null, a value that isn't accepted, a value that has to be unique), the pairs are
+counted, and one row of failures follows.  A ``unique`` test of the column that a model is stored
+by counts its pairs bucket by bucket, so that no key is shuffled.
+
 A suite result has one row per test ``(model, column_name, test, severity, failures,
 status)`` with status ``pass`` / ``warn`` / ``error``; ``gate`` raises when an
 error-severity test fails.  Nothing is collected except the one-row-per-test result.
@@ -20,6 +24,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ERROR, WARN = "error", "warn"
 RESULT_SCHEMA = "model string, column_name string, test string, severity string, failures bigint, status string"
@@ -62,33 +67,70 @@ def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _suite_sql(view: str, model: str, checks: list[Check]) -> list[str]:
-    """SQL branches ``(model, column_name, test, severity, failures)`` for one model."""
-    parts = []
-    nn = [c for c in checks if c.test == "not_null"]
-    if nn:
-        counts = ", ".join(f"count_if({_ident(c.column)} IS NULL) AS f{i}" for i, c in enumerate(nn))
-        rows = ", ".join(f"{_lit(c.column)}, {_lit(c.severity)}, f{i}" for i, c in enumerate(nn))
-        parts.append(f"SELECT {_lit(model)} AS model, column_name, 'not_null' AS test, severity, "
-                     f"CAST(failures AS BIGINT) AS failures FROM (SELECT stack({len(nn)}, {rows}) "
-                     f"AS (column_name, severity, failures) FROM (SELECT {counts} FROM {view}))")
+def _pair_value(column: str, kind: T.DataType) -> str | None:
+    """The column as text that is equal exactly where its values group together; None for types
+    that have no such text here."""
+    if isinstance(kind, T.StringType):
+        return column
+    if isinstance(kind, T.TimestampType):
+        return f"CAST(unix_micros({column}) AS STRING)"
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return f"CAST({column} + 0.0 AS STRING)"             # -0.0 and 0.0 are one value
+    if isinstance(kind, T.BinaryType):
+        return f"hex({column})"
+    return f"CAST({column} AS STRING)" if isinstance(kind, T.AtomicType) else None
+
+
+def _unique_sql(view: str, model: str, c: Check) -> str:
+    """A ``unique`` test on its own, for values that aren't plain."""
+    col = _ident(c.column)
+    return (f"SELECT {_lit(model)} AS model, {_lit(c.column)} AS column_name, 'unique' AS test, {_lit(c.severity)} AS severity, "
+            f"count(*) AS failures FROM (SELECT {col} FROM {view} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)")
+
+
+def _suite_sql(view: str, schema: T.StructType, model: str, checks: list[Check], stored_by: str | None = None) -> list[str]:
+    """SQL branches ``(model, column_name, test, severity, failures)`` for one model: one that
+    counts the (test, value) pairs of all its tests, and one for each test that has no such pairs."""
+    kinds = {f.name.lower(): f.dataType for f in schema}
+    parts, pairs, failures, rows = [], [], [], []
     for c in checks:
-        col = _ident(c.column)
-        head = (f"SELECT {_lit(model)} AS model, {_lit(c.column)} AS column_name, {_lit(c.test)} AS test, "
-                f"{_lit(c.severity)} AS severity, ")
-        if c.test == "unique":
-            parts.append(head + f"count(*) AS failures FROM (SELECT {col} FROM {view} WHERE {col} IS NOT NULL "
-                                f"GROUP BY {col} HAVING count(*) > 1)")
+        col, i, none = _ident(c.column), len(rows), "CAST(NULL AS STRING)"
+        if c.test == "not_null":
+            when, value, count = f"{col} IS NULL", none, f"coalesce(sum(if(_t = {i}, _n, 0)), 0)"
         elif c.test == "accepted_values":
             values = ", ".join(_lit(v) for v in c.values)
-            parts.append(head + f"count(DISTINCT {col}) AS failures FROM {view} "
-                                f"WHERE {col} IS NOT NULL AND {col} NOT IN ({values})")
-        elif c.test != "not_null":
+            # Any text does, as the values are told apart by it alone: plain columns only.
+            when, value, count = f"{col} IS NOT NULL AND {col} NOT IN ({values})", _pair_value(col, kinds[c.column.lower()]), f"count_if(_t = {i})"
+        elif c.test == "unique" and c.column == stored_by:
+            when, value, count = f"{col} IS NOT NULL", none, f"coalesce(sum(if(_t = {i}, _keys, 0)), 0)"
+        elif c.test == "unique":
+            when, value, count = f"{col} IS NOT NULL", _pair_value(col, kinds[c.column.lower()]), f"count_if(_t = {i} AND _n > 1)"
+            if value is None:
+                parts.append(_unique_sql(view, model, c))
+                continue
+        else:
             raise ValueError(f"unknown test {c.test!r}")
+        if value is None:
+            raise ValueError(f"{c.test} of {model}.{c.column}: not a plain column")
+        pairs.append(f"if({when}, {i}, NULL), {value}")
+        failures.append(f"{count} AS f{i}")
+        rows.append(f"{_lit(c.column)}, {_lit(c.test)}, {_lit(c.severity)}, f{i}")
+    if rows:
+        key = f"{_ident(stored_by)} AS _k, " if stored_by else ""
+        found = f"SELECT {key}stack({len(pairs)}, {', '.join(pairs)}) AS (_t, _v) FROM {view}"
+        if stored_by:
+            by_key = f"SELECT _k, _t, _v, count(*) AS _n FROM ({found}) WHERE _t IS NOT NULL GROUP BY _k, _t, _v"
+            counted = f"SELECT _t, _v, sum(_n) AS _n, count_if(_n > 1) AS _keys FROM ({by_key}) GROUP BY _t, _v"
+        else:
+            counted = f"SELECT _t, _v, count(*) AS _n FROM ({found}) WHERE _t IS NOT NULL GROUP BY _t, _v"
+        parts.append(f"SELECT {_lit(model)} AS model, column_name, test, severity, CAST(failures AS BIGINT) AS failures "
+                     f"FROM (SELECT stack({len(rows)}, {', '.join(rows)}) AS (column_name, test, severity, failures) "
+                     f"FROM (SELECT {', '.join(failures)} FROM ({counted})))")
     return parts
 
 
-def run_suite(models: dict[str, DataFrame], checks: list[Check], precomputed: dict | None = None) -> DataFrame:
+def run_suite(models: dict[str, DataFrame], checks: list[Check], precomputed: dict | None = None,
+              stored_by: dict[str, str] | None = None) -> DataFrame:
     """Evaluate ``checks`` against ``models`` (name → DataFrame) into one result frame.
 
     The tests are composed into one SQL statement over temporary views of the models
@@ -96,7 +138,8 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check], precomputed: di
     thousands of Python→JVM calls).  ``precomputed`` maps ``(model, column, test)`` to a
     failure count already measured by an earlier job over the same data (e.g. null
     counts observed while refining); those checks are reported from it instead of
-    scanning the model again.
+    scanning the model again.  ``stored_by`` names the column that a model is bucketed by; its
+    ``unique`` test is then counted in place (any other column gives the same result by a shuffle).
     """
     pre = precomputed or {}
     spark = next(iter(models.values())).sparkSession if models else None
@@ -119,7 +162,7 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check], precomputed: di
             view = f"_dq_{tag}_{i}"
             models[model].createOrReplaceTempView(view)
             views.append(view)
-            parts.extend(_suite_sql(view, model, cs))
+            parts.extend(_suite_sql(view, models[model].schema, model, cs, (stored_by or {}).get(model)))
         if not parts:
             return spark.createDataFrame([], RESULT_SCHEMA)
         union = "\nUNION ALL\n".join(parts)

@@ -127,7 +127,7 @@ BRONZE_MODEL = "stg_bronze_ventas"
 
 def quality(spark: SparkSession, bronze: DataFrame, silver: DataFrame, golds: dict[str, DataFrame]) -> DataFrame:
     models = {"stg_silver_ventas": stg_silver(silver), BRONZE_MODEL: stg_bronze(bronze), **golds}
-    return run_suite(models, medallion_checks())
+    return run_suite(models, medallion_checks(), stored_by={"stg_silver_ventas": SALES.key})
 
 
 def run_medallion(spark: SparkSession, bronze_path: str, silver_path: str, gold_root: str,
