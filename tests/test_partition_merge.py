@@ -3,6 +3,8 @@
 import os
 import random
 
+import pytest
+
 from helpers import day, ev, frame
 
 from tidemark.operators import partition_merge as pm
@@ -112,3 +114,46 @@ def test_a_lost_gold_write_is_made_up_for(spark, tmp_lake, monkeypatch):
     stg = stg_silver(pm.current(spark, tmp_lake, S))
     assert rows(gold_delta.read_gold(spark, tmp_lake, "gold_kpi_ventas")) == rows(gold.daily(stg, key_unique=True))
     assert rows(gold_delta.read_gold(spark, tmp_lake, "gold_kpi_producto")) == rows(gold.by_product(stg, key_unique=True))
+
+
+def _plans(monkeypatch, module):
+    """The plans of what ``module`` writes by ``replace_parts``, by path."""
+    write, plans = module.replace_parts, {}
+
+    def noted(df, path, parts):
+        plans[path] = df._jdf.queryExecution().executedPlan().toString()
+        write(df, path, parts)
+
+    monkeypatch.setattr(module, "replace_parts", noted)
+    return plans
+
+
+def test_the_state_is_shuffled_once(spark, tmp_lake, monkeypatch):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pm.merge_batch(frame(spark, [ev(f"k{i}", "INSERT", day(1), seq=i) for i in range(40)]), tmp_lake, 0, S, parts=5)
+        plans = _plans(monkeypatch, pm)
+        which = pm.merge_batch(frame(spark, [ev(f"k{i}", "UPDATE", day(2), seq=50 + i) for i in range(30)]), tmp_lake, 1, S)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plans[f"{tmp_lake}/state"].count("Exchange hashpartitioning") == 1
+    assert len(files(local(tmp_lake))) == len(which) == 5      # each partition in one task, thus one file
+
+
+def test_a_change_log_lost_after_the_merge_is_made_again(spark, tmp_lake):
+    pm.merge_batch(frame(spark, [ev(f"k{i}", "INSERT", day(1), seq=i) for i in range(6)]), tmp_lake, 0, S, parts=3)
+    batch = [ev("k1", "DELETE", day(2), seq=10), ev("k2", "UPDATE", day(2), precio=7.0, seq=11), ev("new", "INSERT", day(2), seq=12), ev("k3", "UPDATE", day(1), precio=9.0, seq=1)]
+    pm.merge_batch(frame(spark, batch), tmp_lake, 1, S)
+    log = rows(spark.read.parquet(f"{tmp_lake}/changes/batch=1"))
+    assert [r[:2] for r in log] == [(-1, "k1"), (-1, "k2"), (1, "k2"), (1, "new")]
+    os.remove(f"{local(tmp_lake)}/changes/batch=1/_SUCCESS")
+    pm.merge_batch(frame(spark, batch), tmp_lake, 1, S)
+    assert rows(spark.read.parquet(f"{tmp_lake}/changes/batch=1")) == log
+
+
+def test_a_table_dealt_by_another_hash_is_refused(spark, tmp_lake):
+    latest = frame(spark, [ev(f"k{i}", "INSERT", day(1)) for i in range(9)]).select(*pm.state_columns(S))
+    pm.replace_parts(latest.withColumn(pm.PART, pm.part_of("tx_id", 7) + 1), f"{tmp_lake}/state", 7)
+    with pytest.raises(ValueError):
+        pm.merge_batch(frame(spark, [ev("a", "INSERT", day(1))]), tmp_lake, 0, S)

@@ -1,20 +1,25 @@
 """Merge into a table partitioned by a key hash: a batch reads and writes only its keys' partitions.
 
 The table holds the latest event of every key, deletes included (tombstones), as plain Parquet
-under ``_parts=<n>/_part=<i>`` with ``_part`` a hash of the key.  One batch:
-
-1. clean, latest per key, hash; written once (the touched partitions are then known: at most n);
-2. full outer join of these with the same partitions of the table, newest wins; written aside;
-3. the change log of the batch: the live rows it takes away (sign -1) and puts in (+1);
-4. the touched partitions, replaced by Spark's dynamic partition overwrite.
-
-Nothing else is read or written.  As tombstones stay, a touched partition is never empty, so the
-overwrite always replaces it.  Replays are safe: step 2 gives the same table again, and a change
-log that was written whole is kept, since it is always written before the table changes.
-
-Both sides of the join are dealt by ``_part``, and so is the write: one file a partition and
-batch.  A partition is one task, so ``parts`` is to be chosen for the table's size (see
-``sizing.silver_buckets``); it is fixed when the table is made.
+under ``_parts=<n>/_part=<i>`` with ``_part`` Spark's own hash partition of the key.  One batch:
+
+1. clean, latest per key; written once, bucketed by the key (the touched partitions are then known:
+   at most n);
+2. full outer join of these with the same partitions of the table, newest wins; the result
+   replaces the touched partitions by Spark's dynamic partition overwrite.  A row that the
+   batch changed keeps its former image and the batch's number until it is written again;
+3. the change log of the batch, from these images: the live rows it takes away (sign -1) and
+   puts in (+1).
+
+Nothing else is read or written; the first batch goes from step 1 straight into the table.  As
+tombstones stay, a touched partition is never empty, so the overwrite always replaces it.
+Replays are safe: step 2 gives the same table and images again, and a change log that was written
+whole is kept.  Batches are to be merged in the order of their numbers.
+
+Both sides of the join are dealt by the key into as many tasks as there are partitions, so a task
+holds whole partitions and writes them as they are: the table's rows are shuffled once.  A
+partition is one task, so ``parts`` is to be chosen for the table's size (see
+``sizing.partitions_for``); it is fixed when the table is made.
 """
 
 from __future__ import annotations
@@ -23,24 +28,31 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from ..session import scratch_path
-from ..sources.tables import path_exists
+from ..session import scratch_path, shuffle_width
+from ..sources.tables import path_exists, publish, read_table
 from ..spec import SALES, ChangeSpec
 from .refine import clean, current_from_state, latest_per_key, state_columns
 
 PART, PARTS = "_part", "_parts"
+#: The row that a table's row replaced, and the batch that did it (null once a later batch has written the partition).
+OLD, BATCH = "_old", "_batch"
 
 
-def part_of(key: Column | str, parts: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+def part_of(key: Column | str, parts: int | Column) -> Column:
+    """The task that Spark's hash partitioning by ``key`` into ``parts`` gives a row to."""
+    return F.pmod(F.hash(key), parts if isinstance(parts, Column) else F.lit(parts)).cast("int")
 
 
-def stored_parts(spark: SparkSession, path: str) -> int | None:
+def stored_parts(spark: SparkSession, path: str, key: StructField) -> int | None:
     """Number of key-hash partitions of the table at ``path``, None if there is no table."""
     if not path_exists(spark, path):
         return None
-    row = spark.read.parquet(path).select(PARTS).limit(1).first()
+    schema = StructType([key, StructField(PARTS, IntegerType()), StructField(PART, IntegerType())])
+    row = read_parts(spark, path, None, schema).select(PARTS, PART, part_of(key.name, F.col(PARTS))).limit(1).first()
+    if row is not None and row[1] != row[2]:
+        raise ValueError(f"{path} was dealt by another hash of {key.name}")
     return None if row is None else int(row[0])
 
 
@@ -49,14 +61,15 @@ def touched(changes: DataFrame) -> list[int]:
     return sorted(r[0] for r in changes.select(PART).distinct().collect())
 
 
-def read_parts(spark: SparkSession, path: str, which: list[int] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_parts(spark: SparkSession, path: str, which: list[int] | None = None, schema: StructType | None = None) -> DataFrame:
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return df if which is None else df.where(F.col(PART).isin(which))
 
 
 def replace_parts(df: DataFrame, path: str, parts: int) -> None:
-    """Replace the partitions that ``df`` has rows of; all others stay as they are."""
-    (df.withColumn(PARTS, F.lit(parts)).repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the partitions that ``df`` has rows of; all others stay as they are.  Rows of one
+    partition are to lie in one task, for one file a partition."""
+    (df.withColumn(PARTS, F.lit(parts)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(PARTS, PART).parquet(path))
 
 
@@ -69,7 +82,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def _dealt_by_part(spark: SparkSession):
-    """Let a join on (partition, key) use inputs that are dealt by the partition alone."""
+    """Let a join on (partition, key) use inputs that are dealt by the key alone."""
     name = "spark.sql.requireAllClusterKeysForCoPartition"
     old = spark.conf.get(name)
     spark.conf.set(name, "false")
@@ -79,16 +92,20 @@ def _dealt_by_part(spark: SparkSession):
         spark.conf.set(name, old)
 
 
-def merge_images(state: DataFrame, latest: DataFrame, spec: ChangeSpec = SALES, width: int | None = None) -> DataFrame:
+def merge_images(state: DataFrame, latest: DataFrame, spec: ChangeSpec = SALES, width: int | None = None, dealt: bool = False) -> DataFrame:
     """Per key of either side ``_part``, its stored event ``old`` and the one to store, ``new``
-    (structs; ``old`` is null for a new key; they are equal if nothing changes)."""
-    cols = state_columns(spec)
+    (structs; ``old`` is null for a new key; they are equal if nothing changes), and what the state
+    has of ``_old`` and ``_batch``.  ``dealt``: ``latest`` lies in buckets by key already."""
+    cols, kept = state_columns(spec), [c for c in (OLD, BATCH) if c in state.columns]
     width = width or int(latest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    t = state.select(PART, F.col(spec.key).alias("_key"), F.struct(*cols).alias("old")).repartition(width, PART)
-    s = latest.select(PART, F.col(spec.key).alias("_key"), F.struct(*cols).alias("_in")).repartition(width, PART)
-    order = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in spec.order_by])
-    newer = F.col("old").isNull() | (order("_in") > order("old"))
-    return t.join(s, [PART, "_key"], "full_outer").select(PART, "old", F.when(F.col("_in").isNotNull() & newer, F.col("_in")).otherwise(F.col("old")).alias("new"))
+    t = state.select(F.col(PART).alias("_t"), *[F.col(c).alias(f"_t_{c}") for c in cols], *kept).repartition(width, f"_t_{spec.key}")
+    s = latest.select(F.col(PART).alias("_s"), *[F.col(c).alias(f"_s_{c}") for c in cols])
+    s = s if dealt else s.repartition(width, f"_s_{spec.key}")
+    side = lambda mark, names: F.struct(*[F.col(f"_{mark}_{c}").alias(c) for c in names])
+    both = t.join(s, (F.col("_t") == F.col("_s")) & (F.col(f"_t_{spec.key}") == F.col(f"_s_{spec.key}")), "full_outer")
+    newer = F.col("_s").isNotNull() & (F.col("_t").isNull() | (side("s", spec.order_by) > side("t", spec.order_by)))
+    return both.select(F.coalesce("_t", "_s").alias(PART), F.when(F.col("_t").isNotNull(), side("t", cols)).alias("old"),
+                       F.when(newer, side("s", cols)).otherwise(side("t", cols)).alias("new"), *kept)
 
 
 def change_log(images: DataFrame, spec: ChangeSpec = SALES) -> DataFrame:
@@ -104,18 +121,31 @@ def merge_batch(batch: DataFrame, root: str, batch_id: int, spec: ChangeSpec = S
     Returns the partitions that were replaced (none if the batch has no valid event)."""
     spark = batch.sparkSession
     path, log = f"{root.rstrip('/')}/state", f"{root.rstrip('/')}/changes/batch={batch_id}"
-    stored = stored_parts(spark, path)
+    stored = stored_parts(spark, path, batch.schema[spec.key])
     n = stored or parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    latest = staged(latest_per_key(clean(batch, spec), spec).select(*state_columns(spec)).withColumn(PART, part_of(spec.key, n)), "latest")
-    which = touched(latest)
-    if not which:
-        return []
-    state = read_parts(spark, path, which) if stored else latest.limit(0)
-    with _dealt_by_part(spark):
-        images = staged(merge_images(state, latest, spec), "images")
+    cols, mark = state_columns(spec), F.lit(batch_id).cast("bigint")
+    latest = latest_per_key(clean(batch, spec), spec).select(*cols).withColumn(PART, part_of(spec.key, n))
+    kept = StructType([*latest.select(*cols).schema, StructField(OLD, latest.select(*cols).schema), StructField(BATCH, LongType()), StructField(PARTS, IntegerType()), StructField(PART, IntegerType())])
+    with shuffle_width(spark, n):
+        if stored:
+            aside = scratch_path(spark, "latest")
+            publish(latest, aside, "WRITE", bucket_by=(n, spec.key))
+            latest = read_table(spark, aside)
+            which = touched(latest)
+            if not which:
+                return []
+            with _dealt_by_part(spark):
+                images = merge_images(read_parts(spark, path, which, kept), latest, spec, n, dealt=True)
+                changed, again = ~F.col("old").eqNullSafe(F.col("new")), F.col(BATCH) == mark
+                replace_parts(images.select("new.*", F.when(changed, F.col("old")).when(again, F.col(OLD)).alias(OLD), F.when(changed | again, mark).alias(BATCH), PART), path, n)
+        else:
+            replace_parts(latest.select(*cols, F.lit(None).cast(kept[OLD].dataType).alias(OLD), mark.alias(BATCH), PART), path, n)
+            which = touched(read_parts(spark, path, None, kept))
+            if not which:
+                return []
     if not path_exists(spark, f"{log}/_SUCCESS"):
-        change_log(images, spec).write.mode("overwrite").parquet(log)
-    replace_parts(images.select("new.*", PART), path, n)
+        done = read_parts(spark, path, which, kept).where(F.col(BATCH) == mark)
+        change_log(done.select(PART, F.col(OLD).alias("old"), F.struct(*cols).alias("new")), spec).write.mode("overwrite").parquet(log)
     return which
 
 

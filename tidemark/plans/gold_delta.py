@@ -42,7 +42,7 @@ def deltas(log: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
 def _add(spark: SparkSession, path: str, delta: DataFrame, grain: str, sums: list[str], batch_id: int, parts: int) -> tuple[DataFrame | None, int]:
     """Add the delta to the running sums at ``path``; the partitions that it changed, in full."""
     keys = [c for c in delta.columns if c not in sums]
-    stored = stored_parts(spark, path)
+    stored = stored_parts(spark, path, delta.schema[grain])
     n = stored or parts
     new = staged(delta.withColumn(PART, part_of(grain, n)), "delta")
     which = touched(new)
@@ -86,12 +86,12 @@ def apply_batch(spark: SparkSession, root: str, batch_id: int, parts: int | None
         if new is None:
             continue
         if name == "time":
-            replace_parts(_time_rows(new, "fecha", DAILY_COLUMNS), f"{root}/gold/gold_kpi_ventas", n)
+            replace_parts(_time_rows(new, "fecha", DAILY_COLUMNS).repartition(PART), f"{root}/gold/gold_kpi_ventas", n)
             # An hour lies in its day's partition.
-            replace_parts(_time_rows(new, "hora", HOURLY_COLUMNS), f"{root}/gold/gold_kpi_ventas_hora", n)
+            replace_parts(_time_rows(new, "hora", HOURLY_COLUMNS).repartition(PART), f"{root}/gold/gold_kpi_ventas_hora", n)
         else:
-            replace_parts(_product_rows(new), f"{root}/gold/gold_kpi_producto", n)
-        replace_parts(new, f"{root}/sums/{name}", n)
+            replace_parts(_product_rows(new).repartition(PART), f"{root}/gold/gold_kpi_producto", n)
+        replace_parts(new.repartition(PART), f"{root}/sums/{name}", n)
 
 
 def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -34,12 +34,14 @@ from ..streaming.progress import read_progress
 from ..streaming.refine_stream import refine_incremental, silver_view
 from . import gold, gold_delta
 from .medallion import build_gold, quality, refine, refine_frame, run_medallion
+from .sizing import partitions_for, path_bytes
 from .staging import enrich, register_views, stg_bronze, stg_silver
 
 SPEC = SALES_SEQ
 MERGE_SPLIT = "1998-06-01"      # split point of the two-batch merge queries
 LATE_SPLIT = "1998-11-20"       # and of the third, small batch
 TOPIC_PARTITIONS = 8
+MERGE_PART_BYTES = 8 << 20      # order lines (compressed) a key-hash partition of the pruned merge
 DAMAGE_CUT, DAMAGE_BLANK, DAMAGE_TEXT = 11, 13, 17     # seq moduli of payloads damaged on the way
 
 
@@ -55,6 +57,12 @@ def _feed_b(spark, sf):
     return feeds.change_feed_b(ensure_session(spark), sf)
 
 
+def _parts_a(spark, sf, target_bytes: int) -> int:
+    """Tasks for all of feed A, each with the events of so many bytes of order lines."""
+    size = path_bytes(spark, f"{sf.rstrip('/')}/lineitem.parquet")
+    return partitions_for(size, target_bytes, spark.sparkContext.defaultParallelism)
+
+
 def _silver(feed: DataFrame) -> DataFrame:
     return current_rows(latest_per_key(clean(feed, SPEC), SPEC), SPEC)
 
@@ -196,18 +204,18 @@ def _time_batches(feed: DataFrame) -> list[DataFrame]:
 def q_silver_merge_pruned(spark, sf):
     """Silver in key-hash partitions, three batches merged into it one by one; each reads and
     replaces only the partitions of its keys."""
-    root = scratch_path(spark, "lake")
+    root, parts = scratch_path(spark, "lake"), _parts_a(spark, sf, MERGE_PART_BYTES)
     for i, batch in enumerate(_time_batches(_feed_a(spark, sf))):
-        partition_merge.merge_batch(batch, root, i, SPEC)
+        partition_merge.merge_batch(batch, root, i, SPEC, parts)
     return partition_merge.current(spark, root, SPEC)
 
 
 def q_gold_delta(spark, sf):
     """Daily KPIs after three merged batches, each brought into Gold by its change log."""
-    root = scratch_path(spark, "lake")
+    root, parts = scratch_path(spark, "lake"), _parts_a(spark, sf, MERGE_PART_BYTES)
     for i, batch in enumerate(_time_batches(_feed_a(spark, sf))):
-        if partition_merge.merge_batch(batch, root, i, SPEC):
-            gold_delta.apply_batch(spark, root, i)
+        if partition_merge.merge_batch(batch, root, i, SPEC, parts):
+            gold_delta.apply_batch(spark, root, i, parts)
     return gold_delta.read_gold(spark, root, "gold_kpi_ventas").orderBy("fecha")
 
 
