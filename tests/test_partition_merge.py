@@ -157,3 +157,14 @@ def test_a_table_dealt_by_another_hash_is_refused(spark, tmp_lake):
     pm.replace_parts(latest.withColumn(pm.PART, pm.part_of("tx_id", 7) + 1), f"{tmp_lake}/state", 7)
     with pytest.raises(ValueError):
         pm.merge_batch(frame(spark, [ev("a", "INSERT", day(1))]), tmp_lake, 0, S)
+
+
+def test_sums_are_dealt_by_the_grain_in_one_shuffle(spark, tmp_lake, monkeypatch):
+    plans = _plans(monkeypatch, gold_delta)
+    for i in range(2):
+        pm.merge_batch(frame(spark, [ev(f"k{j}", "UPDATE", day(1 + i, j % 4), cliente=f"C{j % 3}", seq=40 * i + j) for j in range(20)]), tmp_lake, i, S, parts=4)
+        gold_delta.apply_batch(spark, tmp_lake, i, parts=4)
+    for name in ("time", "product"):
+        assert plans[f"{tmp_lake}/sums/{name}"].count("Exchange hashpartitioning") == 1, name
+    stg = stg_silver(pm.current(spark, tmp_lake, S))
+    assert rows(gold_delta.read_gold(spark, tmp_lake, "gold_kpi_ventas")) == rows(gold.daily(stg, key_unique=True))
