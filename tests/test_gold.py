@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from helpers import frame, ev
+from helpers import day, frame, ev
 
 from tidemark.functions.money import half_up_div, to_cents
 from tidemark.plans import gold
@@ -84,3 +84,13 @@ def test_gold_columns_are_the_fixed_schema(spark):
     assert gold.daily(stg).columns == gold.DAILY_COLUMNS
     assert gold.hourly(stg).columns == gold.HOURLY_COLUMNS
     assert gold.by_product(stg).columns == gold.PRODUCT_COLUMNS
+
+
+def test_distinct_counts_in_a_given_number_of_tasks(spark):
+    events = [ev(f"k{i % 7}" if i % 5 else None, "INSERT", day(1 + i % 3) if i % 11 else None, cliente=f"C{i % 4}" if i % 6 else None, seq=i) for i in range(60)]
+    stg = stg_silver(frame(spark, events))
+    for grain in (gold.daily, gold.hourly):
+        dealt = grain(stg, tasks=6)
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan and ", 6)" in plan
+        assert dealt.collect() == grain(stg).collect()

@@ -10,6 +10,10 @@ keep a single distinct aggregate (customers), which Catalyst plans as two hash
 aggregations keyed first by (grain, customer) — no 3x ``Expand`` of every row before
 the shuffle — and the product table needs no distinct aggregation at all.  Either way a
 hot day, hour or product is pre-aggregated per task before it is shuffled.
+
+With two distinct counts a task's part of them is held in memory, in up to three rows an event.
+``tasks`` deals the events to so many tasks first (apart from the join that made them, which
+sorts in the same memory), so that this is bounded by the number given, whatever AQE merges.
 """
 
 from __future__ import annotations
@@ -34,8 +38,14 @@ def _tx_count(key_unique: bool) -> Column:
     return (F.count("tx_id") if key_unique else F.count_distinct("tx_id")).alias("cantidad_transacciones")
 
 
-def _time_kpis(stg: DataFrame, grain: Column, name: str, ordered: bool, key_unique: bool) -> DataFrame:
-    agg = (stg.groupBy(grain.alias(name))
+def _dealt(stg: DataFrame, tasks: int | None) -> DataFrame:
+    """The columns that the time KPIs read, dealt by all of them: a hot key's events are spread."""
+    used = stg.select("tx_id", "cliente_id", "precio", "cantidad", "venta_timestamp")
+    return used.repartition(tasks, *used.columns) if tasks else stg
+
+
+def _time_kpis(stg: DataFrame, grain: Column, name: str, ordered: bool, key_unique: bool, tasks: int | None = None) -> DataFrame:
+    agg = (_dealt(stg, tasks).groupBy(grain.alias(name))
               .agg(_tx_count(key_unique),
                    F.count_distinct("cliente_id").alias("clientes_unicos"),
                    F.sum("cantidad").cast("bigint").alias("unidades_vendidas"),
@@ -48,14 +58,14 @@ def _time_kpis(stg: DataFrame, grain: Column, name: str, ordered: bool, key_uniq
     return out.orderBy(name) if ordered else out
 
 
-def daily(stg: DataFrame, ordered: bool = True, key_unique: bool = False) -> DataFrame:
+def daily(stg: DataFrame, ordered: bool = True, key_unique: bool = False, tasks: int | None = None) -> DataFrame:
     """KPIs per calendar day (UTC)."""
-    return _time_kpis(stg, F.to_date("venta_timestamp"), "fecha", ordered, key_unique)
+    return _time_kpis(stg, F.to_date("venta_timestamp"), "fecha", ordered, key_unique, tasks)
 
 
-def hourly(stg: DataFrame, ordered: bool = True, key_unique: bool = False) -> DataFrame:
+def hourly(stg: DataFrame, ordered: bool = True, key_unique: bool = False, tasks: int | None = None) -> DataFrame:
     """KPIs per hour (UTC)."""
-    return _time_kpis(stg, F.date_trunc("hour", F.col("venta_timestamp")), "hora", ordered, key_unique)
+    return _time_kpis(stg, F.date_trunc("hour", F.col("venta_timestamp")), "hora", ordered, key_unique, tasks)
 
 
 def by_product(stg: DataFrame, ordered: bool = True, key_unique: bool = False) -> DataFrame:

@@ -42,6 +42,7 @@ MERGE_SPLIT = "1998-06-01"      # split point of the two-batch merge queries
 LATE_SPLIT = "1998-11-20"       # and of the third, small batch
 TOPIC_PARTITIONS = 8
 MERGE_PART_BYTES = 8 << 20      # order lines (compressed) a key-hash partition of the pruned merge
+DISTINCT_TASK_BYTES = 4 << 20   # and a task of the distinct counts, which holds its keys in memory
 DAMAGE_CUT, DAMAGE_BLANK, DAMAGE_TEXT = 11, 13, 17     # seq moduli of payloads damaged on the way
 
 
@@ -308,7 +309,7 @@ def q_gold_daily(spark, sf):
 
 def q_gold_daily_distinct(spark, sf):
     """Daily KPIs of all clean events of feed A (keys repeat): two real distinct counts."""
-    return gold.daily(stg_silver(clean(_feed_a(spark, sf), SPEC)), key_unique=False)
+    return gold.daily(stg_silver(clean(_feed_a(spark, sf), SPEC)), key_unique=False, tasks=_parts_a(spark, sf, DISTINCT_TASK_BYTES))
 
 
 def q_distinct_rollup(spark, sf):
