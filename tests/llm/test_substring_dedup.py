@@ -1,5 +1,8 @@
 import hashlib
 
+import numpy as np
+import pyarrow as pa
+
 from tidemark.llm import substring_dedup as sd
 
 
@@ -55,3 +58,21 @@ def test_hash_clashes_are_settled_by_words(spark, monkeypatch, texts):
     packed = sd._packed(np.array([d for d, _ in rows]), np.zeros(4, np.int64), np.zeros(4, np.int64), [" ".join(w).encode() for _, w in rows])
     got = sorted(zip(*[c.to_pylist() for c in sd._bucket([sd._unpacked(packed)]).columns]))
     assert got == [(5, 0, 1, 16), (9, 0, 0, 16)]
+
+
+def test_overlapping_windows_are_compared_as_one_passage(monkeypatch):
+    words = b" ".join(b"w%d" % i for i in range(400))
+    calls, text = [], sd.Windows.text
+    monkeypatch.setattr(sd.Windows, "text", lambda w, i, j: calls.append((i, j)) or text(w, i, j))
+    zero = np.zeros(2, np.int64)
+    got = sd._bucket([(np.array([1, 2]), zero, zero, np.array([len(words)] * 2, np.int32), words * 2)])
+    assert got.to_pydict() == {"doc": [2], "hash": [0], "start": [0], "stop": [400]}
+    assert len(calls) < 10
+
+
+def test_windows_of_a_passage_that_differs_are_compared_one_by_one():
+    base = [f"w{i}" for i in range(40)]
+    w = sd.Windows(pa.array([" ".join(base), " ".join([*base[:20], "other", *base[21:]])]))
+    i, j = np.arange(40, 68)[::-1], np.arange(0, 28)[::-1]
+    assert sd._same_windows(w, i, j).tolist() == [not x <= 20 < x + sd.WINDOW for x in range(28)][::-1]
+    assert sd._same_windows(w, i[:0], j[:0]).tolist() == []

@@ -198,22 +198,30 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return a, b, row, np.bincount(row, minlength=len(offsets) - 1)
 
 
-def word_hashes(raw: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes: polynomial over the bytes (wrapping), then mixed."""
-    if not len(a):
+def word_bytes(raw: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The bytes of words only, in order."""
+    size = b - a
+    first = np.cumsum(size) - size
+    return raw[np.repeat(a - first, size) + np.arange(int(size.sum()), dtype=np.int64)]
+
+
+def hashes_of(bytes_: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, given the bytes of all words and their lengths."""
+    if not len(size):
         return np.zeros(0, np.uint64)
-    longest = int((b - a).max())
+    longest = int(size.max())
     power = np.empty(longest, np.uint64)
     power[0] = 1
     if longest > 1:
         np.multiply.accumulate(np.full(longest - 1, 0x9E3779B97F4A7C15, np.uint64), out=power[1:])
-    size = b - a
-    # Bytes of words only, in order; the place of each byte within its word.
-    total = int(size.sum())
     first = np.cumsum(size) - size
-    place = np.arange(total, dtype=np.int64) - np.repeat(first, size)
-    bytes_ = raw[np.repeat(a, size) + place].astype(np.uint64) + np.uint64(1)
-    return mix(np.add.reduceat(bytes_ * power[place], first) + size.astype(np.uint64))
+    place = np.arange(len(bytes_), dtype=np.int64) - np.repeat(first, size)
+    return mix(np.add.reduceat((bytes_.astype(np.uint64) + np.uint64(1)) * power[place], first) + size.astype(np.uint64))
+
+
+def word_hashes(raw: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word's bytes: polynomial over the bytes (wrapping), then mixed."""
+    return hashes_of(word_bytes(raw, a, b), b - a) if len(a) else np.zeros(0, np.uint64)
 
 
 def window_hashes(h: np.ndarray, k: int) -> np.ndarray:

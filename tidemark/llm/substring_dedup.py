@@ -23,13 +23,14 @@ from __future__ import annotations
 import hashlib
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, mix, slices, utf8_rows, window_hashes, word_hashes, words_of
+from tidemark.llm.common import hashes_of, materialise, mix, slices, utf8_rows, window_hashes, word_bytes, words_of
 
 WINDOW, SEED = 13, 3
 #: Most windows of one super-k-mer (longer runs of one minimiser are cut).
@@ -54,14 +55,20 @@ class Windows:
         size = b - a
         self.start = np.cumsum(size + 1) - (size + 1)         # in the text with single spaces
         self.end = self.start + size
-        plain = np.full(int(self.end[-1]) + 1 if len(size) else 0, 32, np.uint8)
-        place = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(np.cumsum(size) - size, size)
-        plain[np.repeat(self.start, size) + place] = raw[np.repeat(a, size) + place]
-        self.plain = plain.tobytes()
-        self.hash = word_hashes(raw, a, b)
+        self.bytes = word_bytes(raw, a, b)
+        self.hash = hashes_of(self.bytes, size)
         n = len(a) - WINDOW + 1
         self.at = np.flatnonzero(self.row[WINDOW - 1:] == self.row[:n]) if n > 0 else np.zeros(0, np.int64)
 
+    @cached_property
+    def plain(self) -> bytes:
+        """All words, a space behind each."""
+        out = np.full(int(self.end[-1]) + 1 if len(self.end) else 0, 32, np.uint8)
+        word = np.ones(len(out), bool)
+        word[self.end] = False
+        out[word] = self.bytes
+        return out.tobytes()
+
     def text(self, i: int, j: int) -> bytes:
         """Words i to j, joined by single spaces."""
         return self.plain[self.start[i]: self.end[j]]
@@ -128,6 +135,24 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return (*(np.frombuffer(data, np.int64, n, 8 * n * k) for k in range(3)), np.frombuffer(data, np.int32, n, 24 * n), data[28 * n:])
 
 
+def _same_windows(w: Windows, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the windows that start at words ``i`` and ``j`` have the same words.  Overlapping pairs
+    that go on side by side are compared as one passage, and one by one only if it differs."""
+    order = np.argsort(i, kind="stable")
+    x, y = i[order], j[order]
+    run = np.flatnonzero((np.diff(x, prepend=-2) != 1) | (np.diff(y, prepend=-2) != 1))
+    stop = np.append(run[1:], len(x)) if len(run) else run
+    a, b, n = x[run].tolist(), y[run].tolist(), (stop - run).tolist()
+    equal = np.array([w.text(p, p + k + WINDOW - 2) == w.text(q, q + k + WINDOW - 2) for p, q, k in zip(a, b, n)], bool)
+    out = np.repeat(equal, stop - run)
+    for r in np.flatnonzero(~equal).tolist():
+        for k in range(int(run[r]), int(stop[r])):
+            out[k] = w.text(x[k], x[k] + WINDOW - 1) == w.text(y[k], y[k] + WINDOW - 1)
+    same = np.empty(len(x), bool)
+    same[order] = out
+    return same
+
+
 def _bucket(parts: list[tuple]) -> pa.RecordBatch:
     """Intervals (doc, hash, start, stop) of the windows that a smaller document also has."""
     doc, own, first, size = (np.concatenate(x) for x in list(zip(*parts))[:4])
@@ -143,7 +168,7 @@ def _bucket(parts: list[tuple]) -> pa.RecordBatch:
     lead = np.flatnonzero(head)[np.cumsum(head) - 1]          # the smallest document of equal hashes
     later = np.flatnonzero(ds > ds[lead])
     i, j = w.at[order[later]], w.at[order[lead[later]]]
-    same = np.array([w.text(x, x + WINDOW - 1) == w.text(y, y + WINDOW - 1) for x, y in zip(i.tolist(), j.tolist())], bool)
+    same = _same_windows(w, i, j)
     hit = order[later[same]]
     clashing = np.unique(hs[later[~same]]) if len(later) else np.zeros(0, np.uint64)
     if len(clashing):                                         # different words of one hash: by the words
