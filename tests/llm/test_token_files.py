@@ -1,14 +1,17 @@
 import io
+import json
 import random
 import struct
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm import token_files as tf
+from tidemark.llm.common import utf8_rows
 from tidemark.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +57,35 @@ def test_chunks_against_the_library(library):
         assert own.encode(part) == [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in library.encode_batch(part, add_special_tokens=False)]
 
 
+def test_a_word_is_looked_up_once_whatever_it_stands_beside(library):
+    own, rng = tf.ChunkEncoder(open(PATH, "rb").read()), random.Random(9)
+    words = ["".join(rng.choice("abcdeéß") for _ in range(7)) for _ in range(200)]
+    texts = [" ".join(w + end for w in words) for end in ("", ".", ",", "!", ")", '"', "?!", ";")]
+    assert own.encode(texts) == [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert len(own.young) < 230
+
+
+def test_rows_of_bytes_against_the_library(library):
+    own, rng = tf.ChunkEncoder(open(PATH, "rb").read(), 300), random.Random(5)
+    bits = ["a", "The", " ", "  ", "\n", "\r\n", "\t", "<|endoftext|>", "<|", "'", "'s", "'ll", "é", "×", "\u0241", "\x00", "\x1f", "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u2028",
+            "\u205f", "\u3000", "\u300c", "\u201c", "e\u0301", "1", "²", "٣", ".", "_", "слово", "w" * 90]
+    for _ in range(40):
+        texts = [None if rng.random() < 0.1 else "".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(150)]
+        ids, counts = own.encode_rows(*utf8_rows(pa.array(["left out", *texts]).slice(1)))
+        want = [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
+def test_added_tokens_that_regard_their_neighbours():
+    spec = json.load(open(PATH))
+    spec["added_tokens"] += [{**spec["added_tokens"][0], "id": 50257 + k, "content": c, "special": False, **more}
+                             for k, (c, more) in enumerate((("<x>", {"lstrip": True}), ("abc", {"single_word": True})))]
+    data = json.dumps(spec)
+    texts = ["a  <x> b", "abc", "xabc abc", "abc-abc\n<x>", "1abc"]
+    want = [x.ids for x in Tokenizer.from_str(data).encode_batch(texts, add_special_tokens=False)]
+    assert tf.ChunkEncoder(data.encode()).encode(texts) == [struct.pack(f"<{len(x)}I", *x) for x in want]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, tf.BLOCK - 1, tf.BLOCK, tf.BLOCK + 1, 3 * tf.BLOCK * tf.GROUP + 17])
 def test_round_trip_of_blocks_and_ranges(n):
     rng = np.random.default_rng(n)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.bpe import byte_alphabet
-from tidemark.llm.common import TwoGenerations, file_bytes, materialise, per_worker, slices
+from tidemark.llm.common import BATCH_BYTES, file_bytes, materialise, per_worker, slices, utf8_rows
 from tidemark.llm.files import new_file, open_file
 
 BLOCK, PERCENTILE, GROUP = 1024, 90, 128
@@ -45,14 +45,34 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 # --- end of fixed values ---
 
 
+def _pair_rules() -> np.ndarray:
+    """For two neighbouring bytes, flags: 1, a cut between them; 2, a cut before the first (a space
+    that goes with the second); 4 and 8, the two halves of a cut behind a lone other white space."""
+    kind = np.zeros(256, np.uint8)                # 0: bytes that no rule but that of spaces regards
+    kind[:28] = kind[33:128] = 4
+    for first, last, k in ((65, 90, 1), (97, 122, 1), (48, 57, 2), (9, 13, 3)):
+        kind[first: last + 1] = k
+    kind[32] = 3
+    a, b = np.arange(256)[:, None], np.arange(256)[None, :]
+    ka, kb = kind[:, None], kind[None, :]
+    cut = (ka != kb) & (ka != 0) & (kb != 0) & (ka != 3) & ~((a == 39) & (kb == 1))
+    solid = (kind != 0) & (kind != 3)
+    rules = cut + 2 * ((a == 32) & (solid[None, :] | (b >= 0x80))) + 4 * (solid[:, None] & (kb == 3) & (b != 32)) + 8 * ((ka == 3) & (a != 32) & solid[None, :])
+    return rules.astype(np.uint8).reshape(-1)
+
+
 class ChunkEncoder:
-    """Byte-level BPE of the tokenizers library, with bounded memos of text between spaces.
+    """Byte-level BPE of the tokenizers library, with a bounded memo of text parts.
+
+    The library's split pattern takes a space together with the word behind it, so a text may be
+    cut before every space that a non-space character follows.  Where the pattern stands in the
+    file as it is, a text is also cut where a run of letters below U+0250, of ASCII digits or of
+    other ASCII characters ends (but not behind an apostrophe, which may begin a contraction), and
+    behind a single line end or tab.  No cut is made inside an added token.  The parts of many
+    texts are found on their bytes at once; each different part is looked up once, and a new one
+    goes to the library's model if it is a single word, else through the library."""
 
-    The library's split pattern takes a space together with the word behind it, so a text
-    may be cut before every space that a non-space character follows.  A new part of characters
-    below U+0250 is split by the same pattern here and its words go to the library's model
-    one by one, so a word is merged once whatever punctuation it stands beside; other parts go
-    through the whole library."""
+    LONGEST = 80
 
     def __init__(self, data: bytes, entries: int = 500_000):
         from tokenizers import Tokenizer
@@ -65,12 +85,16 @@ class ChunkEncoder:
         plain = spec["model"]["type"] == "BPE" and not spec["normalizer"] and pre.get("type") == "ByteLevel" and not pre["add_prefix_space"] and pre.get("use_regex", True)
         opening = "".join(sorted({regex.escape(t["content"][0]) for t in spec["added_tokens"]}))
         self.own = regex.compile(rf"[\x00-\u024F--[{opening}]]*" if opening else r"[\x00-\u024F]*", regex.V1).fullmatch if plain else (lambda part: None)
+        self.plain = plain
+        self.added = [t["content"].encode() for t in spec["added_tokens"]]
+        #: Added tokens that regard what stands beside them leave no place to cut.
+        self.whole = any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec["added_tokens"])
         self.model = self.tokenizer.model
-        self.split = regex.compile(_SPLIT)
+        self.split = regex.compile(_SPLIT).findall
         self.shown = {b: c for b, c in enumerate(byte_alphabet())}
-        self.entries, self.young, self.old, self.words = entries, {}, {}, TwoGenerations(self._word, entries // 2)
-        self.inner = regex.compile(r" (?=\S)")
-        self.odd = regex.compile(r" (?:\s|$)")
+        self.entries, self.young, self.old = entries, {}, {}
+        rules = _pair_rules()
+        self.rules = rules if plain else rules & 2
 
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isprintable():
@@ -79,42 +103,96 @@ class ChunkEncoder:
             shown = word.encode().decode("latin-1").translate(self.shown)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
-    def _cut(self, text: str) -> list[str]:
-        """The parts of a text; all but the first stand for themselves with a space in front.  The
-        first, which has none, gets a mark that no other part can begin with."""
-        parts = self.inner.split(text) if self.odd.search(text) else text.split(" ")
-        parts[0] = " " + parts[0]
-        return parts
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian uint32 bytes."""
-        cut = [self._cut(t) for t in texts]
+    def _starts(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where the parts of the texts begin; the texts are ``raw`` between ``bounds``."""
+        n = len(raw)
+        start = np.zeros(n + 1, bool)
+        if n > 1 and not self.whole:
+            seen = raw
+            if self.plain:                        # letters of two bytes (U+00C0 to U+023F) count as letters
+                at = np.flatnonzero((raw >= 0xC3) & (raw <= 0xC8))
+                at = at[at < n - 1]
+                at = at[~((raw[at] == 0xC3) & ((raw[at + 1] == 0x97) | (raw[at + 1] == 0xB7)))]
+                if len(at):
+                    seen = raw.copy()
+                    seen[at] = seen[at + 1] = 97
+            rule = self.rules.take(seen[:-1].astype(np.uint16) << np.uint16(8) | seen[1:])
+            start[1:n] = rule & 1
+            start[2:n] |= (rule[1:] & 8 != 0) & (rule[:-1] & 4 != 0)
+            space = np.flatnonzero(rule & 2)
+            odd = np.flatnonzero(raw[space + 1] >= 0x80)
+            if len(odd):
+                one, two, three = (raw[np.minimum(space[odd] + k, n - 1)] for k in (1, 2, 3))
+                blank = (((one == 0xC2) & ((two == 0x85) | (two == 0xA0))) | ((one == 0xE1) & (((two == 0x9A) & (three == 0x80)) | ((two == 0xA0) & (three == 0x8E))))
+                         | ((one == 0xE2) & (((two == 0x80) & ((three <= 0x8A) | (three == 0xA8) | (three == 0xA9) | (three == 0xAF))) | ((two == 0x81) & (three == 0x9F))))
+                         | ((one == 0xE3) & (two == 0x80) & (three == 0x80)))
+                space = np.delete(space, odd[blank])
+            last = np.zeros(n + 1, bool)
+            last[bounds[1:]] = True               # a space at a text's end has nothing behind it
+            start[space[~last[space + 1]]] = True
+            data = raw.tobytes() if self.added else b""
+            for token in self.added:
+                at = data.find(token)
+                while at >= 0:
+                    start[at + 1: at + len(token)] = False
+                    at = data.find(token, at + 1)
+        start[bounds] = True
+        return np.flatnonzero(start[:n])
+
+    def _ids(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of different parts, as little-endian uint32 bytes."""
         if len(self.young) > self.entries:
             self.young, self.old = {}, self.young
-        young, old, words, split, own = self.young, self.old, self.words, self.split.findall, self.own
-        new, long = [], []
-        for c in set().union(*cut).difference(young):
-            known = old.get(c)
-            if known is not None:
-                young[c] = known
-                continue
-            asked = c[1:] if c[:1] == " " else " " + c
-            if own(c):
-                found = split(asked)
-                young[c] = words[found[0]] if len(found) == 1 else b"".join([words[w] for w in found])
-            else:
-                new.append((c, asked))
-            if len(c) > 80:
-                long.append(c)
+        young, old, own, split = self.young, self.old, self.own, self.split
+        out = list(map(young.get, parts))
+        new = []
+        for i in [i for i, v in enumerate(out) if v is None]:
+            part = parts[i]
+            ids = old.get(part)
+            if ids is None:
+                text = part.decode()
+                if self.plain and text.isascii() and (text[1:] if text[0] == " " else text).isalpha():
+                    ids = self._word(text)
+                elif own(text):
+                    ids = b"".join(map(self._word, split(text)))
+                else:
+                    new.append(i)
+                    continue
+            out[i] = ids
+            if len(part) <= self.LONGEST:
+                young[part] = ids
         for at in range(0, len(new), 20_000):
-            part = new[at: at + 20_000]
-            for (c, _), e in zip(part, self.tokenizer.encode_batch_fast([a for _, a in part], add_special_tokens=False)):
-                young[c] = array("I", e.ids).tobytes()
-        out = [b"".join(map(young.__getitem__, c)) for c in cut]
-        for c in long:
-            del young[c]
+            some = new[at: at + 20_000]
+            for i, e in zip(some, self.tokenizer.encode_batch_fast([parts[i].decode() for i in some], add_special_tokens=False)):
+                out[i] = ids = array("I", e.ids).tobytes()
+                if len(parts[i]) <= self.LONGEST:
+                    young[parts[i]] = ids
         return out
 
+    def encode_rows(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts whose UTF-8 is ``raw`` between ``bounds``, in one array, and the
+        number of ids of each text."""
+        if not len(raw):
+            return np.zeros(0, np.uint32), np.zeros(len(bounds) - 1, np.int64)
+        starts = self._starts(raw, bounds)
+        cuts = np.append(starts, len(raw))
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
+        found = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(size) - size
+        which = coded.indices.to_numpy()
+        length = size[which]
+        end = np.cumsum(length)
+        ids = flat[np.repeat(first[which] - end + length, length) + np.arange(int(end[-1]))]
+        return ids, np.diff(np.append(0, end)[np.searchsorted(starts, bounds)])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian uint32 bytes."""
+        ids, counts = self.encode_rows(*utf8_rows(pa.array(texts, pa.large_string())))
+        end = np.cumsum(counts)
+        return [ids[b - n: b].tobytes() for b, n in zip(end.tolist(), counts.tolist())]
+
 
 def pack(ids: np.ndarray) -> list[bytes]:
     """The blocks of a run of ids (whole blocks but for the last)."""
@@ -183,23 +261,27 @@ class Writer:
         self.starts, self.docs, self.known, self.lengths = array("q"), array("q"), bytearray(), array("q")
 
     def add(self, doc: int | None, ids: bytes) -> None:
-        self.docs.append(doc or 0)
-        self.known.append(doc is not None)
-        self.lengths.append(len(ids) // 4)
-        self.held.append(ids)
-        self.held_ids += len(ids) // 4
+        self.add_rows(np.array([doc or 0]), np.array([doc is not None]), np.frombuffer(ids, "<u4"), np.array([len(ids) // 4]))
+
+    def add_rows(self, docs: np.ndarray, known: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Documents with all their ids in one array; unknown ones have number 0."""
+        self.docs.frombytes(docs.astype("<i8").tobytes())
+        self.known += known.astype(np.uint8).tobytes()
+        self.lengths.frombytes(counts.astype("<i8").tobytes())
+        self.held.append(ids.astype("<u4", copy=False))
+        self.held_ids += len(ids)
         if self.held_ids >= BLOCK * GROUP:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
-        ids = np.frombuffer(b"".join(self.held), "<u4")
+        ids = np.concatenate(self.held) if self.held else np.zeros(0, "<u4")
         n = len(ids) if last else len(ids) // BLOCK * BLOCK
         for block in pack(ids[:n]):
             self.starts.append(self.at)
             self.out.write(block)
             self.at += len(block)
         self.n += n
-        self.held, self.held_ids = [ids[n:].tobytes()], len(ids) - n
+        self.held, self.held_ids = [ids[n:].copy()], len(ids) - n
 
     def close(self) -> None:
         self._flush(True)
@@ -250,22 +332,39 @@ class Reader:
                     break
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of some megabytes of text: the more text, the fewer of its parts are different."""
+    held, size = [], 0
+    for b in slices(batches, "text"):
+        own = b.column(2).nbytes
+        if held and size + own > 2 * BATCH_BYTES:        # a very long text stays by itself
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(b)
+        size += own
+        if size >= BATCH_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every text and write the files.  Returns the written manifest (path, ids, documents,
     start: the ids of all files before)."""
     data = docs.sparkSession.sparkContext.broadcast(file_bytes(tokenizer_path))
-    tail = struct.pack("<I", end_id)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text).alias("hash"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc", "hash").sortWithinPartitions("doc", "hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, path, first = per_worker("chunks", data.value, ChunkEncoder), None, "", None
-        for b in slices(batches, "text", 4 << 20):
+        for b in _joined(batches):
             if writer is None:
                 path, out = new_file(folder, ".ids")
                 writer, first = Writer(out), (b.column(0)[0].as_py(), b.column(1)[0].as_py())
-            for d, ids in zip(b.column(0), encoder.encode(b.column(2).to_pylist())):
-                writer.add(d.as_py(), ids + tail)
+            ids, counts = encoder.encode_rows(*utf8_rows(b.column(2)))
+            docs = b.column(0)
+            writer.add_rows(docs.fill_null(0).to_numpy(), docs.is_valid().to_numpy(zero_copy_only=False), np.insert(ids, np.cumsum(counts), end_id), counts + 1)
         if writer is not None:
             n = len(writer.docs)
             writer.close()
